@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, packing, simhash, toxicity
+from . import decontamination, html, lines, media, packing, pii, quality, simhash, toxicity, urls
 from .common import table
 
 #: Where the tokenizer's file is on every node; a parameter of packing.pack().
@@ -20,6 +20,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,11 +50,89 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(d,) for d in urls.LISTED], "key string")
+    return urls.judge(table(spark, sf_dir, "pages"), listed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_simhash_near_dedup": op4_simhash_near_dedup,
-    "op5_packing": op5_packing,
-    "op6_media_columns": op6_media_columns,
-    "op7_toxicity": op7_toxicity,
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_decontamination,
+        op3_html_extraction,
+        op4_simhash_near_dedup,
+        op5_packing,
+        op6_media_columns,
+        op7_toxicity,
+        op8_line_dedup,
+        op9_quality_resampling,
+        op10_url_filter,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+_LISTED = ", ".join(f"('{d}')" for d in urls.LISTED)
+
+#: SQL where it can express the operator; the others are tested against brute-force versions.
+ORACLES: dict[str, str] = {
+    "op8_line_dedup": f"""
+WITH split AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+), raw AS (
+    SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM split
+), masked AS (
+    SELECT doc_id, pos, regexp_replace(trim(regexp_replace(line, '[ \\t\\r\\f\\x0B]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m FROM raw
+), parsed AS (
+    SELECT doc_id, pos, m, len(string_split(m, ' ')) AS n, array_to_string(string_split(m, ' ')[1:{lines.LEADING}], ' ') AS lead
+    FROM masked WHERE m <> ''
+), sizes AS (
+    SELECT n, lead, m, count(DISTINCT doc_id) AS docs FROM parsed GROUP BY ALL
+), leaders AS (
+    SELECT n, lead, m AS leader FROM sizes QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY docs DESC, m DESC) = 1
+), kinds AS (
+    SELECT s.n, s.lead, s.m, CASE WHEN len(list_filter(list_zip(string_split(s.m, ' '), string_split(l.leader, ' ')), lambda z: z[1] = z[2])) >= {lines.AGREEMENT} * s.n
+        THEN l.leader ELSE s.m END AS template
+    FROM sizes s JOIN leaders l ON s.n = l.n AND s.lead = l.lead
+), keyed AS (
+    SELECT p.doc_id, p.pos, p.n, p.lead, k.template FROM parsed p JOIN kinds k ON p.n = k.n AND p.lead = k.lead AND p.m = k.m
+), found AS (
+    SELECT n, lead, template, min(doc_id) AS first FROM keyed GROUP BY ALL HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}
+), gone AS (
+    SELECT k.doc_id, list(k.pos) AS positions FROM keyed k JOIN found f ON k.n = f.n AND k.lead = f.lead AND k.template = f.template
+    WHERE k.doc_id <> f.first GROUP BY k.doc_id
+)
+SELECT s.doc_id,
+    CASE WHEN g.positions IS NULL THEN s.text ELSE coalesce(array_to_string(list_filter(s.ls, lambda x, i: NOT list_contains(g.positions, i - 1)), chr(10)), '') END AS text,
+    CAST(coalesce(len(s.ls), 0) AS BIGINT) AS n_lines,
+    CAST(coalesce(len(g.positions), 0) AS BIGINT) AS n_dropped
+FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
+""",
+    "op10_url_filter": f"""
+WITH u AS (
+    SELECT page_id,
+        lower(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1)) AS host,
+        regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+), rules(what, h, p) AS (
+    VALUES {", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in urls.RULES)}
+), listed(key) AS (
+    VALUES {_LISTED}
+), fit AS (
+    SELECT u.page_id, r.h || r.p AS rule, r.what FROM u JOIN rules r ON (u.host = r.h OR suffix(u.host, '.' || r.h)) AND starts_with(u.path, r.p)
+    QUALIFY row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.h || r.p) DESC) = 1
+), hit AS (
+    SELECT DISTINCT u.page_id FROM u JOIN listed l ON u.host = l.key OR suffix(u.host, '.' || l.key)
+)
+SELECT u.page_id, u.host, u.path, f.rule,
+    coalesce(f.what, CASE WHEN h.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM u LEFT JOIN fit f ON u.page_id = f.page_id LEFT JOIN hit h ON u.page_id = h.page_id
+""",
+}
