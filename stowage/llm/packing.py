@@ -17,9 +17,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -104,10 +104,17 @@ class WordCache:
                     yield np.frombuffer(b"".join(map(get, chunks)), dtype="<u4")
 
 
+@lru_cache(1)
+def word_cache(path: str) -> WordCache:
+    """One for each Python worker, so that its next task finds the words of the last."""
+    return WordCache(path)
+
+
+@lru_cache(1)
 def sentence_marks(path: str) -> np.ndarray:
     """Boolean by id: the token ends a sentence (its text is a full stop, question or exclamation mark, or several)."""
     vocabulary = Tokenizer.from_file(path).get_vocab()
-    marks = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    marks = np.zeros(max(*vocabulary.values(), END) + 1, dtype=bool)
     marks[[i for t, i in vocabulary.items() if re.fullmatch(r"[.!?]+(</w>)?", t)]] = True
     return marks
 
@@ -157,17 +164,13 @@ def plan(places: np.ndarray, penalties: np.ndarray, size: int = SIZE, short: boo
 def cut_places(tokens: np.ndarray, doc_ends: np.ndarray, marks: np.ndarray, size: int, final: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places (from 0 to the number of tokens) where a window may end, and the penalty of each."""
     n = len(tokens)
-    penalty = np.full(n + 1, np.inf)
-    sentences = np.flatnonzero(marks[np.minimum(tokens, len(marks) - 1)]) + 1
+    sentences = np.flatnonzero(marks[tokens]) + 1
     sentences = sentences[np.append(np.diff(sentences // GRAIN) > 0, True)[: len(sentences)]]
-    penalty[sentences] = SENTENCE_CUT
-    penalty[doc_ends] = 0
-    penalty[[0, n]] = 0
-    places = np.flatnonzero(penalty < np.inf)
+    places = np.unique(np.concatenate([sentences, doc_ends, [0, n]]))
     far = np.flatnonzero(np.diff(places) > size)
     extra = [np.arange(places[g] + size, places[g + 1], size) for g in far.tolist()]
     for g in far.tolist():  # also what fills the window begun before the long run
-        lo = max(0, bisect_left(places, places[g] - size))
+        lo = np.searchsorted(places, places[g] - size)
         extra.append(places[lo : g + 1] + size)
     if final:  # the last windows may be cut to powers of two
         tail, base = [], n - n % size if n % size else n - size
@@ -179,10 +182,12 @@ def cut_places(tokens: np.ndarray, doc_ends: np.ndarray, marks: np.ndarray, size
         extra.append(np.array([base, *tail], dtype=np.int64))
     if extra:
         more = np.concatenate(extra)
-        more = more[(more > 0) & (more < n)]
-        penalty[more] = np.minimum(penalty[more], WORD_CUT)
-        places = np.flatnonzero(penalty < np.inf)
-    return places, penalty[places]
+        places = np.union1d(places, more[(more > 0) & (more < n)])
+    penalty = np.full(len(places), float(WORD_CUT))
+    penalty[np.searchsorted(places, sentences)] = SENTENCE_CUT
+    penalty[np.searchsorted(places, doc_ends)] = 0
+    penalty[[0, -1]] = 0
+    return places, penalty
 
 
 class Packer:
@@ -241,7 +246,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, stretch: int =
         raise ValueError("size must be positive and stretch at least four times as long")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, marks = WordCache(tokenizer_path), sentence_marks(tokenizer_path)
+        cache, marks = word_cache(tokenizer_path), sentence_marks(tokenizer_path)
         packer = Packer(marks, size, stretch, TaskContext.get().partitionId() << 32)
         names = ["doc_id", *(c.split()[0] for c in PIECES.split(", "))]
         for b in batches:
