@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,7 +138,8 @@ def _word_counts(rows: DataFrame) -> DataFrame:
                 for t, kind in zip(b["text"].iloc[s : s + 2000], b["toxic"].iloc[s : s + 2000].tolist()):
                     by[kind].update(words_of(t))
                 for kind, name, other in ((0, "ordinary", "toxic"), (1, "toxic", "ordinary")):
-                    yield pd.DataFrame({"word": list(by[kind].keys()), name: list(by[kind].values()), other: 0})[["word", "ordinary", "toxic"]]
+                    if by[kind]:
+                        yield pd.DataFrame({"word": list(by[kind].keys()), name: list(by[kind].values()), other: 0})[["word", "ordinary", "toxic"]]
 
     parts = rows.select("text", "toxic").mapInPandas(run, "word string, ordinary bigint, toxic bigint")
     return parts.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
@@ -258,9 +260,10 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFra
     """The rows of `docs` whose score is under `threshold`, with all their columns, in one pass and without a join."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for b in batches:
-            yield b[shared.value.score(reader(b["text"].tolist())) < threshold]
+            stays = shared.value.score(reader(b.column("text").to_pylist())) < threshold
+            yield b.filter(pa.array(stays))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
