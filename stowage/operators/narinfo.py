@@ -117,44 +117,65 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
     pname empty. Of repeated scalar fields the last counts, but each must be sound. References and signatures add up in order.
     rejects: (key, rule), one row for each rule broken. Null content is an empty text.
     """
-    flagged = raw.select("key", _fields(F.coalesce("content", F.lit(b""))).alias("kv"))
+    flagged = raw.select("key", F.explode(F.array(_fields(F.coalesce("content", F.lit(b""))))).alias("kv"))
     rules = F.array(*[F.when(F.expr(sql), name) for name, sql in RULES.items()])
     flagged = flagged.withColumn("rules", F.filter(rules, lambda r: r.isNotNull()))
     rejects = flagged.select("key", F.explode("rules").alias("rule"))
     good = flagged.where(F.size("rules") == 0)
 
-    paths, derivers = _all("StorePath"), f"filter({_all('Deriver')}, v -> v != 'unknown-deriver')"
-    path, deriver, ca = _last("paths"), _last("derivers"), _last(_all("CA"))
-    # An "unknown-deriver" line changes nothing, so an earlier deriver stays.
-    lines = _all("References")
-    kept = f"flatten(transform({lines}, v -> {_REFS}))"
-    quirk = f"exists({lines}, v -> exists(zip_with({_REFS}, slice({_REFS}, 2, greatest(1, size({_REFS}))), (p, q) -> coalesce(p >= q, false)), z -> z))"
-    sigs = _all("Sig")
-    name = f"substring({deriver}, 34)"
-    out = good.select("key", "kv", F.expr(paths).alias("paths"), F.expr(derivers).alias("derivers"))
+    # Values first, then what is decoded from them, so that no value is worked out for each of its uses. An
+    # "unknown-deriver" line changes nothing, so an earlier deriver stays.
+    values = {
+        "v_path": _last(_all("StorePath")),
+        "v_compression": _last(_all("Compression")),
+        "v_file_hash": _last(_all("FileHash")),
+        "v_nar_hash": _last(_all("NarHash")),
+        "v_file_size": _last(_all("FileSize")),
+        "v_nar_size": _last(_all("NarSize")),
+        "v_deriver": _last(f"filter({_all('Deriver')}, v -> v != 'unknown-deriver')"),
+        "v_system": _last(_all("System")),
+        "v_ca": _last(_all("CA")),
+        "v_sigs": _all("Sig"),
+        "v_refs": f"transform({_all('References')}, v -> {_REFS})",
+    }
+    parts = {
+        "h_path": "substring(v_path, 12, 32)",
+        "h_deriver": "substring(v_deriver, 1, 32)",
+        "h_refs": f"filter(transform(flatten(v_refs), r -> substring(r, 1, 32)), h -> h rlike '{VALID}')",
+        "v_name": "if(endswith(v_deriver, '.drv') and length(v_deriver) >= 37, substring(v_deriver, 34, length(v_deriver) - 37), substring(v_deriver, 34))",
+    }
+    out = _fixed(_fixed(good, values), parts)
+    quirk = "exists(v_refs, a -> exists(zip_with(a, slice(a, 2, greatest(1, size(a))), (p, q) -> coalesce(p >= q, false)), z -> z))"
+    domain = _utf8("substring(v, 1, instr(v, ':') - 1)")
     columns = {
-        "hash": f"coalesce({_decoded(f'substring({path}, 12, 32)')}, {_ZERO20})",
-        "pname": f"coalesce({_utf8(f'substring({path}, 45)')}, '')",
-        "compression": f"coalesce(nullif({_utf8(_last(_all('Compression')))}, ''), 'bzip2')",
-        "file_hash": _sha256(_last(_all("FileHash"))),
-        "file_size": f"coalesce(cast({_last(_all('FileSize'))} as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "nar_hash": _sha256(_last(_all("NarHash"))),
-        "nar_size": f"coalesce(cast({_last(_all('NarSize'))} as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "references": f"transform(filter({kept}, r -> substring(r, 1, 32) rlike '{VALID}'), r -> {_decoded('substring(r, 1, 32)')})",
-        "deriver": f"coalesce({_decoded(f'substring({deriver}, 1, 32)')}, {_ZERO20})",
-        "deriver_pname": f"nullif({_utf8(f'''if(endswith({name}, '.drv'), substring({name}, 1, length({name}) - 4), {name})''')}, '')",
-        "system": f"nullif({_utf8(_last(_all('System')))}, '')",
-        "signature_domains": f"transform({sigs}, v -> {_utf8('substring(v, 1, instr(v, \":\") - 1)')})",
-        "signature_values": f"transform({sigs}, v -> try_to_binary(substring(v, instr(v, ':') + 1), 'base64'))",
-        "ca_algo": f"nullif(regexp_replace({ca}, '^((?:fixed|text):(?:r:)?[^:]*):.*$', '$1'), '')",
-        "ca_hash": _ca_hash(ca),
+        "hash": f"coalesce({_decoded('h_path')}, {_ZERO20})",
+        "pname": f"coalesce({_utf8('substring(v_path, 45)')}, '')",
+        "compression": f"coalesce(nullif({_utf8('v_compression')}, ''), 'bzip2')",
+        "file_hash": _sha256("v_file_hash"),
+        "file_size": "coalesce(cast(v_file_size as decimal(20,0)), cast(0 as decimal(20,0)))",
+        "nar_hash": _sha256("v_nar_hash"),
+        "nar_size": "coalesce(cast(v_nar_size as decimal(20,0)), cast(0 as decimal(20,0)))",
+        "references": f"transform(h_refs, h -> {_decoded('h')})",
+        "deriver": f"coalesce({_decoded('h_deriver')}, {_ZERO20})",
+        "deriver_pname": f"nullif({_utf8('v_name')}, '')",
+        "system": f"nullif({_utf8('v_system')}, '')",
+        "signature_domains": f"transform(v_sigs, v -> {domain})",
+        "signature_values": "transform(v_sigs, v -> try_to_binary(substring(v, instr(v, ':') + 1), 'base64'))",
+        "ca_algo": "nullif(regexp_replace(v_ca, '^((?:fixed|text):(?:r:)?[^:]*):.*$', '$1'), '')",
+        "ca_hash": _ca_hash("v_ca"),
         "quirk_references_out_of_order": quirk,
-        "dq_missing_store_path": "size(paths) = 0",
+        "dq_missing_store_path": "v_path is null",
     }
     records = out.select("key", *[F.expr(sql).alias(c) for c, sql in columns.items()])
     return Parsed(records, rejects, flagged)
 
 
+def _fixed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """df with columns that the optimiser does not copy into each of their uses: a one-row inline keeps them apart."""
+    fields = ", ".join(f"{sql} as {c}" for c, sql in columns.items())
+    return df.selectExpr("*", f"inline(array(struct({fields})))")
+
+
 def signatures(records: DataFrame) -> DataFrame:
     """(key, place, domain, value): each record's signatures, domains paired with values."""
     pairs = F.posexplode(F.arrays_zip(F.col("signature_domains").alias("domain"), F.col("signature_values").alias("value"))).alias("place", "s")
