@@ -91,12 +91,12 @@ def valid(span: Column) -> Column:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, candidates): arrays of spans of docs(doc_id, text). Candidates that overlap a base span are left out."""
+    """(doc_id, base, candidates): arrays of spans of docs(doc_id, text). Candidates inside a base span are left out."""
     text = F.coalesce("text", F.lit(""))
     base = F.concat(*[F.filter(located(text, k, name), valid) for k, name in enumerate(KINDS)])
     more = F.concat(*[located(text, len(KINDS) + k, name) for k, name in enumerate(ADDED)])
     rows = docs.select("doc_id", F.array_sort(base).alias("base"), more.alias("more"))
-    clear = F.filter("more", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    clear = F.filter("more", lambda c: ~F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
     return rows.select("doc_id", "base", F.array_sort(clear).alias("candidates"))
 
 
