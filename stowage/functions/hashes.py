@@ -1,8 +1,8 @@
 """Base-32 text of hashes, as Spark expressions and as SQL functions.
 
 The text is the little-endian integer of the bytes in base 32, most significant digit first, in an alphabet without e, o,
-t and u. Five bytes are eight digits, so `conv` renders 40 bits at a time; the usual lengths of 20 and 32 bytes are
-unrolled and stay in generated code, other lengths use an array of groups.
+t and u. Five bytes are eight digits, so `conv` renders 40 bits at a time. For a stated length the groups are unrolled and stay
+in generated code; else they are an array of groups.
 """
 
 from __future__ import annotations
@@ -16,59 +16,59 @@ _CONV = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 VALID = "^[0-9a-df-np-sv-z]+$"
 
 
-def _sql_render(bits: str) -> str:
-    """SQL for the base-32 text of a binary expression; null stays null and empty is empty."""
-    swapped = f"reverse(regexp_replace(hex({bits}), '(.)(.)', '$2$1'))"
-    n = f"octet_length({bits})"
+def _reversed(binary: str) -> str:
+    """SQL for the bytes in reverse order: in ISO-8859-1 a byte is a character."""
+    return f"encode(reverse(decode({binary}, 'ISO-8859-1')), 'ISO-8859-1')"
 
-    def fixed(size: int) -> str:
+
+def render_sql(binary: str, size: int | None = None) -> str:
+    """SQL for the base-32 text of a binary expression; null stays null and empty is empty. `size`: the bytes of every value."""
+    hexa = f"hex({_reversed(binary)})"
+    if size:
         groups = -(-size // 5)
-        padded = f"lpad({swapped}, {10 * groups}, '0')"
-        digits = ", ".join(f"lpad(conv(substring({padded}, {10 * k + 1}, 10), 16, 32), 8, '0')" for k in range(groups))
-        return f"right(concat({digits}), {(8 * size + 4) // 5})"
-
-    padded = f"lpad({swapped}, 10 * cast(ceil({n} / 5) as int), '0')"
-    groups = f"transform(sequence(1, cast(ceil({n} / 5) as int)), k -> lpad(conv(substring({padded}, 10 * k - 9, 10), 16, 32), 8, '0'))"
-    free = f"right(array_join({groups}, ''), (8 * {n} + 4) div 5)"
-    digits = f"case {n} when 0 then '' when 20 then {fixed(20)} when 32 then {fixed(32)} else {free} end"
+        padded = f"lpad({hexa}, {10 * groups}, '0')"
+        parts = ", ".join(f"lpad(conv(substring({padded}, {10 * k + 1}, 10), 16, 32), 8, '0')" for k in range(groups))
+        digits = f"right(concat({parts}), {(8 * size + 4) // 5})"
+    else:  # a fold over one value names it, so that it is worked out once
+        n = f"octet_length({binary})"
+        groups = f"cast(ceil({n} / 5) as int)"
+        parts = f"transform(sequence(1, {groups}), k -> lpad(conv(substring(lpad(s, 10 * {groups}, '0'), 10 * k - 9, 10), 16, 32), 8, '0'))"
+        digits = f"if({n} = 0, '', aggregate(array({hexa}), '', (a, s) -> right(array_join({parts}, ''), (8 * {n} + 4) div 5)))"
     return f"translate({digits}, '{_CONV}', '{ALPHABET}')"
 
 
-def _sql_decode(text: str) -> str:
-    """SQL for the bytes of a base-32 text: n digits give 5n div 8 bytes and spare bits are dropped; null if a digit is bad."""
-    n = f"length({text})"
-    upper = f"translate({text}, '{ALPHABET}', '{_CONV}')"
+def decode_sql(text: str, digits: int | None = None) -> str:
+    """SQL for the bytes of a base-32 text: n digits give 5n div 8 bytes and spare bits are dropped; null if a digit is bad.
 
-    def fixed(size: int) -> str:
-        groups = -(-size // 8)
+    `digits`: the only length that is not null.
+    """
+    upper = f"translate({text}, '{ALPHABET}', '{_CONV}')"
+    if digits:
+        groups = -(-digits // 8)
         padded = f"lpad({upper}, {8 * groups}, '0')"
-        digits = ", ".join(f"lpad(conv(substring({padded}, {8 * k + 1}, 8), 32, 16), 10, '0')" for k in range(groups))
-        return f"right(concat({digits}), {2 * (5 * size // 8)})"
-
-    padded = f"lpad({upper}, 8 * cast(ceil({n} / 8) as int), '0')"
-    groups = f"transform(sequence(1, cast(ceil({n} / 8) as int)), k -> lpad(conv(substring({padded}, 8 * k - 7, 8), 32, 16), 10, '0'))"
-    free = f"right(array_join({groups}, ''), 2 * (5 * {n} div 8))"
-    digits = f"case {n} when 32 then {fixed(32)} when 52 then {fixed(52)} else {free} end"
-    return f"case when {text} = '' then cast('' as binary) when {text} rlike '{VALID}' then unhex(reverse(regexp_replace({digits}, '(.)(.)', '$2$1'))) end"
+        parts = ", ".join(f"lpad(conv(substring({padded}, {8 * k + 1}, 8), 32, 16), 10, '0')" for k in range(groups))
+        whole = f"unhex(right(concat({parts}), {2 * (5 * digits // 8)}))"
+        return f"case when length({text}) = {digits} and {text} rlike '{VALID}' then {_reversed(whole)} end"
+    n = f"length({text})"
+    groups = f"cast(ceil({n} / 8) as int)"
+    parts = f"transform(sequence(1, {groups}), k -> lpad(conv(substring(lpad(s, 8 * {groups}, '0'), 8 * k - 7, 8), 32, 16), 10, '0'))"
+    whole = f"unhex(aggregate(array({upper}), '', (a, s) -> right(array_join({parts}, ''), 2 * (5 * {n} div 8))))"
+    return f"case when {text} = '' then cast('' as binary) when {text} rlike '{VALID}' then {_reversed(whole)} end"
 
 
-def nixbase32(column: str) -> Column:
+def nixbase32(column: str, size: int | None = None) -> Column:
     """Base-32 text of a binary column."""
-    return F.expr(_sql_render(column))
+    return F.expr(render_sql(column, size))
 
 
-def nixbase32_hex(column: str) -> Column:
+def nixbase32_hex(column: str, size: int | None = None) -> Column:
     """Base-32 text of a column of hexadecimal digits; null if they aren't."""
-    return F.expr(_sql_render(f"unhex({column})"))
+    return F.expr(render_sql(f"unhex({column})", size))
 
 
-def nixbase32_decode(text: str) -> Column:
+def nixbase32_decode(text: str, digits: int | None = None) -> Column:
     """Bytes of a column (or SQL expression) of base-32 text."""
-    return F.expr(_sql_decode(text))
-
-
-def decode_sql(text: str) -> str:
-    return _sql_decode(text)
+    return F.expr(decode_sql(text, digits))
 
 
 def nar_url(file_hash: str, compression: str, legacy_suffix: bool = False) -> Column:
@@ -76,15 +76,15 @@ def nar_url(file_hash: str, compression: str, legacy_suffix: bool = False) -> Co
     bzip2 = ".bzip2" if legacy_suffix else ".bz2"
     c = F.col(compression)
     suffix = F.when(c.isin("", "none"), "").when(c == "bzip2", bzip2).otherwise(F.concat(F.lit("."), c))
-    return F.concat(F.lit("nar/"), nixbase32(file_hash), F.lit(".nar"), suffix)
+    return F.concat(F.lit("nar/"), nixbase32(file_hash, 32), F.lit(".nar"), suffix)
 
 
 def store_path(hash_column: str, name: str) -> Column:
-    return F.concat(F.lit("/nix/store/"), nixbase32(hash_column), F.lit("-"), F.col(name))
+    return F.concat(F.lit("/nix/store/"), nixbase32(hash_column, 20), F.lit("-"), F.col(name))
 
 
 def narinfo_key(hash_column: str) -> Column:
-    return F.concat(nixbase32(hash_column), F.lit(".narinfo"))
+    return F.concat(nixbase32(hash_column, 20), F.lit(".narinfo"))
 
 
 def render_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -100,18 +100,22 @@ def decode_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
 def render_locations(narinfo: DataFrame, legacy_suffix: bool = False) -> DataFrame:
     """narinfo(hash, pname, file_hash, compression) with store_path, narinfo_key and nar_key."""
     return narinfo.withColumns(
-        {"store_path": store_path("hash", "pname"), "narinfo_key": narinfo_key("hash"), "nar_key": nar_url("file_hash", "compression", legacy_suffix)}
+        {
+            "store_path": store_path("hash", "pname"),
+            "narinfo_key": narinfo_key("hash"),
+            "nar_key": nar_url("file_hash", "compression", legacy_suffix),
+        }
     )
 
 
 def register(spark: SparkSession) -> None:
     """SQL functions nixbase32(binary), nixbase32_hex(string), nixbase32_decode(string) and narURL(binary, string)."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nixbase32(input BINARY) RETURNS STRING RETURN {_sql_render('input')}")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nixbase32_hex(digits STRING) RETURNS STRING RETURN {_sql_render('unhex(digits)')}")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nixbase32_decode(digits STRING) RETURNS BINARY RETURN {_sql_decode('digits')}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nixbase32(input BINARY) RETURNS STRING RETURN {render_sql('input')}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nixbase32_hex(digits STRING) RETURNS STRING RETURN {render_sql('unhex(digits)')}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nixbase32_decode(digits STRING) RETURNS BINARY RETURN {decode_sql('digits')}")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION narURL(file_hash BINARY, compression STRING) RETURNS STRING RETURN concat('nar/', "
-        + _sql_render("file_hash")
+        + render_sql("file_hash")
         + ", '.nar', case when compression in ('', 'none') then '' when compression = 'bzip2' then '.bz2' else concat('.', compression) end)"
     )
 

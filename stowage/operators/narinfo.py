@@ -46,8 +46,8 @@ def _utf8(text: str) -> str:
     return f"try_validate_utf8(decode(encode({text}, 'ISO-8859-1'), 'UTF-8'))"
 
 
-def _decoded(text: str) -> str:
-    return decode_sql(text)
+def _decoded(text: str, digits: int | None = None) -> str:
+    return decode_sql(text, digits)
 
 
 def _bad_uint(values: str) -> str:
@@ -61,7 +61,7 @@ def _bad_sha256(values: str) -> str:
 
 def _sha256(value: str) -> str:
     h = f"substring({value}, 8)"
-    return f"case when {value} is null then {_ZERO32} when length({h}) = 64 then unhex({h}) else {_decoded(h)} end"
+    return f"case when {value} is null then {_ZERO32} when length({h}) = 64 then unhex({h}) else {_decoded(h, 52)} end"
 
 
 _CA = r"^(fixed|text):(r:)?(md5|sha1|sha256|sha512):([^\\n]*)$"
@@ -148,15 +148,15 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
     quirk = "exists(v_refs, a -> exists(zip_with(a, slice(a, 2, greatest(1, size(a))), (p, q) -> coalesce(p >= q, false)), z -> z))"
     domain = _utf8("substring(v, 1, instr(v, ':') - 1)")
     columns = {
-        "hash": f"coalesce({_decoded('h_path')}, {_ZERO20})",
+        "hash": f"coalesce({_decoded('h_path', 32)}, {_ZERO20})",
         "pname": f"coalesce({_utf8('substring(v_path, 45)')}, '')",
         "compression": f"coalesce(nullif({_utf8('v_compression')}, ''), 'bzip2')",
         "file_hash": _sha256("v_file_hash"),
         "file_size": "coalesce(cast(v_file_size as decimal(20,0)), cast(0 as decimal(20,0)))",
         "nar_hash": _sha256("v_nar_hash"),
         "nar_size": "coalesce(cast(v_nar_size as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "references": f"transform(h_refs, h -> {_decoded('h')})",
-        "deriver": f"coalesce({_decoded('h_deriver')}, {_ZERO20})",
+        "references": f"transform(h_refs, h -> {_decoded('h', 32)})",
+        "deriver": f"coalesce({_decoded('h_deriver', 32)}, {_ZERO20})",
         "deriver_pname": f"nullif({_utf8('v_name')}, '')",
         "system": f"nullif({_utf8('v_system')}, '')",
         "signature_domains": f"transform(v_sigs, v -> {domain})",

@@ -105,7 +105,7 @@ def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = narinfo(spark, sf_dir)
     lines = table(spark, sf_dir, "lineitem").where("l_orderkey % 7 = 0").select("l_orderkey", "l_linenumber", "l_partkey")
     refs = lines.select("l_orderkey", "l_linenumber", F.unhex(F.sha1(_id("l_partkey"))).alias("h"))
-    refs = refs.select("l_orderkey", F.struct("l_linenumber", F.concat(nixbase32("h"), F.lit("-p")).alias("r")).alias("s"))
+    refs = refs.select("l_orderkey", F.struct("l_linenumber", F.concat(nixbase32("h", 20), F.lit("-p")).alias("r")).alias("s"))
     refs = refs.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"]), " ").alias("refs"))
     rows = parts.join(refs, parts["p_partkey"] * 7 == refs["l_orderkey"], "left")
     k = F.col("p_partkey")
@@ -115,7 +115,7 @@ def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.when(k % 23 == 0, F.concat(F.lit("/nix/store/e"), F.substring("b32", 2, 31), F.lit("-"), "pname")).otherwise(F.concat(F.lit("/nix/store/"), "b32", F.lit("-"), "pname"))
     file_hash = F.when(k % 5 == 0, F.lower(F.hex("file_hash"))).otherwise(F.col("file_b32"))
     sig = F.concat(F.lit("cache-1:"), F.regexp_replace(F.base64(F.encode(F.concat(F.lower(F.hex("nar_hash"))), "UTF-8")), "[\r\n]", ""))
-    rows = rows.withColumns({"b32": nixbase32("hash"), "file_b32": nixbase32("file_hash"), "nar_b32": nixbase32("nar_hash")})
+    rows = rows.withColumns({"b32": nixbase32("hash", 20), "file_b32": nixbase32("file_hash", 32), "nar_b32": nixbase32("nar_hash", 32)})
     text = F.concat(
         F.when(k % 29 == 0, "").otherwise(line("StorePath", path)),
         line("URL", F.lit("ignored")),
