@@ -158,7 +158,7 @@ class Frame:
 
 def parse(raw: bytes) -> list[Frame]:
     """The images of a stored form, one after another. Progressive and arithmetic coding are errors."""
-    frames, at, f = [], 0, Frame()
+    frames, at, f, open_ = [], 0, Frame(), True
     while at + 1 < len(raw):
         if raw[at] != 0xFF:
             raise ValueError(f"no marker at byte {at}")
@@ -168,10 +168,11 @@ def parse(raw: bytes) -> list[Frame]:
             continue
         at += 2
         if marker == 0xD8:
-            f = Frame()
+            f, open_ = Frame(), True
             continue
         if marker == 0xD9:
             frames.append(f)
+            open_ = False
             continue
         size = struct.unpack_from(">H", raw, at)[0]
         body, at = raw[at + 2 : at + size], at + size
@@ -214,6 +215,8 @@ def parse(raw: bytes) -> list[Frame]:
             cuts = np.concatenate([[0], np.cumsum(keep)])[restarts]
             f.pieces = np.split(clean, cuts)
             at += end
+    if open_:
+        raise ValueError("no end of image")
     return frames
 
 
