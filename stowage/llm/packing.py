@@ -21,9 +21,12 @@ from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -43,13 +46,16 @@ PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequ
 class WordCache:
     """Token ids by white-space-separated chunk, with the same result as the tokenizer on the whole text.
 
-    Holds for tokenizers that drop white space and never merge across it. Chunks of plain Latin letters, digits and
-    ASCII signs are split into the tokenizer's words here, so that variants in case or punctuation share one look-up;
-    other chunks, and special tokens, go to the tokenizer as they are. Ids are kept as bytes (little-endian unsigned
-    32-bit), which the garbage collector need not follow. Both caches are emptied when full.
+    Holds for tokenizers that drop white space and never merge across it. Texts are split, and equal chunks found, by Arrow; only
+    the different chunks of a group of texts are looked up here. Chunks of plain Latin letters, digits and ASCII signs
+    are split into the tokenizer's words, so that variants in case or punctuation share one look-up; other chunks, and special tokens,
+    go to the tokenizer as they are. Ids are kept as bytes (little-endian unsigned 32-bit). Both caches are emptied when full.
     """
 
+    LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž"
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ňŊ-ž]+")
+    #: The commonest chunks: letters, then signs other than an apostrophe.
+    SIMPLE = re.compile(rf"([{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
     #: Fixed value: the word pattern of the tokenizer, for plain chunks.
     WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
@@ -66,18 +72,22 @@ class WordCache:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) + len(chunks) > self.limits[0]:
-            self.chunks.clear()
+    def _learn(self, chunks: list[str]) -> None:
         if len(self.words) > self.limits[1]:
             self.words.clear()
-        plain, words, known = {}, self.words, self.chunks
+        names, heads, tails, rest = [], [], [], {}
+        words, known, simple = self.words, self.chunks, self.SIMPLE.fullmatch
         for c in chunks:
-            if self.PLAIN.fullmatch(c) and "<|" not in c:
-                plain[c] = self.WORD.findall(c.lower())
+            if m := simple(c):
+                names.append(c)
+                heads.append(m[1].lower())
+                tails.append(m[2])
+            elif self.PLAIN.fullmatch(c) and "<|" not in c:
+                rest[c] = self.WORD.findall(c.lower())
             else:
                 known[c] = self._whole(c).tobytes()
-        new = list(set(chain.from_iterable(plain.values())) - words.keys())
+        words[""] = b""
+        new = list(set(chain(heads, tails, chain.from_iterable(rest.values()))) - words.keys())
         ids = self._whole(" ".join(new))
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) == len(new):
@@ -86,22 +96,33 @@ class WordCache:
         else:
             words.update((w, self._whole(w).tobytes()) for w in new)
         get = words.__getitem__
-        known.update((c, get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts))) for c, parts in plain.items())
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for s in range(0, len(texts), 512):
-            group = texts[s : s + 512]
-            split = [t.split() for t in group]
-            seen = set(chain.from_iterable(split))
-            for _ in range(2):  # the second time only if the cache was emptied
-                if new := seen - self.chunks.keys():
-                    self._learn(new)
-            get = self.chunks.__getitem__
-            for t, chunks in zip(group, split):
-                if "\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t:  # white space for Python alone
-                    yield self._whole(t)
-                else:
-                    yield np.frombuffer(b"".join(map(get, chunks)), dtype="<u4")
+        known.update(zip(names, map(add, map(get, heads), map(get, tails))))
+        known.update((c, b"".join(map(get, parts))) for c, parts in rest.items())
+
+    def encode(self, texts: list[str], group: int = 1000) -> Iterator[np.ndarray]:
+        for s in range(0, len(texts), group):
+            split = pc.ascii_split_whitespace(pa.array(texts[s : s + group], pa.large_string()))
+            coded = split.flatten().dictionary_encode()
+            unique, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+            parts = list(map(self.chunks.get, unique))
+            if new := [c for c, p in zip(unique, parts) if p is None]:
+                if len(self.chunks) + len(new) > self.limits[0]:
+                    self.chunks.clear()
+                    new = unique
+                self._learn(new)
+                parts = [self.chunks[c] if p is None else p for c, p in zip(unique, parts)]
+            ids = np.frombuffer(b"".join(parts), dtype="<u4")
+            size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) >> 2
+            start = np.cumsum(size) - size
+            # Every chunk's ids in text order: where its ids begin, and a count from there.
+            counts = size[at]
+            ends = np.cumsum(counts)
+            places = np.repeat(start[at] - ends + counts, counts)
+            places += np.arange(len(places))
+            ids = ids[places]
+            bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+            for a, b in zip(bounds, bounds[1:]):
+                yield ids[a:b]
 
 
 @lru_cache(1)
