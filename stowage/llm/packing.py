@@ -87,7 +87,7 @@ class WordCache:
             else:
                 known[c] = self._whole(c).tobytes()
         words[""] = b""
-        new = list(set(chain(heads, tails, chain.from_iterable(rest.values()))) - words.keys())
+        new = [w for w in set(chain(heads, tails, chain.from_iterable(rest.values()))) if w not in words]
         ids = self._whole(" ".join(new))
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) == len(new):

@@ -116,7 +116,7 @@ class Reader:
             seen = {w for words in split for w in words}
             if len(self.known) + len(seen) > self.limit:
                 self.known.clear()
-            new = list(seen - self.known.keys())
+            new = [w for w in seen if w not in self.known]
             for k in range(0, len(new), 20_000):
                 self.known.update(zip(new[k : k + 20_000], self.model.ratios(new[k : k + 20_000]).tolist()))
             get = self.known.__getitem__
