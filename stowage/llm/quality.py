@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -52,10 +53,11 @@ class Reader:
         if not tokens:
             return np.zeros(0, dtype=np.int64)
         known = self.known
-        if new := set(tokens) - known.keys():
+        seen = set(tokens)
+        if new := [t for t in seen if t not in known]:
             if len(known) + len(new) > self.limit:
                 known.clear()
-                new = set(tokens)
+                new = seen
             for t in new:
                 known[t] = (xxhash.xxh64_intdigest(t.lower().encode(), SEED) >> 8 & 0xFFFFFFFFFF) << 6 | _shape(t)
         x = np.fromiter(map(known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
@@ -67,11 +69,17 @@ class Reader:
         return (mixed >> np.uint64(50)).astype(np.int64) % BUCKETS
 
 
+@lru_cache(1)
+def worker_reader() -> Reader:
+    """One for each Python worker, so that its next task finds the tokens of the last."""
+    return Reader()
+
+
 def _counts(rows: DataFrame) -> DataFrame:
     """(bucket, target, raw) of rows(text, target boolean); bucket -1 counts the documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
+        reader = worker_reader()
         for b in batches:
             raw, target = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
             for t, good in zip(b["text"], b["target"].tolist()):
@@ -111,7 +119,7 @@ def keyed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
+        reader = worker_reader()
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "log_ratio": [float(shared.value[reader(t)].sum()) for t in b["text"]]})
 
