@@ -2,8 +2,8 @@
 
 Markup is stripped and the page becomes lines, one for each block element. A line's weight is the length of its text
 without links; lines of menus, forms, adverts, notices, reader comments and the like weigh nothing. The sums of weights over sliding
-windows of three lines show the text as a plateau: it begins at the line where the sum surges and ends where it dives. A
-page that marks its article gets the surge and dive at that element's ends.
+windows of three lines show the text as a plateau: it begins at the line where the sum surges and ends where it dives. This is
+so on every page: a mark as the article raises the weights of an element's lines, and if the sums surge in it, it is text to its ends.
 
 Scale: one pass over the pages, no shuffle, one page at a time; the scanner is linear in the page's length.
 """
@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 WINDOW = 3
 #: Weight in a window at which text surges, and lines of low weight that a plateau may hold.
 SURGE, GAP = 90, 4
+#: Weight that an article's mark adds to a line that has some: three such lines surge however short they are.
+RAISE = SURGE // WINDOW
 
 #: Elements of HTML by what they mean here.
 BLOCKS = frozenset(
@@ -124,11 +126,11 @@ def _container(name: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
     return name, drop, marked
 
 
-def plateau(weights: list[int], window: int = WINDOW, surge: int = SURGE, gap: int = GAP) -> tuple[int, int]:
-    """First and last line (exclusive) of the text: the heaviest plateau of the window sums; (0, 0) if there is no weight."""
+def plateaus(weights: list[int], window: int = WINDOW, surge: int = SURGE, gap: int = GAP) -> list[tuple[int, int]]:
+    """First and last line (exclusive) of each plateau of the window sums."""
     n = len(weights)
     sums = [sum(weights[i : i + window]) for i in range(n)]
-    best, span, i = 0, (0, 0), 0
+    out, i = [], 0
     while i < n:
         if sums[i] < surge or not weights[i]:
             i += 1
@@ -140,25 +142,33 @@ def plateau(weights: list[int], window: int = WINDOW, surge: int = SURGE, gap: i
             if weights[j] and low <= window:
                 end = j
             j += 1
-        if (total := sum(weights[start : end + 1])) > best:
-            best, span = total, (start, end + 1)
+        out.append((start, end + 1))
         i = j
-    if not best and any(weights):  # a short page: all that has weight
-        filled = [k for k, w in enumerate(weights) if w]
-        span = filled[0], filled[-1] + 1
-    return span
+    return out
+
+
+def text_spans(rows: list[tuple[str, int, bool, bool]]) -> list[tuple[int, int]]:
+    """First and last line (exclusive) of each part of lines() that is text, by window sums.
+
+    Lines in a marked element weigh `RAISE` more. Marked elements in which the sums surge are the text, from end to end. If
+    there is none, marked or not, the page's heaviest plateau is. A page without a plateau is short: its marked lines, else all that has weight.
+    """
+    weights = [r[1] + RAISE if r[1] and r[2] else r[1] for r in rows]
+    inside = [False, *[r[2] for r in rows], False]
+    ends = [k for k in range(len(rows) + 1) if inside[k] != inside[k + 1]]
+    articles = list(zip(ends[::2], ends[1::2]))
+    if found := [(a, b) for a, b in articles if plateaus(weights[a:b])]:
+        return found
+    if found := plateaus(weights):
+        return [max(found, key=lambda f: sum(weights[f[0] : f[1]]))]
+    filled = [k for k, w in enumerate(weights) if w]
+    return [(a, b) for a, b in articles if not all(r[3] for r in rows[a:b])] or ([(filled[0], filled[-1] + 1)] if filled else [])
 
 
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by line feeds; empty for null, empty and textless pages."""
     rows = lines(html or "")
-    marked = [k for k, r in enumerate(rows) if r[2] and not r[3]]
-    if marked:
-        span = marked[0], marked[-1] + 1
-        rows = [r if r[2] else (r[0], 0, False, True) for r in rows]
-    else:
-        span = plateau([r[1] for r in rows])
-    return "\n".join(r[0] for r in rows[span[0] : span[1]] if not r[3])
+    return "\n".join(r[0] for a, b in text_spans(rows) for r in rows[a:b] if not r[3])
 
 
 def extract(pages: DataFrame) -> DataFrame:

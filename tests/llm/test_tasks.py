@@ -399,6 +399,18 @@ def test_main_text(name):
     assert html.main_text(page) == want
 
 
+def test_window_sums_decide_where_articles_are_marked():
+    text = [LONG.strip()] * 3
+    blocks = "".join(f"<div>{x}</div>" for x in text)
+    assert html.main_text(f"<body><main></main>{blocks}<article>Ad: see more</article></body>").split("\n")[:3] == text
+    assert html.main_text(f"<body><article>Read more</article>{'<div class=ad>x</div>' * 9}{blocks}</body>").split("\n") == text
+    poem = ["A line of verse,", "another, shorter,", "and the last one."]
+    verses = "".join(f"<p>{x}</p>" for x in poem)
+    assert html.main_text(f"<body><article>{verses}</article><div class=ad>x</div>{blocks}</body>").split("\n") == poem
+    two = f"<article>{blocks}</article>" + "<div class=ad>x</div>" * 9
+    assert html.main_text(f"<body>{two}{two}<div>Imprint</div></body>").split("\n") == text * 2
+
+
 def test_extraction(spark, small):
     rows = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<p>é" * 3, "x"), (3, "u", "<p>é" * 3, "x"), (None, "u", "<", "x")], "page_id bigint, url string, html string, text string")
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html.extract(rows).collect())
