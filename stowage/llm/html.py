@@ -2,8 +2,9 @@
 
 Markup is stripped and the page becomes lines, one for each block element. A line's weight is the length of its text
 without links; lines of menus, forms, adverts, notices, reader comments and the like weigh nothing. The sums of weights over sliding
-windows of three lines show the text as a plateau: it begins at the line where the sum surges and ends where it dives. This is
-so on every page: a mark as the article raises the weights of an element's lines, and if the sums surge in it, it is text to its ends.
+windows of three lines show the text as a plateau: it begins at the line where the sum surges and ends where it dives
+into dropped lines or links; light lines between do not end it. This is so on every page: a mark as the article raises the weights of
+an element's lines, and if the sums surge in it, it is text to its ends.
 
 Scale: one pass over the pages, no shuffle, one page at a time; the scanner is linear in the page's length.
 """
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 WINDOW = 3
-#: Weight in a window at which text surges, and lines of low weight that a plateau may hold.
+#: Weight in a window at which text surges, and dropped or linked lines of low sums that a plateau may hold.
 SURGE, GAP = 90, 4
 #: Weight that an article's mark adds to a line that has some: three such lines surge however short they are.
 RAISE = SURGE // WINDOW
@@ -126,8 +127,11 @@ def _container(name: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
     return name, drop, marked
 
 
-def plateaus(weights: list[int], window: int = WINDOW, surge: int = SURGE, gap: int = GAP) -> list[tuple[int, int]]:
-    """First and last line (exclusive) of each plateau of the window sums."""
+def plateaus(weights: list[int], breaks: list[bool], window: int = WINDOW, surge: int = SURGE, gap: int = GAP) -> list[tuple[int, int]]:
+    """First and last line (exclusive) of each plateau of the window sums.
+
+    Light lines (lists, dialogue, cells) never end a plateau: only `breaks`, lines that are dropped or mostly links, count to the gap.
+    """
     n = len(weights)
     sums = [sum(weights[i : i + window]) for i in range(n)]
     out, i = [], 0
@@ -136,10 +140,14 @@ def plateaus(weights: list[int], window: int = WINDOW, surge: int = SURGE, gap:
             i += 1
             continue
         start = end = i  # the surge point
-        low, j = 0, i
-        while j < n and low <= gap:  # until the sums have dived for longer than a gap
-            low = 0 if sums[j] >= surge else low + 1
-            if weights[j] and low <= window:
+        low, late, j = 0, 0, i
+        while j < n and low <= gap:  # until the sums have dived over more breaks than a gap
+            if sums[j] >= surge:
+                low = late = 0
+            else:
+                low += breaks[j]
+                late += low > 0  # lines of low sums since the first break
+            if weights[j] and late <= window:
                 end = j
             j += 1
         out.append((start, end + 1))
@@ -154,12 +162,13 @@ def text_spans(rows: list[tuple[str, int, bool, bool]]) -> list[tuple[int, int]]
     there is none, marked or not, the page's heaviest plateau is. A page without a plateau is short: its marked lines, else all that has weight.
     """
     weights = [r[1] + RAISE if r[1] and r[2] else r[1] for r in rows]
+    breaks = [2 * r[1] < len(r[0]) for r in rows]
     inside = [False, *[r[2] for r in rows], False]
     ends = [k for k in range(len(rows) + 1) if inside[k] != inside[k + 1]]
     articles = list(zip(ends[::2], ends[1::2]))
-    if found := [(a, b) for a, b in articles if plateaus(weights[a:b])]:
+    if found := [(a, b) for a, b in articles if plateaus(weights[a:b], breaks[a:b])]:
         return found
-    if found := plateaus(weights):
+    if found := plateaus(weights, breaks):
         return [max(found, key=lambda f: sum(weights[f[0] : f[1]]))]
     filled = [k for k, w in enumerate(weights) if w]
     return [(a, b) for a, b in articles if not all(r[3] for r in rows[a:b])] or ([(filled[0], filled[-1] + 1)] if filled else [])

@@ -411,6 +411,16 @@ def test_window_sums_decide_where_articles_are_marked():
     assert html.main_text(f"<body>{two}{two}<div>Imprint</div></body>").split("\n") == text * 2
 
 
+def test_light_lines_stay_without_marks():
+    para = LONG.strip()
+    items = [f"Item {k} of the list" for k in range(12)]
+    page = lambda *parts: "<body><div class=menu>Menu</div>" + "".join(f"<div class=ad>Buy {p[3:]}</div>" if p[:3] == "ad:" else f"<div>{p}</div>" for p in parts) + "<div id=footer>F</div></body>"
+    for parts in ([para, para, *items, para], [para, *items], [para, *items, "ad:1", *items, para], [para, "ad:1", "ad:2", *items[:1]]):
+        assert html.main_text(page(*parts)).split("\n") == [p for p in parts if p[:3] != "ad:"]
+    links = [f"<a href=x>Other story {k}</a>" for k in range(8)]
+    assert html.main_text(page(para, para, *items, *links, para)).split("\n") == [para, para, *items]
+
+
 def test_extraction(spark, small):
     rows = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<p>é" * 3, "x"), (3, "u", "<p>é" * 3, "x"), (None, "u", "<", "x")], "page_id bigint, url string, html string, text string")
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html.extract(rows).collect())
