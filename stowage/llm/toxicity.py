@@ -7,8 +7,8 @@ continuation counts, so an expression that either class has hardly seen tells li
 rows that took no part in the counts, turns the comparison over the whole text and over its most toxic words into a score.
 
 Scale: word counts are made for all labelled training rows, in tasks first and then by one shuffle of (word, counts).
-What is broadcast has a fixed size at any input (`PLACES` hashed places for each order, 38 MB in all). The curve is fitted on at
-most `calibration_rows` rows. Scoring is one pass over the documents without a shuffle; each task keeps the ratios of
+What is broadcast are the counts of all distinct character sequences of the training rows, by 64-bit hash: 16 bytes a sequence and 24 a
+context, which grow with the vocabulary and not with the text. The curve is fitted on at most `calibration_rows` rows. Scoring is one pass over the documents without a shuffle; each task keeps the ratios of
 words it has met in a bounded cache.
 """
 
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 ORDER = 5
-PLACES = 1 << 19
+#: Characters that a text could have, for smoothing.
+CHARACTERS = 1 << 19
 DISCOUNT = 0.75
 #: The most toxic words whose mean ratio is a feature.
 TOP = 3
@@ -37,7 +38,7 @@ CALIBRATION_ROWS = 20_000
 BROADCAST_ROWS = 4_000_000
 
 WORD = re.compile(r"[^\W_]+")
-BASE, MIX = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15)
+BASE = np.uint64(1_000_003)
 FEATURES = ("mean", "scaled", "top", "worst")
 
 
@@ -50,26 +51,35 @@ def fold(doc_id: str) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
-def places(rolled: np.ndarray) -> np.ndarray:
-    """The places of character sequences, from their polynomial hashes."""
-    return ((rolled * MIX) >> np.uint64(40)).astype(np.int64) % PLACES
-
-
 def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
 
 
+@dataclass
+class Table:
+    """Counts of character sequences by the sequences' polynomial hashes, which are sorted: values[column, key]."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """[column, key] for any keys; zeros for those that are absent."""
+        if not len(self.keys):
+            return np.zeros((len(self.values), len(keys)), dtype=np.float32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.values[:, at] * (self.keys[at] == keys)
+
+
 @dataclass
 class Model:
-    """By order n from 2: counts[n - 2][class, place of the sequence], and its context's tokens and kinds by place.
+    """By order n from 2: grams[n - 2] with (ordinary, toxic) counts, contexts[n - 2] with their tokens and their kinds.
 
-    Class 0 is ordinary, 1 toxic. shared: continuation counts of single characters, of both classes together.
+    shared: continuation counts of single characters, of both classes together.
     """
 
-    counts: np.ndarray
-    tokens: np.ndarray
-    kinds: np.ndarray
-    shared: np.ndarray
+    grams: list[Table]
+    contexts: list[Table]
+    shared: Table
     weights: np.ndarray | None = None  # of the curve: constant and features
 
     def ratios(self, words: list[str]) -> np.ndarray:
@@ -78,21 +88,20 @@ class Model:
         lengths = np.array([len(w) + 2 for w in words])
         starts = np.cumsum(lengths) - lengths
         depth = np.arange(len(codes)) - np.repeat(starts, lengths)  # characters before it in its word
-        total = self.shared.sum()
-        base = (self.shared[places(codes)] + 0.5) / (total + 0.5 * len(self.shared))
+        total = self.shared.values.sum(dtype=float)
+        base = (self.shared(codes)[0].astype(float) + 0.5) / (total + 0.5 * CHARACTERS)
         p = np.stack([base, base])
         rolled = codes  # of the sequences of n - 1 characters that end at each place
         for n in range(2, ORDER + 1):
             at = np.flatnonzero(depth >= n - 1)
-            context = places(rolled[at - 1])
+            context = self.contexts[n - 2](rolled[at - 1])
             rolled = rolled.copy()
             rolled[n - 1 :] += codes[: len(codes) - n + 1] * BASE ** np.uint64(n - 1)
-            here = places(rolled[at])
-            k = n - 2
-            tokens = self.tokens[k][:, context]
+            here = self.grams[n - 2](rolled[at])
+            tokens, kinds = context[:2], context[2:]
             some = np.maximum(tokens, 1)
-            back = np.where(tokens > 0, np.minimum(1, DISCOUNT * self.kinds[k][:, context] / some), 1)
-            p[:, at] = np.maximum(self.counts[k][:, here] - DISCOUNT, 0) / some + back * p[:, at]
+            back = np.where(tokens > 0, np.minimum(1, DISCOUNT * kinds / some), 1)
+            p[:, at] = np.maximum(here - DISCOUNT, 0) / some + back * p[:, at]
         logs = np.log(p[1]) - np.log(p[0])
         logs[depth == 0] = 0
         return np.add.reduceat(logs, starts)
@@ -150,7 +159,7 @@ def _sum(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _placed(grams: DataFrame, n: int) -> DataFrame:
-    """(here, context, ordinary, toxic) of grams(gram, ordinary, toxic) of n characters."""
+    """(here, context, ordinary, toxic) of grams(gram, ordinary, toxic) of n characters: hashes as signed numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -159,17 +168,17 @@ def _placed(grams: DataFrame, n: int) -> DataFrame:
             for k in range(n - 1):
                 rolled = rolled * BASE + codes[:, k]
             whole = rolled * BASE + codes[:, n - 1]
-            yield pd.DataFrame({"here": places(whole), "context": places(rolled), "ordinary": b["ordinary"], "toxic": b["toxic"]})
+            yield pd.DataFrame({"here": whole.view(np.int64), "context": rolled.view(np.int64), "ordinary": b["ordinary"], "toxic": b["toxic"]})
 
     return grams.mapInPandas(run, "here bigint, context bigint, ordinary bigint, toxic bigint")
 
 
-def _array(df: DataFrame, key: str, names: tuple[str, str]) -> np.ndarray:
-    """[2, PLACES] from df, which has one row for each place at most."""
+def _table(df: DataFrame, key: str, *names: str) -> Table:
+    """From df, which has one row for each key."""
     got = df.select(key, *names).toPandas()
-    out = np.zeros((2, PLACES), dtype=np.float32)
-    out[0, got[key]], out[1, got[key]] = got[names[0]], got[names[1]]
-    return out
+    keys = got[key].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Table(keys[order], np.stack([got[c].to_numpy(dtype=np.float32)[order] for c in names]))
 
 
 def count_model(rows: DataFrame) -> Model:
@@ -177,20 +186,19 @@ def count_model(rows: DataFrame) -> Model:
     p = "concat('^', word, '$')"
     grams = f"explode(transform(sequence(2, length(word) + 2), i -> substring({p}, greatest(1, i - {ORDER - 1}), least(i, {ORDER})))) as gram"
     top = materialise(_sum(_word_counts(rows).selectExpr(grams, "ordinary", "toxic"), "gram"))
-    counts, tokens, kinds = [], [], []
+    counts, contexts = [], []
     for n in range(ORDER, 1, -1):
         table = materialise(_placed(top.where(F.length("gram") == n), n))
-        counts.append(_array(_sum(table, "here"), "here", ("ordinary", "toxic")))
+        counts.append(_table(_sum(table, "here"), "here", "ordinary", "toxic"))
         some = lambda c: F.sum((F.col(c) > 0).cast("long"))
         by = table.groupBy("context").agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t"), some("ordinary").alias("ko"), some("toxic").alias("kt"))
-        tokens.append(_array(by, "context", ("o", "t")))
-        kinds.append(_array(by, "context", ("ko", "kt")))
+        contexts.append(_table(by, "context", "o", "t", "ko", "kt"))
         # Of the lower order: how many characters come before it; at a word's start, where none does, the counts stay.
         shorter = top.where(F.length("gram") == n).selectExpr("substring(gram, 2) as gram", "cast(ordinary > 0 as bigint) as ordinary", "cast(toxic > 0 as bigint) as toxic")
         top = materialise(_sum(top.where(F.length("gram") < n).union(shorter), "gram"))
     single = _placed(top.where(F.length("gram") == 1), 1)
-    shared = _array(_sum(single, "here"), "here", ("ordinary", "toxic")).sum(axis=0)
-    return Model(np.stack(counts[::-1]), np.stack(tokens[::-1]), np.stack(kinds[::-1]), shared)
+    shared = _table(_sum(single, "here"), "here", "ordinary", "toxic")
+    return Model(counts[::-1], contexts[::-1], Table(shared.keys, shared.values.sum(axis=0, keepdims=True)))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> np.ndarray:

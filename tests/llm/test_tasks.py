@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -278,6 +278,53 @@ def test_held_out_labels_are_not_read(spark):
     assert a == b
 
 
+def brute_ratio(texts, words):
+    """log P(word | toxic) - log P(word | ordinary) of texts(text, toxic) by Counters of whole sequences."""
+    top = [Counter(), Counter()]
+    for t, kind in texts:
+        for w in toxicity.words_of(t):
+            p = f"^{w}$"
+            top[kind].update(p[max(0, i - 5) : i] for i in range(2, len(p) + 1))
+    by = {}
+    for n in (5, 4, 3, 2):
+        by[n] = []
+        for kind in (0, 1):
+            here = {g: c for g, c in top[kind].items() if len(g) == n}
+            tokens, kinds = Counter(), Counter()
+            for g, c in here.items():
+                tokens[g[:-1]] += c
+                kinds[g[:-1]] += 1
+            by[n].append((here, tokens, kinds))
+            low = Counter({g: c for g, c in top[kind].items() if len(g) < n})
+            low.update(g[1:] for g in here)
+            top[kind] = low
+    single = top[0] + top[1]
+    out = []
+    for w in words:
+        p, logs = f"^{w}$", 0.0
+        for i in range(1, len(p)):
+            both = []
+            for kind in (0, 1):
+                q = (single[p[i]] + 0.5) / (sum(single.values()) + 0.5 * (1 << 19))
+                for n in range(2, min(5, i + 1) + 1):
+                    here, tokens, kinds = by[n][kind]
+                    g = p[i - n + 1 : i + 1]
+                    if t := tokens[g[:-1]]:
+                        q = max(here.get(g, 0) - 0.75, 0) / t + min(1, 0.75 * kinds[g[:-1]] / t) * q
+                both.append(q)
+            logs += np.log(both[1]) - np.log(both[0])
+        out.append(logs)
+    return out
+
+
+def test_counts_are_exact_with_many_sequences(spark):
+    rng = random.Random(9)
+    texts = [(" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzàéîõü") for _ in range(7)) for _ in range(200)), int(k % 4 == 0)) for k in range(300)]
+    model = toxicity.count_model(spark.createDataFrame(texts, "text string, toxic int"))
+    words = [t.split()[3] for t, _ in texts[:60]] + ["zzz", "a", "日本語", "unseen"]
+    assert np.allclose(model.ratios(words), brute_ratio(texts, words), rtol=1e-4, atol=1e-4)
+
+
 # Quality
 
 
