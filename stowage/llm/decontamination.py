@@ -87,17 +87,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY
     shorter than an item is one window. Rows that share a doc_id count as one document; null ids give rows like others.
     """
     items = benchmark.select("item_id", normal("text").alias("words"))
-    items = items.select("item_id", F.size(F.split("words", " ")).alias("n"), grams(F.col("words")).alias("shingles")).where("size(shingles) > 0")
+    # Items meet by a key of their words, for their ids may be null or shared.
+    items = items.select("item_id", F.xxhash64("words").alias("item"), F.size(F.split("words", " ")).alias("n"), grams(F.col("words")).alias("shingles"))
+    items = items.where("size(shingles) > 0").distinct()
     items = materialise(items.withColumn("fingerprint", simhash("shingles")))
     laid = materialise(windows(docs, items))
     each = laid.select("n", "window").distinct().withColumn("shingles", grams(F.col("window"))).where("size(shingles) > 0")
     each = materialise(each.withColumn("fingerprint", simhash("shingles")))
+    texts = items.drop("item_id").distinct()
     left = each.select("n", "window", "fingerprint", F.explode(blocks("fingerprint", radius)).alias("b")).select("*", "b.*").drop("b")
-    right = items.select("n", "item_id", F.col("fingerprint").alias("of_item"), F.explode(blocks("fingerprint", radius)).alias("b")).select("*", "b.*").drop("b")
+    right = texts.select("n", "item", F.col("fingerprint").alias("of_item"), F.explode(blocks("fingerprint", radius)).alias("b")).select("*", "b.*").drop("b")
     near = left.join(right, ["n", "block", "bits"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("of_item"))) <= radius)
-    near = near.select("n", "window", "item_id").distinct()
-    near = near.join(items.select("item_id", F.col("shingles").alias("of_item")), "item_id").withColumn("shingles", grams(F.col("window")))
+    near = near.select("n", "window", "item").distinct()
+    near = near.join(texts.select("item", F.col("shingles").alias("of_item")), "item").withColumn("shingles", grams(F.col("window")))
     near = near.withColumn("similarity", similarity("shingles", "of_item")).where(F.col("similarity") >= threshold)
+    near = near.join(items.select("item", "item_id"), "item")
     near = materialise(near.select("n", "window", "item_id", "similarity"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back")))
     rows = laid.join(near, ["n", "window"]).groupBy("doc_id", "item_id").agg(best.alias("b"))

@@ -141,6 +141,16 @@ def test_windows_against_all_windows(spark):
     assert kept.columns == docs(spark).columns
 
 
+def test_items_with_null_and_shared_ids(spark):
+    rng = random.Random(11)
+    short, long, other = (" ".join(words(rng, n)) for n in (12, 30, 20))
+    bench = spark.createDataFrame([(None, short), (None, long), (None, short), (4, short), (5, other), (5, long)], "item_id bigint, text string")
+    texts = docs(spark, f"before it {short} after it", f"x {long}", other, None, "none of the items is in here at all")
+    got = sorted(((r.doc_id, r.item_id, r.start, r.similarity) for r in decontamination.matches(texts, bench).collect()), key=repr)
+    assert got == [(0, 4, 2, 1.0), (0, None, 2, 1.0), (1, 5, 1, 1.0), (1, None, 1, 1.0), (2, 5, 0, 1.0)]
+    assert sorted(r.doc_id for r in decontamination.drop_contaminated(texts, bench).collect()) == [3, 4]
+
+
 def test_decontamination_of_nothing(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.matches(docs(spark, "a b c d e f g"), bench).count() == 0
