@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,3 +39,16 @@ def materialise(df: DataFrame) -> DataFrame:
     where = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(where)
     return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that materialise() returned, once nothing will read it again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def batch(**columns: pa.Array) -> pa.RecordBatch:
+    """Columns as they are: ids that come in by Arrow go out by Arrow, so that none passes through floats beside a null."""
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))

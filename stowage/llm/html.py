@@ -15,9 +15,11 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import batch
+
 WINDOW = 3
 #: Weight in a window at which text surges, and dropped or linked lines of low sums that a plateau may hold.
 SURGE, GAP = 90, 4
@@ -186,10 +188,10 @@ def extract(pages: DataFrame) -> DataFrame:
     Null and empty html give an empty text. Repeated rows and null ids stay.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(h) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            texts = [main_text(h.as_py()) for h in b.column("html")]
+            yield batch(page_id=b.column("page_id"), url=b.column("url"), text=pa.array(texts, pa.string()), n_chars=pa.array(map(len, texts), pa.int64()))
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {kind}, url string, text string, n_chars bigint")
+    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")

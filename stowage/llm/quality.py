@@ -17,11 +17,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import batch, materialise
 
 BUCKETS = 1 << 14
 SEED = 42
@@ -118,13 +119,13 @@ def keyed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
     """(doc_id, log_ratio, key): key is the log ratio with Gumbel noise from a hash of doc_id and seed."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = worker_reader()
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "log_ratio": [float(shared.value[reader(t)].sum()) for t in b["text"]]})
+            yield batch(doc_id=b.column("doc_id"), log_ratio=pa.array([float(shared.value[reader(t.as_py())].sum()) for t in b.column("text")], pa.float64()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, log_ratio double")
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, log_ratio double")
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
     return out.withColumn("key", F.col("log_ratio") - F.log(-F.log(uniform)))
 

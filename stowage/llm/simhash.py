@@ -18,11 +18,12 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import batch, discard, materialise
 
 SEED = 42
 TILE = 16384
@@ -51,13 +52,13 @@ def fingerprint(text: str | None, k: int = 3) -> int:
 def with_fingerprint(docs: DataFrame, k: int = 3) -> DataFrame:
     """(doc_id, fingerprint long: the 64 bits as a signed number) for every row of docs(doc_id, text)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = np.array([fingerprint(t, k) for t in b["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fingerprint": prints})
+            prints = np.array([fingerprint(t.as_py(), k) for t in b.column("text")], dtype=np.uint64).view(np.int64)
+            yield batch(doc_id=b.column("doc_id"), fingerprint=pa.array(prints))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fingerprint bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint bigint")
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
