@@ -1,6 +1,6 @@
 """Packing of tokenised documents into fixed-size sequences by order-preserving dynamic programming.
 
-Tokens stay in the order of the table. A plan chooses window cuts among document ends, sentence ends and (where a run of
+Tokens stay in the order of the table. A plan chooses window cuts among all document ends, all sentence ends and (where a run of
 tokens without either is longer than a window, and near the end of a stretch) plain token positions, and minimises
 padding plus a penalty for each cut inside a document. With f(j) the least cost of the first j cut places,
 
@@ -24,21 +24,19 @@ from itertools import chain
 from operator import add
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from .common import batch
+
 SIZE = 4096
 END = 2
 #: Cost, in tokens of padding, of a cut at a sentence end inside a document and of a cut inside a sentence.
 SENTENCE_CUT, WORD_CUT = 8, 24
 STRETCH = 1 << 19
-#: Of sentence ends in the same run of so many tokens only the last is a place for a cut.
-GRAIN = 32
-SHORTEST = 16
 
 PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -140,16 +138,15 @@ def sentence_marks(path: str) -> np.ndarray:
     return marks
 
 
-def plan(places: np.ndarray, penalties: np.ndarray, size: int = SIZE, short: bool = True) -> list[int]:
+def plan(places: np.ndarray, penalties: np.ndarray, size: int = SIZE) -> list[int]:
     """Indices of the chosen cuts among `places` (ascending token positions from 0; the last one is always chosen).
 
     Neighbouring places must not be more than `size` apart. The cost is the padding of each window (none if its length
-    is a power of two) plus the penalties of the chosen places. Unless `short`, powers of two under size / SHORTEST are
-    not tried.
+    is a power of two) plus the penalties of the chosen places.
     """
     n = len(places)
     exact: dict[int, list[int]] = {}  # by place: the places a power of two before it
-    for p in (1 << k for k in range(size.bit_length()) if (1 << k) * SHORTEST >= size or short):
+    for p in (1 << k for k in range(size.bit_length())):
         at = np.searchsorted(places, places - p)
         for j in np.flatnonzero(places[at] == places - p).tolist():
             exact.setdefault(j, []).append(int(at[j]))
@@ -186,7 +183,6 @@ def cut_places(tokens: np.ndarray, doc_ends: np.ndarray, marks: np.ndarray, size
     """Places (from 0 to the number of tokens) where a window may end, and the penalty of each."""
     n = len(tokens)
     sentences = np.flatnonzero(marks[tokens]) + 1
-    sentences = sentences[np.append(np.diff(sentences // GRAIN) > 0, True)[: len(sentences)]]
     places = np.unique(np.concatenate([sentences, doc_ends, [0, n]]))
     far = np.flatnonzero(np.diff(places) > size)
     extra = [np.arange(places[g] + size, places[g + 1], size) for g in far.tolist()]
@@ -230,7 +226,7 @@ class Packer:
         tokens = np.concatenate([h[2] for h in self.held])
         ends = np.cumsum([len(h[2]) for h in self.held])
         places, penalties = cut_places(tokens, ends, self.marks, self.size, final)
-        cuts = places[plan(places, penalties, self.size, final)]
+        cuts = places[plan(places, penalties, self.size)]
         if not final:
             cuts = cuts[:-1]  # the last window is carried on
         done = int(cuts[-1]) if len(cuts) else 0
@@ -265,19 +261,24 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, stretch: int =
     """
     if size < 1 or stretch < 4 * size:
         raise ValueError("size must be positive and stretch at least four times as long")
+    names = ["doc_id", *(c.split()[0] for c in PIECES.split(", "))]
+
+    def table(rows: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
+        return batch(**{c: pa.array(v, ids if c == "doc_id" else pa.int64()) for c, v in zip(names, zip(*rows))})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, marks = word_cache(tokenizer_path), sentence_marks(tokenizer_path)
         packer = Packer(marks, size, stretch, TaskContext.get().partitionId() << 32)
-        names = ["doc_id", *(c.split()[0] for c in PIECES.split(", "))]
+        kind = None
         for b in batches:
+            kind = b.column("doc_id").type
             rows: list[tuple] = []
-            for doc_id, ids in zip(b["doc_id"].tolist(), cache.encode(b["text"].fillna("").tolist())):
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), cache.encode(b.column("text").fill_null("").to_pylist())):
                 rows += packer.add(doc_id, np.append(ids, np.uint32(end_id)))
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield table(rows, kind)
         if rows := packer.flush(True):
-            yield pd.DataFrame(rows, columns=names)
+            yield table(rows, kind)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, {PIECES}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {PIECES}")
