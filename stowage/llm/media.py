@@ -9,21 +9,26 @@ Decoding reads markers, tables and scans of any baseline JPEG (several component
 keeps the DC coefficients of the luminance. Restart intervals of all images of a group are decoded together, one numpy
 lane each, so the interpreter's work is the number of blocks in the longest interval and not of all blocks.
 
-Scale: one pass, no shuffle; a task holds one Arrow batch and works on groups of about `GROUP` payload bytes.
+Scale: one pass, no shuffle; a task holds one Arrow batch and works on images of about `GROUP` payload bytes together, so one long
+text needs no more working memory than many short ones.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .common import batch
+
 UNIT = 64
 ROWS = 65535 // 8
 GROUP = 1 << 20
@@ -90,7 +95,23 @@ def payload(text: str | None) -> bytes:
 
 
 def encode(payloads: list[bytes]) -> list[bytes]:
-    """One stored form for each payload (whose lengths are multiples of 64)."""
+    """One stored form for each payload (whose lengths are multiples of 64): its images, made in groups of bounded size."""
+    step = UNIT * ROWS
+    images = [(k, p[s : s + step]) for k, p in enumerate(payloads) for s in range(0, len(p), step)]
+    stored: list[list[bytes]] = [[] for _ in payloads]
+    start = size = 0
+    for end, (_, p) in enumerate(images, 1):
+        size += len(p)
+        if size >= GROUP or end == len(images):
+            for (k, _), image in zip(images[start:end], _images(images[start:end])):
+                stored[k].append(image)
+            start, size = end, 0
+    return [b"".join(parts) for parts in stored]
+
+
+def _images(parts: list[tuple[int, bytes]]) -> list[bytes]:
+    """One image for each (document, payload) of at most `ROWS` rows."""
+    payloads = [p for _, p in parts]
     rows_of = [len(p) // UNIT for p in payloads]
     samples = np.frombuffer(b"".join(payloads), dtype=np.uint8).reshape(-1, UNIT).astype(np.int64) - 128
     diffs = np.diff(samples, axis=1, prepend=0) + 255
@@ -119,16 +140,9 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     first = np.concatenate([[0], np.cumsum(rows_of)])
     number = np.arange(len(row_bytes)) - np.repeat(first[:-1], rows_of)
     out[row_end] = 0xFF
-    out[row_end + 1] = 0xD0 + (number % ROWS) % 8
-    whole, stored = out.tobytes(), []
-    starts = np.concatenate([[0], row_end + 2])
-    for f, n in zip(first.tolist(), rows_of):
-        parts = []
-        for s in range(f, f + n, ROWS):
-            e = min(s + ROWS, f + n)
-            parts += [_header(e - s), whole[starts[s] : row_end[e - 1]], b"\xff\xd9"]
-        stored.append(b"".join(parts))
-    return stored
+    out[row_end + 1] = 0xD0 + number % 8
+    whole, starts = out.tobytes(), np.concatenate([[0], row_end + 2])
+    return [_header(n) + whole[starts[f] : row_end[f + n - 1]] + b"\xff\xd9" for f, n in zip(first.tolist(), rows_of)]
 
 
 @dataclass
@@ -156,9 +170,13 @@ class Frame:
         return tuple(k for k, c in enumerate(self.components) for _ in range(c[1] * c[2]))
 
 
-def parse(raw: bytes) -> list[Frame]:
+#: A marker that ends a scan: neither stuffing nor a restart marker.
+_SCAN_END = re.compile(rb"\xff[^\x00\xd0-\xd7]")
+
+
+def parse(raw: bytes) -> Iterator[Frame]:
     """The images of a stored form, one after another. Progressive and arithmetic coding are errors."""
-    frames, at, f, open_ = [], 0, Frame(), True
+    at, f, open_ = 0, Frame(), True
     while at + 1 < len(raw):
         if raw[at] != 0xFF:
             raise ValueError(f"no marker at byte {at}")
@@ -171,7 +189,7 @@ def parse(raw: bytes) -> list[Frame]:
             f, open_ = Frame(), True
             continue
         if marker == 0xD9:
-            frames.append(f)
+            yield f
             open_ = False
             continue
         size = struct.unpack_from(">H", raw, at)[0]
@@ -202,22 +220,20 @@ def parse(raw: bytes) -> list[Frame]:
             if len(chosen) != len(f.components):
                 raise ValueError("only scans of all components")
             f.scan = [(chosen[c[0]] >> 4, 16 + (chosen[c[0]] & 15)) for c in f.components]
-            data = np.frombuffer(raw, dtype=np.uint8, offset=at)
+            found = _SCAN_END.search(raw, at)
+            end = found.start() if found else len(raw)
+            data = np.frombuffer(raw, dtype=np.uint8, offset=at, count=end - at)
             marks = np.flatnonzero(data[:-1] == 0xFF)
             follow = data[marks + 1]
-            ends = marks[(follow != 0) & ((follow < 0xD0) | (follow > 0xD7))]
-            end = int(ends[0]) if len(ends) else len(data)
-            restarts = marks[(marks < end) & (follow >= 0xD0) & (follow <= 0xD7)]
-            keep = np.ones(end, dtype=bool)
-            keep[marks[(marks < end) & (follow == 0)] + 1] = False  # stuffing
+            restarts = marks[follow != 0]
+            keep = np.ones(len(data), dtype=bool)
+            keep[marks[follow == 0] + 1] = False  # stuffing
             keep[restarts], keep[restarts + 1] = False, False
-            clean = data[:end][keep]
             cuts = np.concatenate([[0], np.cumsum(keep)])[restarts]
-            f.pieces = np.split(clean, cuts)
-            at += end
+            f.pieces = np.split(data[keep], cuts)
+            at = end
     if open_:
         raise ValueError("no end of image")
-    return frames
 
 
 def dc_thumbnails(frames: list[Frame]) -> list[np.ndarray]:
@@ -315,7 +331,6 @@ def _thumbnail(f: Frame, values: list[np.ndarray], counts: list[int]) -> np.ndar
 
 def thumbnail_hash(pixels: np.ndarray) -> str:
     """64 bits in hex: each of 8x8 cells against the mean of the cells; an image is cut into 8x8 nearly equal parts."""
-    sums = np.concatenate([[0], np.cumsum(pixels, dtype=np.int64)])
     h, w = pixels.shape
     rows, cols = (np.linspace(0, n, 9).astype(np.int64) for n in (h, w))
     area = np.zeros((h + 1, w + 1), dtype=np.int64)
@@ -326,12 +341,47 @@ def thumbnail_hash(pixels: np.ndarray) -> str:
     return np.packbits(sums * int(cells.sum()) > int(sums.sum()) * cells).tobytes().hex()
 
 
-def features(frames: list[Frame], thumbnails: list[np.ndarray]) -> str:
-    """For each image "<width>x<height>:<thumbnail hash>", joined by commas."""
-    return ",".join(f"{f.width}x{f.height}:{thumbnail_hash(t)}" for f, t in zip(frames, thumbnails))
+COLUMNS = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+_TYPES = dict(zip(COLUMNS, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())))
+SCHEMA = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+
+
+class Digest:
+    """What is told of one stored form, from its decoded images in order."""
 
+    def __init__(self, raw: bytes):
+        self.media = len(raw), hashlib.sha256(raw).hexdigest()
+        self.sha, self.size, self.tail, self.features = hashlib.sha256(), 0, b"", []
 
-COLUMNS = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+    def add(self, f: Frame, thumbnail: np.ndarray) -> None:
+        back = thumbnail.tobytes()
+        self.sha.update(back)
+        self.size += len(back)
+        self.tail = (self.tail + back)[-UNIT:]
+        self.features.append(f"{f.width}x{f.height}:{thumbnail_hash(thumbnail)}")
+
+    def row(self) -> tuple:
+        return (self.size, self.sha.hexdigest(), zlib.crc32(self.tail), *self.media, ",".join(self.features))
+
+
+def digests(stored: list[bytes]) -> list[Digest]:
+    """Decodes the images of stored forms in groups of bounded size, whatever form they belong to."""
+    out, some, size = [Digest(raw) for raw in stored], [], 0
+
+    def decode() -> None:
+        for (k, f), thumbnail in zip(some, dc_thumbnails([f for _, f in some])):
+            out[k].add(f, thumbnail)
+        some.clear()
+
+    for k, raw in enumerate(stored):
+        for f in parse(raw):
+            some.append((k, f))
+            size += sum(map(len, f.pieces))
+            if size >= GROUP:
+                decode()
+                size = 0
+    decode()
+    return out
 
 
 def store(docs: DataFrame) -> DataFrame:
@@ -340,49 +390,38 @@ def store(docs: DataFrame) -> DataFrame:
     Null and empty texts are 64 zero bytes. Equal texts have equal stored forms. Repeated rows and null ids stay.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for some, raw in _grouped(b):
-                yield pd.DataFrame({"doc_id": some, "n_bytes": [n for n, _ in raw], "media": encode([p for _, p in raw])})
+            for some in _slices(b, b.column("text")):
+                raw = [(t.as_py() or "") for t in some.column("text")]
+                sizes = pa.array([len(t.encode()) for t in raw], pa.int64())
+                yield batch(doc_id=some.column("doc_id"), n_bytes=sizes, media=pa.array(encode([payload(t) for t in raw]), pa.binary()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_bytes bigint, media binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes bigint, media binary")
 
 
-def _grouped(b: pd.DataFrame) -> Iterator[tuple[pd.Series, list[tuple[int, bytes]]]]:
-    start, raw, size = 0, [], 0
-    for k, t in enumerate(b["text"]):
-        p = payload(t)
-        raw.append((len((t or "").encode()), p))
-        size += len(p)
-        if size >= GROUP or k == len(b) - 1:
-            yield b["doc_id"].iloc[start : k + 1], raw
-            start, raw, size = k + 1, [], 0
+def _slices(b: pa.RecordBatch, measured: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about `GROUP` bytes of `measured`; one long value is a run of its own."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(measured), 0).to_numpy(zero_copy_only=False).astype(np.int64) + UNIT) // GROUP
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(b)]
+    for s, e in zip(cuts, cuts[1:]):
+        if e > s:
+            yield b.slice(s, e - s)
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """Digests and features of the stored forms of media(doc_id, n_bytes, media), from the decoded thumbnails alone."""
+    """Digests and features of the stored forms of media(doc_id, n_bytes, media), from the decoded thumbnails alone.
 
-    def digest(n: int, raw: bytes, frames: list[Frame], thumbs: list[np.ndarray]) -> tuple:
-        back = b"".join(t.tobytes() for t in thumbs)
-        return (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(raw), hashlib.sha256(raw).hexdigest(), features(frames, thumbs))
+    feature has "<width>x<height>:<thumbnail hash>" for each image, joined by commas.
+    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["doc_id", *(c.split()[0] for c in COLUMNS.split(", "))]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            start, size = 0, 0
-            for k, m in enumerate(b["media"]):
-                size += len(m)
-                if size >= 2 * GROUP or k == len(b) - 1:
-                    some = b.iloc[start : k + 1]
-                    frames = [parse(x) for x in some["media"]]
-                    thumbs = dc_thumbnails([f for fs in frames for f in fs])
-                    rows, at = [], 0
-                    for doc_id, n, raw, fs in zip(some["doc_id"].tolist(), some["n_bytes"].tolist(), some["media"], frames):
-                        rows.append((doc_id, *digest(n, raw, fs, thumbs[at : at + len(fs)])))
-                        at += len(fs)
-                    yield pd.DataFrame(rows, columns=names)
-                    start, size = k + 1, 0
+            for some in _slices(b, b.column("media")):
+                rows = [d.row() for d in digests(some.column("media").to_pylist())]
+                told = {c: pa.array(v, _TYPES[c]) for c, v in zip(COLUMNS, zip(*rows))}
+                yield batch(doc_id=some.column("doc_id"), n_bytes=some.column("n_bytes"), **told)
 
     kind = media.schema["doc_id"].dataType.simpleString()
-    return media.mapInPandas(run, f"doc_id {kind}, {COLUMNS}")
+    return media.mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
