@@ -17,15 +17,16 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import batch, discard, materialise
 
 ORDER = 5
 #: Characters that a text could have, for smoothing.
@@ -81,6 +82,13 @@ class Model:
     contexts: list[Table]
     shared: Table
     weights: np.ndarray | None = None  # of the curve: constant and features
+    handle: Broadcast | None = None
+
+    def on_executors(self, spark: SparkSession) -> Broadcast:
+        """The counts on the executors, sent once for the curve, for scores and for filters."""
+        if self.handle is None:
+            self.handle = spark.sparkContext.broadcast(replace(self, weights=None))
+        return self.handle
 
     def ratios(self, words: list[str]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) for each word, its end included."""
@@ -106,9 +114,9 @@ class Model:
         logs[depth == 0] = 0
         return np.add.reduceat(logs, starts)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        z = self.weights[0] + x @ self.weights[1:]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+def curve(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
 
 
 class Reader:
@@ -186,9 +194,10 @@ def count_model(rows: DataFrame) -> Model:
     p = "concat('^', word, '$')"
     grams = f"explode(transform(sequence(2, length(word) + 2), i -> substring({p}, greatest(1, i - {ORDER - 1}), least(i, {ORDER})))) as gram"
     top = materialise(_sum(_word_counts(rows).selectExpr(grams, "ordinary", "toxic"), "gram"))
-    counts, contexts = [], []
+    counts, contexts, done = [], [], [top]
     for n in range(ORDER, 1, -1):
         table = materialise(_placed(top.where(F.length("gram") == n), n))
+        done.append(table)
         counts.append(_table(_sum(table, "here"), "here", "ordinary", "toxic"))
         some = lambda c: F.sum((F.col(c) > 0).cast("long"))
         by = table.groupBy("context").agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t"), some("ordinary").alias("ko"), some("toxic").alias("kt"))
@@ -196,8 +205,11 @@ def count_model(rows: DataFrame) -> Model:
         # Of the lower order: how many characters come before it; at a word's start, where none does, the counts stay.
         shorter = top.where(F.length("gram") == n).selectExpr("substring(gram, 2) as gram", "cast(ordinary > 0 as bigint) as ordinary", "cast(toxic > 0 as bigint) as toxic")
         top = materialise(_sum(top.where(F.length("gram") < n).union(shorter), "gram"))
+        done.append(top)
     single = _placed(top.where(F.length("gram") == 1), 1)
     shared = _table(_sum(single, "here"), "here", "ordinary", "toxic")
+    for table in done:  # all of them have been read into the model
+        discard(table)
     return Model(counts[::-1], contexts[::-1], Table(shared.keys, shared.values.sum(axis=0, keepdims=True)))
 
 
@@ -231,16 +243,16 @@ def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATIO
     """Counts of the labelled rows of folds 0 and 1; the curve from at most `calibration_rows` rows of fold 3, by hash."""
     rows = labelled(docs, labels)
     model = count_model(rows.where("part < 2"))
-    keys = rows.where("part = 3").select("doc_id", "toxic", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    some = rows.where("part = 3").select(F.xxhash64("doc_id").alias("key"), "toxic", "text")
+    shared = model.on_executors(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value)
         for b in batches:
-            yield pd.DataFrame(reader(b["text"].tolist()), columns=list(FEATURES)).assign(toxic=b["toxic"].to_numpy(), doc_id=b["doc_id"].to_numpy())
+            yield pd.DataFrame(reader(b["text"].tolist()), columns=list(FEATURES)).assign(toxic=b["toxic"], key=b["key"])
 
-    schema = ", ".join(f"{f} double" for f in FEATURES) + ", toxic int, doc_id bigint"
-    x = keys.mapInPandas(run, schema).orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows).toPandas()
+    schema = ", ".join(f"{f} double" for f in FEATURES) + ", toxic int, key bigint"
+    x = some.mapInPandas(run, schema).orderBy("key", *FEATURES, "toxic").limit(calibration_rows).toPandas()
     model.weights = fit_curve(x[list(FEATURES)].to_numpy(dtype=float), x["toxic"].to_numpy(dtype=float))
     return model
 
@@ -251,27 +263,27 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     Null and empty texts get the score of a text that tells nothing. Repeated rows each get a row; a null doc_id has
     held_out false. The score depends on the text alone.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, weights = model.on_executors(docs.sparkSession), model.weights
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": shared.value.score(reader(b["text"].tolist()))})
+            yield batch(doc_id=b.column("doc_id"), score=pa.array(curve(weights, reader(b.column("text").to_pylist()))))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double")
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
     held = F.coalesce(fold("doc_id") == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of `docs` whose score is under `threshold`, with all their columns, in one pass and without a join."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, weights = model.on_executors(docs.sparkSession), model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for b in batches:
-            stays = shared.value.score(reader(b.column("text").to_pylist())) < threshold
+            stays = curve(weights, reader(b.column("text").to_pylist())) < threshold
             yield b.filter(pa.array(stays))
 
     return docs.mapInArrow(run, docs.schema)

@@ -235,7 +235,7 @@ def test_colour_image_with_ac_coefficients():
 def test_damaged_images_are_errors(damage):
     raw = media.encode([media.payload("text " * 100)])[0]
     with pytest.raises((ValueError, IndexError)):
-        media.dc_thumbnails(media.parse(damage(raw)) or [media.Frame()])
+        media.dc_thumbnails(list(media.parse(damage(raw))) or [media.Frame()])
 
 
 # Toxicity
@@ -484,3 +484,24 @@ def test_hostile_pages_end_soon(page):
     t = time.perf_counter()
     html.main_text(page)
     assert time.perf_counter() - t < 20
+
+
+# Ids
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_ids_come_back_as_they_are(spark, kind):
+    """A null in the same batch must not turn large ids into floats; ids may be texts too."""
+    ids = [2**60 + 1, None, 2**60 + 3, 5] if kind == "bigint" else ["doc-1", None, "1e3", ""]
+    good, bad = "the cat sat on the mat and slept", "you utter scumbag and moron you"
+    df = spark.createDataFrame([(i, t) for i, t in zip(ids, [good, bad, good, None])], f"doc_id {kind}, text string").coalesce(1)
+    known = spark.createDataFrame([(i, 1, int(t == bad)) for i, t in zip(ids, [good, bad, good, good])], f"doc_id {kind}, quality int, toxic int")
+    same = lambda out: sorted((r.doc_id for r in out.select("doc_id").collect()), key=repr) == sorted(ids, key=repr)
+    assert same(simhash.with_fingerprint(df))
+    assert same(media.store(df)) and same(media.read_back(media.store(df)))
+    assert same(packing.pack(df, queries.tokenizer_path()).select("doc_id").distinct())  # a text may be cut
+    assert same(toxicity.score(df, toxicity.train(df, known)))
+    assert same(quality.keyed(df, np.zeros(quality.BUCKETS)))
+    assert same(simhash.near_duplicates(df))
+    pages = df.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    assert same(html.extract(pages).withColumnRenamed("page_id", "doc_id"))
