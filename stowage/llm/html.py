@@ -4,7 +4,8 @@ Markup is stripped and the page becomes lines, one for each block element. A lin
 without links; lines of menus, forms, adverts, notices, reader comments and the like weigh nothing. The sums of weights over sliding
 windows of three lines show the text as a plateau: it begins at the line where the sum surges and ends where it dives
 into dropped lines or links; light lines between do not end it. This is so on every page: a mark as the article raises the weights of
-an element's lines, and if the sums surge in it, it is text to its ends.
+an element's lines, and if the sums surge in it, it is text to its ends. Forms, and elements that are named like a menu, sidebar, advert
+or comment, are dropped unless they hold most of the page's text and its title or article: such an element wraps the page.
 
 Scale: one pass over the pages, no shuffle, one page at a time; the scanner is linear in the page's length.
 """
@@ -12,7 +13,9 @@ Scale: one pass over the pages, no shuffle, one page at a time; the scanner is l
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -47,33 +50,55 @@ HINTS = frozenset(
 )
 OUTER_HINTS = frozenset(["header", "head", "top"])
 
+_ATTRS = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+"
+#: Names and attributes are possessive and no branch runs past the next tag, so that hostile pages can't be scanned again and again.
 _SCAN = re.compile(
     r"<!--(?:.*?-->|.*)"
-    r"|<!\[CDATA\[(?P<cdata>.*?)\]\]>"
-    r"|<(?P<raw>script|style|textarea|title|xmp|noembed|noframes)\b[^>]*>(?:.*?</(?P=raw)\b[^>]*>|.*)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)[^<>]*>?"
+    rf"|<(?P<raw>script|style|textarea|title|xmp|noembed|noframes)\b{_ATTRS}>(?:.*?</(?P=raw)\b[^<>]*+>?|.*)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>{_ATTRS})>"
+    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*+)[^<>]*+>?"
     r"|<[!?/][^>]*>?",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
+#: Names that tell of a state of the element and not of what it is.
+_STATE = re.compile(r"(?:^|\s)(?:has|have|with|without|no|is|not|show|hide)[-_]\S*", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 
 
+@dataclass
+class Container:
+    """An open element. hard: what is in it is no text; soft: nor is it, unless release() says so; above: the next soft one around it."""
+
+    name: str
+    hard: bool = False
+    soft: bool = False
+    article: bool = False
+    above: Container | None = None
+    begin: int = 0
+    size: int = 0
+    core: bool = False
+    dropped: bool = False
+
+
 def lines(html: str) -> list[tuple[str, int, bool, bool]]:
     """(text, weight, in an element marked as the article, in a dropped element) of each block with text, in page order."""
-    out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, article
+    out: list[tuple[str, int, bool, bool, Container | None]] = []
+    stack: list[Container] = []
+    known: list[Container] = []  # all soft containers, outer ones first
+    open_: Counter[str] = Counter()
+    held: Counter[str] = Counter()  # open containers that are hard, or marked as the article
     parts: list[str] = []
-    links = in_link = 0
-    dropped = article = False
+    links = in_link = total = 0
+    soft: Container | None = None
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, total
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            out.append((text, 0 if dropped else max(0, len(text) - links), article, dropped))
+            out.append((text, max(0, len(text) - links), held["article"] > 0, held["hard"] > 0, soft))
+            total += len(text)
         parts.clear()
         links = 0
 
@@ -83,13 +108,21 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
         if in_link:
             links += len(text)
 
+    def close() -> None:
+        nonlocal soft
+        c = stack.pop()
+        open_[c.name] -= 1
+        held["hard"] -= c.hard
+        held["article"] -= c.article
+        c.size = total - c.begin
+        if c.soft:
+            soft = c.above
+
     at = 0
     for m in _SCAN.finditer(html):
         if m.start() > at:
             add(html[at : m.start()])
         at = m.end()
-        if m["cdata"]:
-            add(m["cdata"])
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue
@@ -101,32 +134,55 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
         if name in CONTAINERS:
             flush()
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                if open_[name]:
+                    while stack[-1].name != name:
+                        close()
+                    close()
             else:
-                attrs = m["attrs"] or ""
-                if name == "body":
-                    stack = [s for s in stack if s[0] == "html"]
-                if not attrs.rstrip().endswith("/") or name not in VOID:
-                    stack.append(_container(name, attrs, any(s[2] for s in stack)))
-            dropped, article = any(s[1] for s in stack), any(s[2] for s in stack)
+                if name == "body":  # whatever was left open before it ends here
+                    while stack and stack[-1].name != "html":
+                        close()
+                c = _container(name, m["attrs"] or "", held["article"] > 0)
+                c.above, c.begin = soft, total
+                stack.append(c)
+                open_[name] += 1
+                held["hard"] += c.hard
+                held["article"] += c.article
+                if c.soft:
+                    known.append(c)
+                    soft = c
             in_link = 0
         elif name in BLOCKS:
             flush()
+        if not closing and (name == "h1" or stack and stack[-1].article):
+            up = soft
+            while up and not up.core:
+                up.core, up = True, up.above
     add(html[at:])
     flush()
-    return out
+    while stack:
+        close()
+    release(known, total, lambda c: c.core or c.name == "form")
+    if not any(w and not h and not (c and c.dropped) for _, w, _, h, c in out):
+        release(known, total, lambda c: True)
+    return [(t, 0 if (d := h or bool(c and c.dropped)) else w, a, d) for t, w, a, h, c in out]
+
+
+def release(known: list[Container], total: int, may: Callable[[Container], bool]) -> None:
+    """Marks soft containers as dropped but for those that may hold the text and do hold most of the page's: they wrap the page."""
+    for c in known:
+        c.dropped = not (may(c) and 2 * c.size > total) or bool(c.above and c.above.dropped)
 
 
-def _container(name: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
-    names = {w for found in _NAMES.findall(attrs) for w in _WORD.findall("".join(found).lower())} if attrs else set()
-    marked = name in ("article", "main") or "articlebody" in attrs.lower() or bool(names & {"main", "article"} and name in ("div", "section") and not names & HINTS)
+def _container(name: str, attrs: str, inside: bool) -> Container:
+    given = [_STATE.sub(" ", " ".join(found)) for found in _NAMES.findall(attrs)] if attrs else []
+    names = {w for g in given for w in _WORD.findall(g.lower())}
+    article = name in ("article", "main") or "articlebody" in attrs.lower() or bool(names & {"main", "article"} and name in ("div", "section") and not names & HINTS)
     if name in ("html", "body", "article", "main"):
-        return name, bool(_HIDDEN.search(attrs)) or name == "article" and "comment" in names, marked
-    drop = name in DROPPED or bool(names & HINTS) or bool(attrs and _HIDDEN.search(attrs)) or (not inside and (name == "header" or bool(names & OUTER_HINTS)))
-    return name, drop, marked
+        return Container(name, bool(_HIDDEN.search(attrs)) or name == "article" and "comment" in names, False, article)
+    hard = name in DROPPED and name != "form" or bool(attrs and _HIDDEN.search(attrs)) or (not inside and name == "header")
+    soft = name == "form" or bool(names & HINTS) or (not inside and bool(names & OUTER_HINTS))
+    return Container(name, hard, soft, article)
 
 
 def plateaus(weights: list[int], breaks: list[bool], window: int = WINDOW, surge: int = SURGE, gap: int = GAP) -> list[tuple[int, int]]:

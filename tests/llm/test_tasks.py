@@ -477,13 +477,87 @@ def test_extraction(spark, small):
         assert r.text and r.text == html.main_text(r.html) and "track(" not in r.text
 
 
-@pytest.mark.parametrize("page", ["<" * 50_000, "<a href='" * 20_000, "<div>" * 3_000, "<!--" * 20_000, "<script>" * 20_000, "<p title=\"" + "x" * 100_000, "&amp" * 50_000])
-def test_hostile_pages_end_soon(page):
+#: Pages that make a scanner go over the same text again: each by its length.
+HOSTILE = {
+    "less than": lambda k: "<" * k,
+    "long name": lambda k: "<" + "a" * k,
+    "open script tags": lambda k: "<script " * k,
+    "scripts": lambda k: "<script>" * k,
+    "script ends": lambda k: "<script>" + "</script " * k,
+    "cdata": lambda k: "<![CDATA[>" * k,
+    "quotes": lambda k: "<a \"" * k + "<a '" * k,
+    "links": lambda k: "<a href='" * k,
+    "nested": lambda k: "<div>" * k + "</ul>" * k,
+    "nested lists": lambda k: "<ul>" + "<div>x" * k + "</ul>" * k,
+    "comments": lambda k: "<!--" * k,
+    "menus": lambda k: "<div class=menu><h1>x" * k,
+    "attribute": lambda k: "<p title=\"" + "x" * k,
+    "references": lambda k: "&amp" * k,
+    "articles": lambda k: "<article>a</article>" * k,
+    "lines": lambda k: "<p>short" * k,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_linear_time(name):
     import time
 
-    t = time.perf_counter()
-    html.main_text(page)
-    assert time.perf_counter() - t < 20
+    def took(k):
+        page, best = HOSTILE[name](k), 1e9
+        for _ in range(3):
+            t = time.perf_counter()
+            html.main_text(page)
+            best = min(best, time.perf_counter() - t)
+        return best
+
+    assert took(40_000) <= 3 * max(took(20_000), 0.01)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'><article><p>{LONG}</p><p>{LONG}</p></article></div>",
+        f"<div id=page class=with-menu><div class=menu><a href=/>Home</a></div><p>{LONG}<p>{LONG}</div>",
+        f"<body><form id=aspnetForm><div class=nav>Home</div><p>{LONG}</p><p>{LONG}</p></form></body>",
+        f"<body><div class='page sidebar'><h1>{LONG}</h1><p>{LONG}</p></div><div id=footer>Imprint</div></body>",
+        f"<body><div class=sidebar><p>{LONG}</p><p>{LONG}</p></div></body>",
+        f"<article><p>{LONG}</p><p>{LONG}</p></article><div class=comments><p>{LONG * 9}</p><p>{LONG * 9}</p></div>",
+        f"<article><p>{LONG}</p><p>{LONG}</p></article><form><p>Write to us</p></form><div class=related><article><a href=x>{LONG}</a></article></div>",
+    ],
+)
+def test_elements_that_wrap_the_page_are_no_menus(page):
+    assert html.main_text(page) == "\n".join([LONG.strip()] * 2)
+
+
+def brute_plateaus(weights, breaks, window, surge, gap):
+    """Line by line from the definition: from a surge on, until more than `gap` breaks have followed the last sum that surged."""
+    out, i, n = [], 0, len(weights)
+    high = lambda k: sum(weights[k : k + window]) >= surge
+    while i < n:
+        if not (high(i) and weights[i]):
+            i += 1
+            continue
+        inside = []
+        j = i
+        while j < n:
+            last = max(k for k in range(i, j + 1) if high(k))
+            since = [k for k in range(last + 1, j + 1) if breaks[k]]
+            inside.append(j if weights[j] and (not since or j - since[0] + 1 <= window) else None)
+            j += 1
+            if len(since) > gap:
+                break
+        out.append((i, max(k for k in inside if k is not None) + 1))
+        i = j
+    return out
+
+
+def test_plateaus_against_the_definition():
+    rng = random.Random(12)
+    for _ in range(400):
+        weights = [rng.choice([0, 0, 5, 20, 40, 100, 300]) for _ in range(rng.randrange(30))]
+        breaks = [w == 0 or rng.random() < 0.1 for w in weights]
+        assert html.plateaus(weights, breaks) == brute_plateaus(weights, breaks, html.WINDOW, html.SURGE, html.GAP)
+
 
 
 # Ids
