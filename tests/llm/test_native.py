@@ -157,18 +157,78 @@ def test_decontamination_of_nothing(spark):
     assert decontamination.matches(docs(spark), spark.createDataFrame([(1, "a b c d e f g")], "item_id bigint, text string")).count() == 0
 
 
-def test_blocks_leave_no_pair_out(spark):
+def test_moved_passages_against_all_windows(spark):
+    rng = random.Random(15)
+    items = [(k, " ".join(f"w{k}x{i}" for i in range(n))) for k, n in enumerate([60, 90, 120, 120])] + [(9, " ".join(words(rng, 100)))]
+    texts = []
+    for _, item in items:
+        w = item.split()
+        for parts in (2, 3):
+            cut = [w[len(w) * p // parts : len(w) * (p + 1) // parts] for p in range(parts)]
+            for order in ([*reversed(cut)], [*cut[1:], cut[0]]):
+                moved = [x for c in order for x in c]
+                texts.append((len(texts), " ".join(moved)))
+                texts.append((len(texts), " ".join([*words(rng, 30), *moved, *words(rng, 40)])))
+                texts.append((len(texts), " ".join([*words(rng, 3), *moved[:-8]])))
+        texts.append((len(texts), " ".join([*words(rng, 9), *w[4:], *words(rng, 2)])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontamination.matches(docs(spark, extra=texts), bench).collect()}
+    assert got == brute(texts, items) and len(got) >= 40
+
+
+def flipped(rng, a, bits):
+    for bit in rng.sample(range(64), bits):
+        a ^= 1 << bit
+    return a
+
+
+signed = lambda a: a - (a >> 63 << 64)
+
+
+def test_blocks_leave_no_pair_out_and_are_selective(spark):
     rng = random.Random(5)
-    rows = []
-    for _ in range(200):
-        a = rng.getrandbits(64)
-        b = a
-        for bit in rng.sample(range(64), 24):
-            b ^= 1 << bit
-        rows.append((a - (a >> 63 << 64), b - (b >> 63 << 64)))
-    df = spark.createDataFrame(rows, "a bigint, b bigint")
-    shared = df.where(F.size(F.array_intersect(decontamination.blocks("a", 24), decontamination.blocks("b", 24))) > 0)
-    assert shared.count() == 200
+    rows = [(k, signed(a), signed(flipped(rng, a, decontamination.RADIUS))) for k in range(300) for a in [rng.getrandbits(64)]]
+    each = spark.createDataFrame([(20, k, a) for k, a, _ in rows], "n int, id bigint, fingerprint bigint")
+    texts = spark.createDataFrame([(20, k, b) for k, _, b in rows], "n int, item bigint, fingerprint bigint")
+    got = decontamination.candidates(each, texts)
+    assert got.where("id = item").count() == 300 and got.count() < 400
+    met = each.select("id", F.inline(decontamination.blocks("fingerprint"))).join(texts.select("item", F.inline(decontamination.neighbours("fingerprint"))), ["block", "bits"])
+    assert met.select("id", "item").distinct().count() < 0.25 * 300 * 300
+
+
+def test_the_radius_covers_the_similarity():
+    """Recall of the radius at similarities of 0.8 and little more, on random words: at least 0.99."""
+    rng, near, total = random.Random(16), 0, 0
+
+    def fingerprint(w):
+        hashes = [int.from_bytes(hashlib.blake2b(" ".join(w[i : i + 5]).encode(), digest_size=8).digest(), "big") for i in range(len(w) - 4)]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    while total < 500:
+        w = [str(rng.getrandbits(40)) for _ in range(rng.choice([13, 22, 40, 90, 150]))]
+        v = list(w)
+        while True:
+            u = list(v)
+            at = rng.randrange(len(u))
+            u[at] = "edited" + str(rng.getrandbits(30))
+            a, b = shingles(w), shingles(u)
+            common = sum((a & b).values())
+            if common / (sum(a.values()) + sum(b.values()) - common) < 0.8:
+                break
+            v = u
+        total += 1
+        near += (fingerprint(w) ^ fingerprint(v)).bit_count() <= decontamination.RADIUS
+    assert near >= 0.99 * total, near
+
+
+@pytest.mark.parametrize("rows", [0, decontamination.BROADCAST_ROWS])
+def test_shuffled_and_broadcast_lists_find_the_same(spark, monkeypatch, rows):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", rows)
+    rng = random.Random(17)
+    items = [(k, " ".join(words(rng, 30))) for k in range(6)]
+    texts = [(k, " ".join([*words(rng, 20), *norm(items[k % 6][1]), *words(rng, 5)])) for k in range(18)] + [(3, "la " * 3000)]
+    got = decontamination.matches(docs(spark, extra=texts), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.start) for r in got} == {(k, k % 6, 20) for k in range(18)}
 
 
 def brute_lines(texts, min_docs=lines.MIN_DOCS):
