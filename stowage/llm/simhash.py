@@ -117,9 +117,11 @@ def links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
     tiles = dealt.groupBy("cell", "chunk").agg(F.collect_list("fingerprint").alias("a"))
     near = tiles.withColumn("step", F.explode(F.array(*[F.lit(d) for d in _offsets(radius)])))
     near = near.withColumn("other", F.col("cell") + F.col("step")).drop("step")
-    right = tiles.select(F.col("cell").alias("other"), F.col("chunk").alias("chunk_b"), F.col("a").alias("b"))
+    there = F.broadcast(size.select(F.col("cell").alias("other"), F.col("chunks").alias("others")))
     same = F.col("cell") == F.col("other")
-    pairs = near.join(right, "other").where(~same | (F.col("chunk") <= F.col("chunk_b")))
+    near = near.join(there, "other").withColumn("chunk_b", F.explode(F.sequence(F.when(same, F.col("chunk")).otherwise(0), F.col("others").cast("bigint") - 1)))
+    right = tiles.select(F.col("cell").alias("other"), F.col("chunk").alias("chunk_b"), F.col("a").alias("b"))
+    pairs = near.join(right, ["other", "chunk_b"])
     pairs = pairs.select("a", F.when(~same | (F.col("chunk") < F.col("chunk_b")), F.col("b")).alias("b"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,11 +7,11 @@ import random
 import pytest
 
 import corpus_pipeline
-from stowage.llm import simhash, toxicity
+from stowage.llm import similar, toxicity
 from stowage.llm.common import table
 
 from .test_native import brute, brute_lines
-from .test_tasks import brute_groups, brute_print
+from .test_similar import brute_components
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +41,9 @@ def test_toxicity_stage_keeps_the_clean(stages, spark, small):
     kept = {r.doc_id for r in after.collect()}
     clean = [d for d, t in known.items() if not t]
     assert sum(d in kept for d in clean) >= 0.97 * len(clean)
-    assert toxicity.WORD and before.count() >= after.count()
+    assert sum(d in kept for d, t in known.items() if t) <= 0.03 * sum(known.values())
+    scores = {r.doc_id: r.predicted for r in toxicity.score(before, toxicity.train(before, table(spark, small, "labels"))).collect()}
+    assert kept == {d for d, p in scores.items() if not p}
 
 
 def test_line_stage(stages):
@@ -55,10 +57,9 @@ def test_line_stage(stages):
 
 def test_near_duplicate_stage(stages):
     _, before, after = stages[2]
-    rows = before.collect()
-    groups = brute_groups([r.doc_id for r in rows], [brute_print(r.text) for r in rows])
+    groups = brute_components([(r.doc_id, r.text) for r in before.collect()])
     assert {r.doc_id for r in after.collect()} == set(groups)
-    assert simhash.near_duplicates(after).where("doc_id != component_id").count() == 0
+    assert similar.near_duplicates(after).where("doc_id != component_id").count() == 0
 
 
 def test_decontamination_stage(stages, spark, small):
@@ -77,8 +78,9 @@ def test_packing_stage(stages):
 def test_run_is_the_stages(stages, spark, small):
     from __spark_entry__ import queries
 
-    got = queries()["pipeline"](spark, small).select("doc_id", "start", "length", "ids_crc32").collect()
-    assert sorted(map(tuple, got)) == sorted(map(tuple, stages[4][2].select("doc_id", "start", "length", "ids_crc32").collect())) or len({r.doc_id for r in got}) == len({r.doc_id for r in stages[4][2].collect()})
+    # Where pieces are cut depends on the rows of each task, which texts are packed and how long they are does not.
+    told = lambda df: sorted(map(tuple, df.groupBy("doc_id", "doc_tokens").agg({"length": "sum"}).collect()))
+    assert told(queries()["pipeline"](spark, small)) == told(stages[4][2])
 
 
 def test_edges(spark, small):
