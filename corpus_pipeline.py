@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stowage.llm import decontamination, lines, packing, queries, simhash, toxicity
+from stowage.llm import decontamination, lines, packing, queries, similar, toxicity
 from stowage.llm.common import materialise, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,8 +30,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    return simhash.one_of_each(docs.select(*COLUMNS))
+    """Of each group of near copies, by a similarity of 0.8 of their five-word shingles, the document with the smallest doc_id stays."""
+    return similar.one_of_each(docs.select(*COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
