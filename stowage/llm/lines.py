@@ -2,11 +2,13 @@
 
 Each line is parsed down a tree of fixed depth: token count, then its first three tokens, with variable tokens (any that holds a digit)
 as wildcards. In a leaf, lines agree on a template if enough of their tokens are equal to those of the leaf's most frequent
-line; the places where they differ are wildcards too. Lines that agree less are templates of their own. A template found in
-`min_docs` documents or more is boilerplate: its lines are dropped but for those of the first document that has it.
+line; the places where they differ are wildcards too. Lines that agree less meet others of the leaf by each third of their
+further tokens, and agree with the most frequent line of such a family, if with any; else they are templates of their own. A template found in
+`min_docs` documents or more is boilerplate: its lines are dropped but for those of the first document that has it. Leaves and lines are told
+apart by 64-bit hashes.
 
 DataFrame functions only. Scale: leaves and lines are counted by hash, with partial sums before each shuffle; of the lines' texts only
-those of recurring leaves are shuffled, for the comparison with the leaf's line. The texts of all documents are shuffled once, to
+those of recurring leaves are shuffled, for the comparison with the leaf's line, which is salted, as a leaf may hold many lines. The texts of all documents are shuffled once, to
 meet the list of their dropped lines.
 """
 
@@ -20,6 +22,8 @@ from .common import materialise
 MIN_DOCS = 5
 LEADING = 3
 AGREEMENT = 0.8
+PARTS = 3
+SALT = 16
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -37,6 +41,15 @@ def parsed(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "pos", F.xxhash64(count, F.substring_index("masked", " ", LEADING)).alias("leaf"), "masked")
 
 
+def _led(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows(*keys, line, masked, docs) with the most frequent line of their key as leader, its count, and whether they agree enough with it."""
+    first = rows.groupBy(*keys).agg(F.max(F.struct("docs", F.col("masked").alias("leader"))).alias("l"))
+    first = first.select(*keys, F.col("l.leader").alias("leader"), F.col("l.docs").alias("leader_docs"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod("line", F.lit(SALT)).cast("int")).join(first, [*keys, "salt"]).drop("salt")
+    a, b = F.split("masked", " "), F.split("leader", " ")
+    return rows.withColumns({"equal": F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)), "size": F.size(a)})
+
+
 def templates(lines: DataFrame, keys: DataFrame, min_docs: int, agreement: float) -> DataFrame:
     """(leaf, line, template): the template of each masked line (by hash) of leaves with lines in enough documents.
 
@@ -51,12 +64,17 @@ def templates(lines: DataFrame, keys: DataFrame, min_docs: int, agreement: float
     some = lines.join(busy.where("n > 1"), "leaf", "left_semi").select("leaf", "masked").distinct()
     some = some.withColumn("line", F.xxhash64("masked")).join(each, ["leaf", "line"])
     some = materialise(some)
-    first = F.max(F.struct("docs", F.col("masked").alias("leader"))).alias("l")
-    some = some.join(some.groupBy("leaf").agg(first), "leaf").select("leaf", "line", "masked", F.col("l.leader").alias("leader"))
-    a, b = F.split("masked", " "), F.split("leader", " ")
-    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
-    agrees = equal >= agreement * F.size(a)
-    return alone.union(some.select("leaf", "line", F.when(agrees, F.xxhash64("leader")).otherwise(F.col("line"))))
+    agrees = F.col("equal") >= agreement * F.col("size")
+    some = materialise(_led(some, "leaf").withColumn("agrees", agrees))
+    rest = some.where("not agrees").select("leaf", "line", "masked", "docs", "size")
+    tokens, n = F.split("masked", " "), F.col("size") - LEADING
+    parts = [F.struct(F.lit(k).alias("part"), F.slice(tokens, (n * k / PARTS).cast("int") + LEADING + 1, (n * (k + 1) / PARTS).cast("int") - (n * k / PARTS).cast("int")).alias("of")) for k in range(PARTS)]
+    families = rest.where(n >= PARTS).select("leaf", "line", "masked", "docs", F.inline(F.array(*parts)))
+    families = families.select("leaf", "line", "masked", "docs", F.xxhash64("part", "of").alias("family"))
+    families = _led(families, "leaf", "family").where(agrees).groupBy("leaf", "line").agg(F.max(F.struct("leader_docs", "leader")).alias("l"))
+    families = families.select("leaf", "line", F.xxhash64("l.leader").alias("template"))
+    short = rest.where(n < PARTS).select("leaf", "line", F.col("line").alias("template"))
+    return alone.union(some.where("agrees").select("leaf", "line", F.xxhash64("leader"))).union(families).union(short)
 
 
 def dropped(docs: DataFrame, min_docs: int = MIN_DOCS, agreement: float = AGREEMENT) -> DataFrame:

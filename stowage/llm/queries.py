@@ -97,10 +97,23 @@ WITH split AS (
     SELECT n, lead, m, count(DISTINCT doc_id) AS docs FROM parsed GROUP BY ALL
 ), leaders AS (
     SELECT n, lead, m AS leader FROM sizes QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY docs DESC, m DESC) = 1
-), kinds AS (
-    SELECT s.n, s.lead, s.m, CASE WHEN len(list_filter(list_zip(string_split(s.m, ' '), string_split(l.leader, ' ')), lambda z: z[1] = z[2])) >= {lines.AGREEMENT} * s.n
-        THEN l.leader ELSE s.m END AS template
+), first AS (
+    SELECT s.n, s.lead, s.m, s.docs, l.leader,
+        len(list_filter(list_zip(string_split(s.m, ' '), string_split(l.leader, ' ')), lambda z: z[1] = z[2])) >= {lines.AGREEMENT} * s.n AS agrees
     FROM sizes s JOIN leaders l ON s.n = l.n AND s.lead = l.lead
+), families AS (
+    SELECT n, lead, m, docs, part, string_split(m, ' ')[{lines.LEADING} + 1 + (n - {lines.LEADING}) * part // {lines.PARTS} : {lines.LEADING} + (n - {lines.LEADING}) * (part + 1) // {lines.PARTS}] AS family
+    FROM first, (SELECT unnest(range({lines.PARTS})) AS part) WHERE NOT agrees AND n - {lines.LEADING} >= {lines.PARTS}
+), family_leaders AS (
+    SELECT n, lead, part, family, m AS leader, docs AS leader_docs FROM families QUALIFY row_number() OVER (PARTITION BY n, lead, part, family ORDER BY docs DESC, m DESC) = 1
+), second AS (
+    SELECT f.n, f.lead, f.m, l.leader
+    FROM families f JOIN family_leaders l ON f.n = l.n AND f.lead = l.lead AND f.part = l.part AND f.family = l.family
+    WHERE len(list_filter(list_zip(string_split(f.m, ' '), string_split(l.leader, ' ')), lambda z: z[1] = z[2])) >= {lines.AGREEMENT} * f.n
+    QUALIFY row_number() OVER (PARTITION BY f.n, f.lead, f.m ORDER BY l.leader_docs DESC, l.leader DESC) = 1
+), kinds AS (
+    SELECT f.n, f.lead, f.m, CASE WHEN f.agrees THEN f.leader ELSE coalesce(s.leader, f.m) END AS template
+    FROM first f LEFT JOIN second s ON f.n = s.n AND f.lead = s.lead AND f.m = s.m
 ), keyed AS (
     SELECT p.doc_id, p.pos, p.n, p.lead, k.template FROM parsed p JOIN kinds k ON p.n = k.n AND p.lead = k.lead AND p.m = k.m
 ), found AS (

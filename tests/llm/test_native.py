@@ -239,10 +239,20 @@ def brute_lines(texts, min_docs=lines.MIN_DOCS):
         leaf[len(m), tuple(m[:3])][" ".join(m)].add(d)
     kind = {}
     for key, by in leaf.items():
-        leader = max(by, key=lambda m: (len(by[m]), m))
-        for m in by:
-            same = sum(x == y for x, y in zip(m.split(" "), leader.split(" ")))
-            kind[key, m] = leader if same >= lines.AGREEMENT * key[0] else m
+        agree = lambda m, leader, n=key[0]: sum(x == y for x, y in zip(m.split(" "), leader.split(" "))) >= lines.AGREEMENT * n
+        order = lambda m, by=by: (len(by[m]), m)
+        leader = max(by, key=order)
+        kind |= {(key, m): leader for m in by if agree(m, leader)}
+        rest = [m for m in by if not agree(m, leader)]
+        cut = [3 + (key[0] - 3) * p // 3 for p in range(4)]
+        family = lambda m, p, cut=cut: (p, tuple(m.split(" ")[cut[p] : cut[p + 1]]))
+        families = defaultdict(list)
+        for m in rest:
+            for p in range(3):
+                families[family(m, p)].append(m)
+        for m in rest:
+            leaders = {max(families[family(m, p)], key=order) for p in range(3)} if key[0] >= 6 else set()
+            kind[key, m] = max([x for x in leaders if agree(m, x)], key=order, default=m)
     of = lambda m: ((len(m), tuple(m[:3])), kind[(len(m), tuple(m[:3])), " ".join(m)])
     found = defaultdict(set)
     for d, _, m in parsed:
@@ -253,11 +263,11 @@ def brute_lines(texts, min_docs=lines.MIN_DOCS):
 
 def test_lines_against_brute_force(spark):
     rng = random.Random(6)
-    common = ["Page {} of {}", "All rights reserved.", "user {} logged in from {} at noon today ok", "x", "the quick brown fox jumps over the lazy dog {}"]
+    common = ["this is a {own} greeting from the {own} town of old", "this is a very different line for {own} readers now", "this is a line that {own} else ever said here", "Page {} of {}", "All rights reserved.", "user {} logged in from {} at noon today ok", "x", "the quick brown fox jumps over the lazy dog {}"]
     texts = []
     for d in range(40):
         own = [" ".join(words(rng, rng.choice([1, 5, 12]))) for _ in range(5)] + ["", "  "]
-        own += [rng.choice(common).format(rng.randrange(99), rng.choice(["1.2.3.4", "home", "x9"])) for _ in range(4)]
+        own += [rng.choice(common).format(rng.randrange(99), rng.choice(["1.2.3.4", "home", "x9"]), own=rng.choice("abcdefgh")) for _ in range(6)]
         rng.shuffle(own)
         texts.append((d, "\n".join(own)))
     texts += [(100, None), (101, ""), (102, "\n\n"), (103, "same\t line \r\nsame line")]
