@@ -15,10 +15,10 @@ Comparisons grow with the square of the distinct sets of like size.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,30 +38,33 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-class Shingler:
-    """Sets of shingle hashes of texts; a bounded cache holds the hashes of words."""
-
-    def __init__(self, k: int, limit: int = 500_000):
-        self.k, self.limit = k, limit
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        """Sorted distinct 64-bit hashes of the k-word shingles: A-Z lower-cased, words between ASCII white space. Fewer words are one shingle."""
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w, SEED)
-        x = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        k = min(self.k, len(x))
-        h = np.full(len(x) - k + 1, k, dtype=np.uint64)
-        for i in range(k):
-            h = h * BASE + x[i : len(x) - k + 1 + i]
-        return np.unique(mixed(h, 0))
+def shingle_sets(texts: list[str | None], k: int, group: int = 500) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct 64-bit hashes of its k-word shingles: A-Z lower-cased, words between ASCII white space.
+
+    Fewer words are one shingle; no word: an empty set. Arrow splits a group of texts and finds its different words, which are hashed
+    once a group; nothing is kept from one group to the next.
+    """
+    for s in range(0, len(texts), group):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts[s : s + group]], pa.large_string())))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), dtype=np.uint64, count=len(words))
+        at = coded.indices.to_numpy()
+        filled = np.fromiter(map(len, words), dtype=np.int64, count=len(words))[at] > 0
+        ends = np.concatenate([[0], np.cumsum(filled)])[split.offsets.to_numpy()].tolist()
+        x = hashes[at[filled]]
+        for a, b in zip(ends, ends[1:]):
+            yield _shingles(x[a:b], k)
+
+
+def _shingles(x: np.ndarray, k: int) -> np.ndarray:
+    if not len(x):
+        return x
+    k = min(k, len(x))
+    h = np.full(len(x) - k + 1, k, dtype=np.uint64)
+    for i in range(k):
+        h = h * BASE + x[i : len(x) - k + 1 + i]
+    return np.unique(mixed(h, 0))
 
 
 def mixed(h: np.ndarray, which: int) -> np.ndarray:
@@ -81,12 +84,6 @@ def fingerprint(h: np.ndarray) -> tuple[int, int]:
     return out[0], out[1]
 
 
-@lru_cache(4)
-def shingler(k: int) -> Shingler:
-    """One for each Python worker, so that its next task finds the words of the last."""
-    return Shingler(k)
-
-
 def _kind(h: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(h.tobytes(), SEED)).view(np.int64))
 
@@ -95,12 +92,8 @@ def sketches(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """(doc_id, t, kind, n, f0, f1) of docs(doc_id, text): hash of the text, hash and size of its set of shingles, fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = shingler(k)
         for b in batches:
-            rows = []
-            for text in b.column("text"):
-                h = read(text.as_py())
-                rows.append((_kind(h), len(h), *fingerprint(h)))
+            rows = [(_kind(h), len(h), *fingerprint(h)) for h in shingle_sets(b.column("text").to_pylist(), k)]
             kind, n, f0, f1 = (pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 4))
             yield batch(doc_id=b.column("doc_id"), t=b.column("t"), kind=kind, n=n, f0=f0, f1=f1)
 
@@ -220,9 +213,8 @@ def verified_links(docs: DataFrame, members: DataFrame, k: int, radius: int, sim
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("t")).join(wanted, "t").where(F.col("doc_id").eqNullSafe(F.col("of_doc")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shingler(k)
         for b in batches:
-            sets = [of(t.as_py()) for t in b.column("text")]
+            sets = list(shingle_sets(b.column("text").to_pylist(), k))
             right = pa.array([_kind(h) == want for h, want in zip(sets, b.column("kind").to_pylist())], pa.bool_())
             shingles = pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))
             yield batch(**{c: b.column(c) for c in ("group", "chunks", "chunk", "kind")}, shingles=shingles).filter(right)
