@@ -87,14 +87,14 @@ def narinfo_key(hash_column: str) -> Column:
     return F.concat(nixbase32(hash_column, 20), F.lit(".narinfo"))
 
 
-def render_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with each binary column replaced by its base-32 text."""
-    return df.withColumns({c: nixbase32(c) for c in columns})
+def render_hashes(df: DataFrame, columns: dict[str, int | None]) -> DataFrame:
+    """df with each binary column replaced by its base-32 text. columns: the bytes of every value, or None if they differ."""
+    return df.withColumns({c: nixbase32(c, size) for c, size in columns.items()})
 
 
-def decode_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with each base-32 text column replaced by its bytes, null where a character is invalid."""
-    return df.withColumns({c: nixbase32_decode(c) for c in columns})
+def decode_hashes(df: DataFrame, columns: dict[str, int | None]) -> DataFrame:
+    """df with each base-32 text column replaced by its bytes, null where a character or the length is wrong. columns: the bytes, or None for any."""
+    return df.withColumns({c: nixbase32_decode(c, size and (8 * size + 4) // 5) for c, size in columns.items()})
 
 
 def render_locations(narinfo: DataFrame, legacy_suffix: bool = False) -> DataFrame:
@@ -121,13 +121,13 @@ def register(spark: SparkSession) -> None:
 
 
 def human_bytes(column: str) -> Column:
-    """SI size with base 1000: "82 B", "1.5 kB", "491 MB"; one decimal below ten units."""
+    """SI size with base 1000: "82 B", "1.5 kB", "491 MB"; one decimal below ten units, halves to the even number above."""
     n = F.col(column).cast("double")
     units = ["B", "kB", "MB", "GB", "TB", "PB", "EB"]
     text = F.concat(F.col(column).cast("string"), F.lit(" B"))
     for k, unit in enumerate(units[1:], 1):
         value = F.round(n / F.lit(10.0 ** (3 * k)) * 10) / 10
-        shown = F.when(value < 10, F.format_string("%.1f", value)).otherwise(F.format_string("%.0f", value))
+        shown = F.when(value < 10, F.format_string("%.1f", value)).otherwise(F.format_string("%.0f", F.bround(value, 0)))
         text = F.when(n >= 10.0 ** (3 * k), F.concat(shown, F.lit(f" {unit}"))).otherwise(text)
     return text
 
