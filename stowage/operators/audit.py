@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stowage.functions.hashes import comma_count, human_bytes
+
 from .narinfo import narinfo_only
 
 MD5 = "^[0-9a-fA-F]{32}$"
@@ -79,7 +81,42 @@ def verify_stats(inventory: DataFrame, raw: DataFrame) -> DataFrame:
     others = inventory.where(~F.coalesce(F.endswith("key", F.lit(".narinfo")), F.lit(False)))
     others = others.select("file_id", "size", F.lit(None).cast("string").alias("status"), F.lit(False).alias("narinfo"))
     rows = statuses.unionByName(others)
-    return rows.rollup("file_id").agg(F.grouping("file_id").cast("int").alias("is_total"), *_counts())
+    per_file = rows.groupBy("file_id").agg(*_counts())
+    names = [c for c in per_file.columns if c != "file_id"]  # the total adds up the few rows of the files, not the objects again
+    return per_file.rollup("file_id").agg(F.grouping("file_id").cast("int").alias("is_total"), *[F.sum(c).cast("bigint").alias(c) for c in names])
+
+
+def stats_text(stats: DataFrame) -> DataFrame:
+    """verify_stats() for people: sizes as "1.5 kB" and counts as "1,234", null where they are zero."""
+    shown = lambda c: F.when(F.col(c) != 0, human_bytes(c) if c.endswith("_size") else comma_count(c)).alias(c)
+    return stats.select("file_id", "is_total", *[shown(c) for c in stats.columns if c not in ("file_id", "is_total")])
+
+
+def stats_document(stats: DataFrame) -> DataFrame:
+    """(document): the totals of verify_stats() as indented JSON, without the numbers that are zero."""
+    text = stats_text(stats.where("is_total = 1"))
+    objects = F.struct(F.col("objects_size").alias("size"), F.col("objects_count").alias("count"))
+    narinfo = F.struct(F.col("narinfo_size").alias("size"), F.col("narinfo_count").alias("count"), "verified", "missing", "invalid", "bad_checksum")
+    return text.select(F.to_json(F.struct(objects.alias("objects"), narinfo.alias("narinfo")), {"pretty": "true"}).alias("document"))
+
+
+def rewrite_valid(raw_path: str, verified: DataFrame) -> int:
+    """Write the stored bodies at `raw_path` again without those whose checksum differs, then put the new table in the old one's place.
+
+    The old table stays beside it as <path>-replaced. Returns the number of bodies dropped.
+    """
+    spark = verified.sparkSession
+    raw = spark.read.parquet(raw_path)
+    new = f"{raw_path.rstrip('/')}-new"
+    before = raw.count()
+    drop_invalid(raw, verified).write.mode("overwrite").parquet(new)
+    after = spark.read.parquet(new).count()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
+    for source, target in ((raw_path.rstrip("/"), f"{raw_path.rstrip('/')}-replaced"), (new, raw_path.rstrip("/"))):
+        if not files.rename(path(source), path(target)):
+            raise OSError(f"could not move {source} to {target}")
+    return before - after
 
 
 def running_totals(per_file: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from stowage.functions.hashes import render_locations
 
 from .narinfo import classify_keys
 
-#: Deletes a list of keys and returns an error code by key for those that failed; NoSuchKey means that it was not there.
-Deleter = Callable[[list[str]], dict[str, str]]
+#: Deletes a list of keys and returns an error code, or a code and a message, by key for those that failed; NoSuchKey means that it was not there.
+Deleter = Callable[[list[str]], dict[str, str | tuple[str, str]]]
 DELETE_BATCH = 1000
 
 
@@ -29,36 +29,52 @@ def expand_targets(targets: DataFrame, legacy_suffix: bool = False) -> DataFrame
 
 def dedup_keys(keys: DataFrame) -> DataFrame:
     """(key, class, store_path, n_targets): each key once, with the smallest store path, whatever the partitioning."""
-    return keys.groupBy("key", "class").agg(F.min("store_path").alias("store_path"), F.count("*").alias("n_targets"))
+    # The class follows from the key, so grouping by the key alone serves a join by key as well.
+    rows = keys.groupBy("key").agg(F.min("class").alias("class"), F.min("store_path").alias("store_path"), F.count("*").alias("n_targets"))
+    return rows.select("key", "class", "store_path", "n_targets")
 
 
-def dry_run(keys: DataFrame, listing: DataFrame) -> DataFrame:
-    """keys with status present or not_found by a listing(key) of the store; a null listing key matches nothing."""
+def dry_run(keys: DataFrame, listing: DataFrame, unlisted: tuple[str, ...] = ()) -> DataFrame:
+    """keys with status present, not_found or unknown by a listing(key) of the store; a null listing key matches nothing.
+
+    `unlisted`: prefixes of which the listing failed; of keys under them that are not in the listing nothing is known.
+    """
     there = listing.select("key").where("key is not null").distinct().withColumn("there", F.lit(True))
     rows = keys.join(there, "key", "left")
-    return rows.withColumn("status", F.when(F.col("there"), "present").otherwise("not_found")).drop("there")
+    unsure = F.lit(False)
+    for prefix in unlisted:
+        unsure = unsure | F.startswith("key", F.lit(prefix))
+    return rows.withColumn("status", F.when(F.col("there"), "present").when(unsure, "unknown").otherwise("not_found")).drop("there")
 
 
 def delete_keys(keys: DataFrame, deleter: Deleter) -> DataFrame:
-    """(key, code) for every key: null if it was deleted, else the store's error code. Side effects: write the result before
-    any other use, and switch speculation off for the job. A repeated task finds NoSuchKey, which is no error."""
+    """(key, code, message) for every key: null if it was deleted, else the store's error. What the store says of other keys follows.
+
+    Side effects: write the result before any other use, and switch speculation off for the job. A repeated task finds NoSuchKey, which is no error.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             names = b["key"].tolist()
             for s in range(0, len(names), DELETE_BATCH):
                 some = names[s : s + DELETE_BATCH]
-                codes = deleter(some)
-                yield pd.DataFrame({"key": some, "code": [codes.get(k) for k in some]})
+                said = {k: v if isinstance(v, tuple) else (v, None) for k, v in deleter(some).items()}
+                told = some + sorted(set(said).difference(some))
+                codes, messages = zip(*[said.get(k, (None, None)) for k in told])
+                yield pd.DataFrame({"key": told, "code": codes, "message": messages}, dtype=object)
 
-    return keys.select("key").mapInPandas(run, "key string, code string")
+    return keys.select("key").mapInPandas(run, "key string, code string, message string")
 
 
 def merge_outcomes(keys: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Removal records (key, class, store_path, not_found, error) of keys with outcomes(key, code, message) of those that failed."""
+    """Removal records (key, class, store_path, not_found, error) of keys with outcomes(key, code, message) of those that failed.
+
+    Of several outcomes of one key an error counts before NoSuchKey, then the last by code and message.
+    """
     failed = outcomes.where("code is not null")
     code, message = F.col("code"), F.coalesce("message", F.lit("")) if "message" in outcomes.columns else F.lit("")
-    failed = failed.select("key", code, message.alias("message"))
+    failed = failed.groupBy("key").agg(F.max(F.struct((code != "NoSuchKey").alias("wrong"), code, message.alias("message"))).alias("o"))
+    failed = failed.select("key", "o.code", "o.message")
     rows = keys.join(failed, "key", "left")
     error = F.when(code.isNull() | (code == "NoSuchKey"), "").otherwise(F.concat(F.lit("s3 error: code = "), code, F.lit(", message = "), F.col("message")))
     return rows.select("key", "class", "store_path", F.coalesce(code == "NoSuchKey", F.lit(False)).alias("not_found"), error.alias("error"))
@@ -118,6 +134,10 @@ class RemovalErrors(Exception):
     pass
 
 
+class UnknownOutcomes(Exception):
+    pass
+
+
 def assert_clean(stats: DataFrame) -> None:
     """Raise if keys failed, else if targets were missing; call it after the outputs are written."""
     r = stats.first()
@@ -131,7 +151,8 @@ def collect_garbage(targets: DataFrame, path: str, listing: DataFrame | None = N
     """Run a collection and return its statistics: a dry run against `listing`, or a deletion by `deleter`.
 
     The outcome rows are written to `path` (zstd Parquet, one row for each key) before anything reads them, so that keys are
-    deleted once; statistics come from the written rows.
+    deleted once; statistics come from the written rows. Reports of the store on keys that were not asked for raise UnknownOutcomes
+    after the rows are written.
     """
     if (listing is None) == (deleter is None):
         raise ValueError("give either a listing, for a dry run, or a deleter")
@@ -146,6 +167,9 @@ def collect_garbage(targets: DataFrame, path: str, listing: DataFrame | None = N
         keys = spark.read.parquet(names)
         codes = f"{path.rstrip('/')}-codes"
         delete_keys(keys, deleter).write.mode("overwrite").parquet(codes)
-        records = merge_outcomes(keys, spark.read.parquet(codes))
+        outcomes = spark.read.parquet(codes)
+        records = merge_outcomes(keys, outcomes)
     records.drop("class").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    if deleter is not None and (stray := unknown_outcomes(keys, outcomes).select("key").limit(5).collect()):
+        raise UnknownOutcomes(f"the store reported on keys that were not asked for: {', '.join(r.key for r in stray)}")
     return gc_stats(classify_keys(targets.sparkSession.read.parquet(path)), targets, deleter is None)

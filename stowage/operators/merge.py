@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .narinfo import parse_narinfos
+
 
 def sort_columns(order_by: str) -> list[Column]:
     """ "col [ASC|DESC], ..." as columns; nulls come last in either direction. Only names are taken, no expressions."""
@@ -31,7 +33,15 @@ def merge_inventory(inventory: DataFrame, path: str, order_by: str = "key", sing
     (writer.option("maxRecordsPerFile", rows_a_file) if rows_a_file else writer).parquet(path)
 
 
-def export_narinfos(records: DataFrame, path: str, block_size: int = 512 << 20) -> None:
-    """Write parsed records in key order as zstd Parquet, in large row groups so that dictionaries of references pay."""
-    rows = records.orderBy("key").drop("key", "dq_missing_store_path")
+def export_narinfos(records: DataFrame, path: str, block_size: int = 512 << 20) -> int:
+    """Write parsed records in key order as zstd Parquet, in large row groups so that dictionaries of references pay; returns their number."""
+    rows = records.orderBy("key").drop("key", "dq_missing_store_path", "dq_invalid_utf8")
     rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", block_size).option("parquet.dictionary.page.size", 8 << 20).parquet(path)
+    return records.sparkSession.read.parquet(path).count()  # from the files' footers
+
+
+def export_raw(raw: DataFrame, path: str) -> DataFrame:
+    """Parse raw(key, content), export the records and return one row of statistics: processed, exported, failed."""
+    parsed = parse_narinfos(raw)
+    export_narinfos(parsed.records, path)
+    return parsed.stats()

@@ -1,7 +1,8 @@
 """Parsing of narinfo texts into typed records, as DataFrame expressions in one scan.
 
-Bytes are read as ISO-8859-1, so one character is one byte for lengths and comparisons; free text is turned back to UTF-8 at the
-end. Each reject rule is a flag of its own; a record with any flag set is a reject and keeps all its rules.
+Bytes are read as ISO-8859-1, so one character is one byte for lengths and comparisons; free text gets its bytes back at the
+end. A rule is one pattern over the whole text and a value one extraction from it, both in generated code. Each reject rule is a flag of
+its own; a record with any flag set is a reject and keeps all its rules.
 """
 
 from __future__ import annotations
@@ -25,75 +26,70 @@ COLUMNS = (
 
 _ZERO20, _ZERO32 = "unhex(repeat('00', 20))", "unhex(repeat('00', 32))"
 
+#: Parts of patterns: a base-32 digit, a hexadecimal digit, and that the line ends here.
+_B32, _HEX, _END = VALID.strip("^$+"), "[0-9a-fA-F]", "(?![^\\n])"
 
-def _fields(content: str) -> Column:
-    """The lines' keys and values as an array of (k, v), split at the first ": "; other lines are left out."""
-    text = F.decode(content, "ISO-8859-1")
-    lines = F.transform(F.split(text, "\n"), lambda line: F.when(F.endswith(line, F.lit("\r")), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line))
-    lines = F.filter(lines, lambda line: F.instr(line, ": ") > 0)
-    return F.transform(lines, lambda line: F.struct(F.substring_index(line, ": ", 1).alias("k"), F.substring(line, F.instr(line, ": ") + 2, F.length(line)).alias("v")))
 
+def _sql(pattern: str) -> str:
+    """A pattern as a SQL string literal."""
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _all(key: str) -> str:
-    return f"transform(filter(kv, x -> x.k = '{key}'), x -> x.v)"
 
+def _text(content: str) -> str:
+    """SQL for the content's lines, a line feed before each, without one carriage return at a line's end."""
+    t = f"replace(decode({content}, 'ISO-8859-1'), '\\r\\n', '\\n')"
+    return f"concat('\\n', regexp_replace({t}, {_sql('\\r$(?![\\s\\S])')}, ''))"
 
-def _last(values: str) -> str:
-    return f"try_element_at({values}, -1)"
+
+def _all(key: str, but: str = "") -> str:
+    """SQL for the values of a key in order: what follows the line's first ": "."""
+    return f"regexp_extract_all(t, {_sql(f'\\n{key}: {but}([^\\n]*+)')}, 1)"
 
 
-def _utf8(text: str) -> str:
-    return f"try_validate_utf8(decode(encode({text}, 'ISO-8859-1'), 'UTF-8'))"
+def _last(values: str) -> str:
+    return f"try_element_at({values}, -1)"
 
 
-def _decoded(text: str, digits: int | None = None) -> str:
-    return decode_sql(text, digits)
+def _bytes(text: str) -> str:
+    """SQL for the text of which these characters are the bytes, kept as they are even where they are no UTF-8."""
+    return f"cast(encode({text}, 'ISO-8859-1') as string)"
 
 
-def _bad_uint(values: str) -> str:
-    return f"exists({values}, v -> not (v rlike '^[0-9]+$') or coalesce(try_cast(if(v rlike '^[0-9]+$', v, null) as decimal(38,0)) > {MAX_UINT64}BD, true))"
+def _bad(key: str, good: str) -> str:
+    """SQL that is true if a line of the key has a value that does not begin with the pattern."""
+    return f"t rlike {_sql(f'\\n{key}: (?!{good})')}"
 
 
-def _bad_sha256(values: str) -> str:
-    h = "substring(v, 8)"
-    return f"exists({values}, v -> not (startswith(v, 'sha256:') and ((length({h}) = 52 and {h} rlike '{VALID}') or (length({h}) = 64 and {h} rlike '^[0-9a-fA-F]+$'))))"
+def _bad_uint(key: str) -> str:
+    large = f"exists({_all(key)}, v -> coalesce(try_cast(v as decimal(38,0)) > {MAX_UINT64}BD, true))"
+    return f"{_bad(key, f'[0-9]++{_END}')} or case when t rlike {_sql(f'\\n{key}: 0*+[0-9]{{20,}}')} then {large} else false end"
 
 
 def _sha256(value: str) -> str:
     h = f"substring({value}, 8)"
-    return f"case when {value} is null then {_ZERO32} when length({h}) = 64 then unhex({h}) else {_decoded(h, 52)} end"
-
-
-_CA = r"^(fixed|text):(r:)?(md5|sha1|sha256|sha512):([^\\n]*)$"
-
-
-def _bad_ca(values: str) -> str:
-    h, algo = f"regexp_extract(v, '{_CA}', 4)", f"regexp_extract(v, '{_CA}', 3)"
-    fits = " or ".join(
-        f"({algo} = '{a}' and ((length({h}) = {b32} and {h} rlike '{VALID}') or (length({h}) = {hexa} and {h} rlike '^[0-9a-fA-F]+$')))" for a, (b32, hexa, _) in CA_LENGTHS.items()
-    )
-    return f"exists({values}, v -> not ({fits}))"
+    return f"case when {value} is null then {_ZERO32} when length({h}) = 64 then unhex({h}) else {decode_sql(h, 52)} end"
 
 
 def _ca_hash(value: str) -> str:
-    h, algo = f"regexp_extract({value}, '{_CA}', 4)", f"regexp_extract({value}, '{_CA}', 3)"
-    hexa = " ".join(f"when {algo} = '{a}' and length({h}) = {n} then unhex({h})" for a, (_, n, _) in CA_LENGTHS.items())
-    return f"case when {value} is null then null {hexa} else {_decoded(h)} end"
+    h = f"substring_index({value}, ':', -1)"
+    forms = [(n, f"when length({h}) = {n} and {value} like '%:{a}:%' then unhex({h})") for a, (_, n, _) in CA_LENGTHS.items()]
+    forms += [(n, f"when length({h}) = {n} and {value} like '%:{a}:%' then {decode_sql(h, n)}") for a, (n, _, _) in CA_LENGTHS.items()]
+    return f"case when {value} is null then null {' '.join(f for _, f in forms)} end"
 
 
-_PATH = "^/nix/store/.{32}-"
 _REFS = "filter(split(v, ' '), r -> length(r) >= 34 and substring(r, 33, 1) = '-')"
+_CA = "|".join(f"{a}:(?:{_B32}{{{b32}}}|{_HEX}{{{hexa}}})" for a, (b32, hexa, _) in CA_LENGTHS.items())
 
-#: Rules by name: SQL that is true for a record that must be rejected. kv holds the record's fields.
+#: Rules by name: SQL that is true for a record that must be rejected. t holds the record's lines, each after a line feed.
 RULES = {
-    "store_path": f"exists({_all('StorePath')}, v -> length(v) < 45 or not (v rlike '{_PATH}') or not (substring(v, 12, 32) rlike '{VALID}'))",
-    "file_size": _bad_uint(_all("FileSize")),
-    "nar_size": _bad_uint(_all("NarSize")),
-    "file_hash": _bad_sha256(_all("FileHash")),
-    "nar_hash": _bad_sha256(_all("NarHash")),
-    "deriver": f"exists({_all('Deriver')}, v -> v != 'unknown-deriver' and (length(v) < 34 or substring(v, 33, 1) != '-' or not (substring(v, 1, 32) rlike '{VALID}')))",
-    "ca": _bad_ca(_all("CA")),
-    "sig": f"exists({_all('Sig')}, v -> instr(v, ':') = 0 or coalesce(octet_length(try_to_binary(substring(v, instr(v, ':') + 1), 'base64')), 0) != 64 or not (substring(v, instr(v, ':') + 1) rlike '^[A-Za-z0-9+/]*=*$'))",
+    "store_path": _bad("StorePath", f"/nix/store/{_B32}{{32}}-[^\\n]"),
+    "file_size": _bad_uint("FileSize"),
+    "nar_size": _bad_uint("NarSize"),
+    "file_hash": _bad("FileHash", f"sha256:(?:{_B32}{{52}}|{_HEX}{{64}}){_END}"),
+    "nar_hash": _bad("NarHash", f"sha256:(?:{_B32}{{52}}|{_HEX}{{64}}){_END}"),
+    "deriver": _bad("Deriver", f"unknown-deriver{_END}|{_B32}{{32}}-[^\\n]"),
+    "ca": _bad("CA", f"(?:fixed|text):(?:r:)?(?:{_CA}){_END}"),
+    "sig": _bad("Sig", f"[^:\\n]*+:[A-Za-z0-9+/]{{86}}=={_END}"),
 }
 
 
@@ -113,15 +109,15 @@ class Parsed:
 def parse_narinfos(raw: DataFrame) -> Parsed:
     """Records, rejects and counts of raw(key, content); other columns are ignored.
 
-    records: key, the record's columns and dq_missing_store_path. A missing StorePath is no error: the hash is zero and
-    pname empty. Of repeated scalar fields the last counts, but each must be sound. References and signatures add up in order.
+    records: key, the record's columns, dq_missing_store_path and dq_invalid_utf8. A missing StorePath is no error: the hash is zero and
+    pname empty. Names keep their bytes where these are no UTF-8, and the flag says so. Of repeated scalar fields the last counts, but each must be sound. References and signatures add up in order.
     rejects: (key, rule), one row for each rule broken. Null content is an empty text.
     """
-    flagged = raw.select("key", F.explode(F.array(_fields(F.coalesce("content", F.lit(b""))))).alias("kv"))
+    flagged = _fixed(raw.select("key", F.coalesce("content", F.lit(b"")).alias("content")), {"t": _text("content")}).drop("content")
     rules = F.array(*[F.when(F.expr(sql), name) for name, sql in RULES.items()])
     flagged = flagged.withColumn("rules", F.filter(rules, lambda r: r.isNotNull()))
     rejects = flagged.select("key", F.explode("rules").alias("rule"))
-    good = flagged.where(F.size("rules") == 0)
+    good = flagged.where(~F.expr(" or ".join(f"({sql})" for sql in RULES.values()))).select("key", "t")
 
     # Values first, then what is decoded from them, so that no value is worked out for each of its uses. An
     # "unknown-deriver" line changes nothing, so an earlier deriver stays.
@@ -132,7 +128,7 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
         "v_nar_hash": _last(_all("NarHash")),
         "v_file_size": _last(_all("FileSize")),
         "v_nar_size": _last(_all("NarSize")),
-        "v_deriver": _last(f"filter({_all('Deriver')}, v -> v != 'unknown-deriver')"),
+        "v_deriver": _last(_all("Deriver", f"(?!unknown-deriver{_END})")),
         "v_system": _last(_all("System")),
         "v_ca": _last(_all("CA")),
         "v_sigs": _all("Sig"),
@@ -146,19 +142,19 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
     }
     out = _fixed(_fixed(good, values), parts)
     quirk = "exists(v_refs, a -> exists(zip_with(a, slice(a, 2, greatest(1, size(a))), (p, q) -> coalesce(p >= q, false)), z -> z))"
-    domain = _utf8("substring(v, 1, instr(v, ':') - 1)")
+    domain = _bytes("substring(v, 1, instr(v, ':') - 1)")
     columns = {
-        "hash": f"coalesce({_decoded('h_path', 32)}, {_ZERO20})",
-        "pname": f"coalesce({_utf8('substring(v_path, 45)')}, '')",
-        "compression": f"coalesce(nullif({_utf8('v_compression')}, ''), 'bzip2')",
+        "hash": f"coalesce({decode_sql('h_path', 32)}, {_ZERO20})",
+        "pname": f"coalesce({_bytes('substring(v_path, 45)')}, '')",
+        "compression": f"coalesce(nullif({_bytes('v_compression')}, ''), 'bzip2')",
         "file_hash": _sha256("v_file_hash"),
         "file_size": "coalesce(cast(v_file_size as decimal(20,0)), cast(0 as decimal(20,0)))",
         "nar_hash": _sha256("v_nar_hash"),
         "nar_size": "coalesce(cast(v_nar_size as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "references": f"transform(h_refs, h -> {_decoded('h', 32)})",
-        "deriver": f"coalesce({_decoded('h_deriver', 32)}, {_ZERO20})",
-        "deriver_pname": f"nullif({_utf8('v_name')}, '')",
-        "system": f"nullif({_utf8('v_system')}, '')",
+        "references": f"transform(h_refs, h -> {decode_sql('h', 32)})",
+        "deriver": f"coalesce({decode_sql('h_deriver', 32)}, {_ZERO20})",
+        "deriver_pname": f"nullif({_bytes('v_name')}, '')",
+        "system": f"nullif({_bytes('v_system')}, '')",
         "signature_domains": f"transform(v_sigs, v -> {domain})",
         "signature_values": "transform(v_sigs, v -> try_to_binary(substring(v, instr(v, ':') + 1), 'base64'))",
         "ca_algo": "nullif(regexp_replace(v_ca, '^((?:fixed|text):(?:r:)?[^:]*):.*$', '$1'), '')",
@@ -167,6 +163,8 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
         "dq_missing_store_path": "v_path is null",
     }
     records = out.select("key", *[F.expr(sql).alias(c) for c, sql in columns.items()])
+    sound = " and ".join(f"coalesce(is_valid_utf8({c}), true)" for c in ("pname", "compression", "deriver_pname", "system"))
+    records = records.withColumn("dq_invalid_utf8", F.expr(f"not ({sound} and forall(signature_domains, d -> is_valid_utf8(d)))"))
     return Parsed(records, rejects, flagged)
 
 

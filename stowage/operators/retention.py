@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stowage.sources.readers import manifest_files
 
+from .gc import Deleter, delete_keys, merge_outcomes
+
 
 def keep_list(spark: SparkSession, text: str | None) -> DataFrame:
     """(report_id) of a comma-separated list, trimmed, without empty parts; none left is an error."""
@@ -36,3 +38,29 @@ def retention_counts(plan: DataFrame) -> DataFrame:
     return plan.agg(
         F.count_distinct("report_id").alias("manifests_deleted"), F.count("file_id").alias("file_entries"), F.count_if("delete_file").alias("files_deleted")
     )
+
+
+def retention_keys(plan: DataFrame, reports: str, data: str) -> DataFrame:
+    """(key, class, store_path): the objects that a plan deletes, each once: listing files under `data`, manifests under `reports`."""
+    manifests = plan.select(F.concat(F.lit(reports), "report_id", F.lit("/manifest.json")).alias("key"), F.lit("manifest").alias("class"), F.col("report_id").alias("store_path"))
+    files = plan.where("delete_file").select(F.concat(F.lit(data), "file_id").alias("key"), F.lit("file").alias("class"), F.col("file_id").alias("store_path"))
+    return manifests.union(files).distinct()
+
+
+def apply_retention(plan: DataFrame, reports: str, data: str, deleter: Deleter, path: str) -> DataFrame:
+    """Delete what a plan says and write (key, class, name, not_found, error) to `path`; returns counts by class of what was removed, absent and failed.
+
+    Files go before manifests, so that a run which ends early can be repeated from the manifests that are left.
+    """
+    spark = plan.sparkSession
+    keys = retention_keys(plan, reports, data)
+    keys.write.mode("overwrite").parquet(f"{path.rstrip('/')}-keys")
+    keys = spark.read.parquet(f"{path.rstrip('/')}-keys")
+    for kind in ("file", "manifest"):
+        some = keys.where(F.col("class") == kind)
+        codes = f"{path.rstrip('/')}-codes-{kind}"
+        delete_keys(some, deleter).write.mode("overwrite").parquet(codes)
+        rows = merge_outcomes(some, spark.read.parquet(codes)).withColumnRenamed("store_path", "name")
+        rows.write.mode("overwrite" if kind == "file" else "append").parquet(path)
+    failed, gone = F.col("error") != "", F.col("not_found")
+    return spark.read.parquet(path).groupBy("class").agg(F.count_if(~failed & ~gone).alias("removed"), F.count_if(gone).alias("not_found"), F.count_if(failed).alias("errors"))

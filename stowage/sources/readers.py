@@ -40,6 +40,16 @@ def read_raw_narinfos(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(file_id("path").alias("key"), "content")
 
 
+def write_raw_narinfos(spark: SparkSession, source: str, path: str, rows_a_file: int = 1_000_000) -> None:
+    """Compact the .narinfo objects under `source` once into a table of (key, content) that read_raw_table() reads."""
+    read_raw_narinfos(spark, source).write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_a_file).parquet(path)
+
+
+def with_millis(inventory: DataFrame, column: str = "last_modified_date") -> DataFrame:
+    """inventory with last_modified_ms: the column's milliseconds since 1970."""
+    return inventory.withColumn("last_modified_ms", F.unix_millis(column))
+
+
 def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_NARINFO).parquet(path)
 
@@ -53,7 +63,7 @@ def list_objects(spark: SparkSession, path: str, recursive: bool = True) -> Data
     """(key, size, last_modified) of the objects below a folder, or directly in it; contents are not read."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     prefix = _folder(path if ":" in path else f"file:{path}")
-    key = F.expr(f"substring(path, length('{prefix}') + 1)")
+    key = F.substring(F.col("path"), F.lit(len(prefix) + 1), F.length("path"))
     rows = rows.select(key.alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
     return rows if recursive else rows.where(~F.contains("key", F.lit("/")))
 

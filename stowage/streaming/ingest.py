@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stowage.operators.audit import checksum_gate, fetch_worklist
 from stowage.sources import schemas
 from stowage.sources.readers import file_id
 
@@ -17,9 +20,45 @@ def stream_bodies(spark: SparkSession, source: str, table: str, checkpoint: str,
     reader = spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     rows = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(source)
     rows = rows.select(file_id("path").alias("key"), "content", F.md5("content").alias("md5"), F.col("modificationTime").alias("fetched"))
-    query = rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "1000000")  # one small record a batch; by default only the last hundred are kept
+    try:
+        query = rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+    finally:
+        spark.conf.set(kept, before)
+
+
+class BadBodies(Exception):
+    pass
+
+
+class Ingested(NamedTuple):
+    added: int
+    quarantined: int
+    done: DataFrame
+
+
+def ingest_report(inventory: DataFrame, objects: DataFrame, raw_path: str, quarantine_path: str, done: DataFrame, strict: bool = False, force: bool = False) -> Ingested:
+    """One ingest of a report: what is still to fetch, fetched from objects(key, content), checked, stored and marked as done.
+
+    Bodies with the right MD5 are appended to the table at `raw_path` (key, content), which must exist; others to `quarantine_path` with the reason.
+    `strict` raises BadBodies, after writing, if there are any. done(file_id) comes back with the files of which nothing is left to fetch.
+    """
+    spark = inventory.sparkSession
+    work = fetch_worklist(inventory, spark.read.parquet(raw_path), done, force).select("key", "e_tag")
+    fetched = f"{quarantine_path.rstrip('/')}-fetched"
+    work.join(objects.select("key", "content"), "key").write.mode("overwrite").parquet(fetched)  # read twice below
+    good, bad = checksum_gate(spark.read.parquet(fetched))
+    added, quarantined = good.count(), bad.count()
+    good.select("key", "content").write.mode("append").parquet(raw_path)
+    bad.select("key", "content", "e_tag", "reason").write.mode("append").parquet(quarantine_path)
+    if strict and quarantined:
+        raise BadBodies(f"{quarantined} bodies have another checksum than the report says; see {quarantine_path}")
+    left = fetch_worklist(inventory, spark.read.parquet(raw_path), done, force)
+    return Ingested(added, quarantined, mark_done(done, left, inventory.select("file_id").distinct()))
 
 
 def new_objects(arrived: DataFrame, known: DataFrame, day: str = "day") -> DataFrame:
