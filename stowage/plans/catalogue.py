@@ -11,7 +11,8 @@ from stowage.functions import hashes
 from stowage.operators import audit, gc, merge, retention
 from stowage.operators import narinfo as nar
 from stowage.plans import derived
-from stowage.sources import readers
+from stowage.session import scratch
+from stowage.sources import readers, schemas
 from stowage.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,14 +37,14 @@ def _query(sql: str) -> Callable[[Query], Query]:
 def nixbase32_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derived.narinfo(spark, sf_dir).withColumn("hexa", F.lower(F.hex("nar_hash")))
     rows = rows.withColumn("nar_text", hashes.nixbase32_hex("hexa"))
-    rows = hashes.render_hashes(rows, ["hash", "file_hash"])
+    rows = hashes.render_hashes(rows, {"hash": 20, "file_hash": 32})
     return rows.select("p_partkey", F.col("hash").alias("hash_text"), F.col("file_hash").alias("file_text"), "nar_text")
 
 
 @_query(f"WITH {derived.SQL_NARINFO} SELECT p_partkey, hash AS hash_hex, file_hash AS file_hex FROM narinfo")
 def nixbase32_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hashes.render_hashes(derived.narinfo(spark, sf_dir), ["hash", "file_hash"])
-    rows = hashes.decode_hashes(rows, ["hash", "file_hash"])
+    rows = hashes.render_hashes(derived.narinfo(spark, sf_dir), {"hash": 20, "file_hash": 32})
+    rows = hashes.decode_hashes(rows, {"hash": 20, "file_hash": 32})
     return rows.select("p_partkey", F.lower(F.hex("hash")).alias("hash_hex"), F.lower(F.hex("file_hash")).alias("file_hex"))
 
 
@@ -112,6 +113,12 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.inventory(spark, sf_dir).where("right(file_id, 1) in ('1', '3', '5')").select("file_id").distinct()
 
 
+@_query(f"WITH {derived.SQL_INVENTORY} SELECT key, modified * 1000 AS last_modified_ms FROM inventory")
+def listing_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derived.inventory(spark, sf_dir).withColumn("last_modified_date", F.timestamp_seconds("modified"))
+    return readers.with_millis(rows).select("key", "last_modified_ms")
+
+
 _WORK = "doc_id % 13 = 0"
 
 
@@ -127,6 +134,12 @@ def fetch_worklist_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("key", "file_id", "size")
 
 
+@_query(f"WITH {derived.SQL_INVENTORY} SELECT DISTINCT file_id FROM inventory WHERE file_id NOT IN (SELECT file_id FROM inventory WHERE {_WORK} AND right(file_id, 1) NOT IN ('1', '3', '5'))")
+def files_marked_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = derived.inventory(spark, sf_dir).select("file_id").distinct()
+    return ingest.mark_done(_ingested(spark, sf_dir), fetch_worklist(spark, sf_dir), files)
+
+
 # Verification
 
 
@@ -149,6 +162,22 @@ def verify_stats_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.verify_stats(derived.inventory(spark, sf_dir), derived.raw_narinfo(spark, sf_dir))
 
 
+def _sql_size(c: str) -> str:
+    units = " ".join(
+        f"WHEN {c} >= 1e{3 * k} THEN (CASE WHEN round({c} / 1e{3 * k} * 10) / 10 < 10 THEN format('{{:.1f}}', round({c} / 1e{3 * k} * 10) / 10) ELSE format('{{:.0f}}', round({c} / 1e{3 * k} * 10) / 10) END) || ' {u}'"
+        for k, u in reversed(list(enumerate(("kB", "MB", "GB", "TB"), 1)))
+    )
+    return f"CASE {units} WHEN {c} = 0 THEN NULL ELSE {c} || ' B' END AS {c}"
+
+
+_COUNTS = ("objects_count", "narinfo_count", "verified", "missing", "invalid", "bad_checksum")
+
+
+@_query(f"WITH {_ROLLUP} SELECT file_id, is_total, {_sql_size('objects_size')}, {_sql_size('narinfo_size')}, " + ", ".join(f"CASE WHEN {c} <> 0 THEN format('{{:,}}', {c}) END AS {c}" for c in _COUNTS) + " FROM rolled")
+def verify_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.stats_text(verify_stats_rollup(spark, sf_dir))
+
+
 _SO_FAR = ", ".join(
     f"CAST(sum({c}) OVER (ORDER BY file_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS {c}_so_far" for c in ("objects_count", "objects_size", "narinfo_count", "verified", "missing", "bad_checksum")
 )
@@ -195,10 +224,13 @@ def object_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BROKEN = {"store_path": "p_partkey % 23 = 0 AND p_partkey % 29 <> 0", "file_size": "p_partkey % 19 = 0", "nar_hash": "p_partkey % 31 = 0"}
 _GOOD = " AND ".join(f"NOT ({c})" for c in _BROKEN.values())
-_REFS = """refs AS (
-    SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, r) AS parts, list(r ORDER BY l_linenumber, r) AS names FROM (
-        SELECT l_orderkey, l_linenumber, l_partkey, b32 || '-p' AS r FROM lineitem JOIN located ON l_partkey = p_partkey WHERE l_orderkey % 7 = 0
-    ) GROUP BY l_orderkey
+_REFS = """entries AS (
+    SELECT l_orderkey % (SELECT max(p_partkey) FROM part) + 1 AS of, list({'name': b32 || '-p', 'part': l_partkey} ORDER BY l_orderkey, l_linenumber, b32) AS es
+    FROM lineitem JOIN located ON l_partkey = p_partkey GROUP BY 1
+), listed AS (
+    SELECT of, CASE WHEN of % 4 = 0 THEN list_sort(list_distinct(es)) ELSE es END AS es FROM entries
+), refs AS (
+    SELECT of, list_transform(es, lambda e: e.part) AS parts, list_transform(es, lambda e: e.name) AS names FROM listed
 )"""
 
 
@@ -211,7 +243,7 @@ SELECT b32 || '.narinfo' AS key, CASE WHEN p_partkey % 29 = 0 THEN repeat('0', 4
     'x86_64-linux' AS system, CASE WHEN p_partkey % 11 = 0 THEN 'fixed:r:sha256' END AS ca_algo, CASE WHEN p_partkey % 11 = 0 THEN nar_hash END AS ca_hash,
     coalesce(len(list_filter(range(1, len(names)), lambda i: names[i] >= names[i + 1])) > 0, false) AS out_of_order,
     p_partkey % 29 = 0 AS no_store_path
-FROM located LEFT JOIN refs ON l_orderkey = p_partkey * 7 WHERE {_GOOD}""")
+FROM located LEFT JOIN refs ON of = p_partkey WHERE {_GOOD}""")
 def narinfo_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records
     text = lambda c: F.lower(F.hex(c)).alias(c)
@@ -235,7 +267,7 @@ def parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"""WITH {derived.SQL_LOCATED}, {_REFS}
 SELECT b32 || '.narinfo' AS key, len(list_filter(range(1, len(names)), lambda i: names[i] >= names[i + 1])) > 0 AS out_of_order, CAST(len(names) AS INTEGER) AS n_refs
-FROM located JOIN refs ON l_orderkey = p_partkey * 7 WHERE {_GOOD}""")
+FROM located JOIN refs ON of = p_partkey WHERE {_GOOD}""")
 def references_quirk(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records.where("size(`references`) > 0")
     return r.select("key", F.col("quirk_references_out_of_order").alias("out_of_order"), F.size("references").alias("n_refs"))
@@ -248,13 +280,56 @@ def narinfo_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""WITH {derived.SQL_LOCATED}, {_REFS}, edges AS (
-    SELECT unnest(parts) AS part FROM located JOIN refs ON l_orderkey = p_partkey * 7 WHERE {_GOOD}
+    SELECT unnest(parts) AS part FROM located JOIN refs ON of = p_partkey WHERE {_GOOD}
 ) SELECT sha1(CAST(part AS VARCHAR)) AS reference, CAST(count(*) AS BIGINT) AS n FROM edges GROUP BY part""")
 def reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = nar.reference_edges(nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records)
     return edges.groupBy(F.lower(F.hex("reference")).alias("reference")).agg(F.count("*").alias("n"))
 
 
+@_query(f"WITH {derived.SQL_LOCATED} SELECT CASE WHEN p_partkey % 29 = 0 THEN repeat('0', 40) ELSE hash END AS hash, nar_hash, file_size FROM located WHERE {_GOOD}")
+def narinfo_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies stored as a table, parsed, exported, and read back under the schema of collection targets."""
+    path = scratch(spark)
+    derived.narinfo_text(spark, sf_dir).write.parquet(f"{path}/raw")
+    merge.export_raw(readers.read_raw_table(spark, f"{path}/raw"), f"{path}/table")
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return readers.read_gc_targets(spark, f"{path}/table").select(text("hash"), text("nar_hash"), F.col("file_size").cast("bigint").alias("file_size"))
+
+
+_FAULTS = {
+    "StorePath": "store_path", "FileSize": "file_size", "NarSize": "nar_size", "FileHash": "file_hash", "NarHash": "nar_hash", "Deriver": "deriver", "CA": "ca", "Sig": "sig",
+}
+
+
+@_query("SELECT o_orderkey, rule FROM orders, (SELECT unnest(range(8)) AS k, unnest(" + str(list(_FAULTS.values())) + ") AS rule) WHERE o_orderkey % 8 = k")
+def narinfo_every_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body for each order with a fault in one field, all eight in turn."""
+    k = F.col("o_orderkey") % len(_FAULTS)
+    field = F.element_at(F.array(*[F.lit(f) for f in _FAULTS]), (k + 1).cast("int"))
+    text = F.concat(F.lit("System: x86_64-linux\nCompression: xz\n"), field, F.lit(": /broken "), F.col("o_orderkey").cast("string"), F.lit("\n"))
+    raw = derived.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.encode(text, "UTF-8").alias("content"))
+    return nar.parse_narinfos(raw).rejects.select(F.col("key").alias("o_orderkey"), "rule")
+
+
+_DIGEST = {"md5": ("md5({})", 16), "sha1": ("sha1({})", 20), "sha256": ("sha256({})", 32), "sha512": ("sha256({0}) || sha256('x' || {0})", 64)}
+
+
+@_query("SELECT o_orderkey, algo AS ca_algo, hash AS ca_hash, CAST(2 AS INTEGER) AS signatures FROM (" + " UNION ALL ".join(
+    f"SELECT o_orderkey, '{'fixed:r:' if k % 2 else 'text:'}{a}' AS algo, {sql.format('CAST(o_orderkey AS VARCHAR)')} AS hash FROM orders WHERE o_orderkey % 4 = {k}" for k, (a, (sql, _)) in enumerate(_DIGEST.items())
+) + ")")
+def narinfo_content_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body for each order with a content address, in base 32 or hexadecimal, of each algorithm, and two signatures."""
+    rows, key = derived.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("id")), F.col("o_orderkey")
+    hexa = F.when(key % 4 == 0, F.md5("id")).when(key % 4 == 1, F.sha1("id")).when(key % 4 == 2, F.sha2("id", 256)).otherwise(F.concat(F.sha2("id", 256), F.sha2(F.concat(F.lit("x"), "id"), 256)))
+    rows = rows.withColumn("hexa", hexa).withColumn("ca", F.when(key % 3 == 0, F.col("hexa")).otherwise(hashes.nixbase32_hex("hexa")))
+    algo = F.element_at(F.array(*[F.lit(f"{'fixed:r:' if k % 2 else 'text:'}{a}") for k, a in enumerate(_DIGEST)]), (key % 4 + 1).cast("int"))
+    sig = F.concat(F.regexp_replace(F.base64(F.encode(F.sha2("id", 256), "UTF-8")), "[\r\n]", ""), F.lit("\n"))
+    text = F.concat(F.lit("CA: "), algo, F.lit(":"), "ca", F.lit("\nSig: a-1:"), sig, F.lit("Sig: b-1:"), sig)
+    r = nar.parse_narinfos(rows.select(key.alias("key"), F.encode(text, "UTF-8").alias("content"))).records
+    return r.select(F.col("key").alias("o_orderkey"), "ca_algo", F.lower(F.hex("ca_hash")).alias("ca_hash"), F.size("signature_values").alias("signatures"))
+
+
 # Garbage collection
 
 
@@ -308,6 +383,40 @@ def gc_stats_compatible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gc.compatible_stats(gc_stats(spark, sf_dir))
 
 
+@_query(f"""WITH {derived.SQL_GC}
+SELECT key, class, store_path, CASE WHEN status = 'not_found' AND starts_with(key, 'nar/0') THEN 'unknown' ELSE status END AS status FROM dry""")
+def gc_dry_run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gc.dry_run(gc_key_dedup(spark, sf_dir), derived.listing(spark, sf_dir), unlisted=("nar/0",))
+    return rows.select("key", "class", "store_path", "status")
+
+
+_RUN = ", ".join(
+    f"CAST(count(*) FILTER (class = '{c}') AS BIGINT) AS attempted_{c}s, CAST(count(*) FILTER (class = '{c}' AND status = 'present' AND NOT failed) AS BIGINT) AS removed_{c}s,"
+    f" CAST(count(*) FILTER (class = '{c}' AND status = 'not_found') AS BIGINT) AS not_found_{c}s, CAST(count(*) FILTER (class = '{c}' AND failed) AS BIGINT) AS errors_{c}s"
+    for c in ("nar", "narinfo")
+)
+
+
+@_query(f"""WITH {derived.SQL_GC}, told AS (SELECT *, status = 'present' AND right(store_path, 1) = 'n' AS failed FROM dry)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM part WHERE p_partkey % 2 = 0) AS targets, {_RUN},
+    CAST(count(DISTINCT substr(store_path, 12, 32)) AS BIGINT) AS store_paths, false AS dry_run FROM told""")
+def gc_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real run on simulated outcomes: some keys are not there, some are denied, and denials are reported twice."""
+    rows = gc_dry_run(spark, sf_dir)
+    code = F.when(F.col("status") == "not_found", "NoSuchKey").when(F.right("store_path", F.lit(1)) == "n", "AccessDenied")
+    outcomes = rows.select("key", code.alias("code"), F.lit("denied").alias("message"))
+    outcomes = outcomes.union(outcomes.where("code = 'AccessDenied'").withColumn("code", F.lit("NoSuchKey")))
+    return gc.gc_stats(gc.merge_outcomes(rows, outcomes), derived.gc_targets(spark, sf_dir), dry=False)
+
+
+@_query(f"WITH {derived.SQL_GC} SELECT key, store_path, status = 'not_found' AS not_found, '' AS error FROM dry")
+def gc_removal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a dry run writes, read back."""
+    path = scratch(spark)
+    gc.collect_garbage(derived.gc_targets(spark, sf_dir), path, listing=derived.listing(spark, sf_dir))
+    return spark.read.schema(schemas.REMOVAL).parquet(path)
+
+
 # Retention
 
 _KEEP = "('2024-01-01T00-00Z', '2024-01-03T00-00Z')"

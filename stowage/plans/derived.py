@@ -23,7 +23,7 @@ def _id(name: str):
 
 
 def narinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A narinfo record for each part; 700 different NARs."""
+    """A narinfo record for each part; three parts share a NAR."""
     size = F.col("p_size")
     file_size = size.cast("bigint") * 1000 + F.col("p_partkey") % 1000
     return table(spark, sf_dir, "part").select(
@@ -31,7 +31,7 @@ def narinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unhex(F.sha1(_id("p_partkey"))).alias("hash"),
         F.replace("p_name", F.lit(" "), F.lit("-")).alias("pname"),
         F.when(size % 4 == 0, "xz").when(size % 4 == 1, "zstd").when(size % 4 == 2, "none").otherwise("bzip2").alias("compression"),
-        F.unhex(F.sha2((F.col("p_partkey") % 700).cast("string"), 256)).alias("file_hash"),
+        F.unhex(F.sha2(F.expr("p_partkey div 3").cast("string"), 256)).alias("file_hash"),
         F.unhex(F.sha2(F.concat(F.lit("nar"), _id("p_partkey")), 256)).alias("nar_hash"),
         file_size.alias("file_size"),
         (file_size * 3).alias("nar_size"),
@@ -46,7 +46,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key): what the store still holds; a fifth of the narinfos and a tenth of the NARs are gone."""
     rows = render_locations(narinfo(spark, sf_dir))
     narinfos = rows.where("p_partkey % 5 != 0").select(F.col("narinfo_key").alias("key"))
-    nars = rows.where("(p_partkey % 700) % 10 != 0").select(F.col("nar_key").alias("key"))
+    nars = rows.where("(p_partkey div 3) % 10 != 0").select(F.col("nar_key").alias("key"))
     return narinfos.union(nars).distinct()
 
 
@@ -99,15 +99,20 @@ def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key, content): narinfo bodies in text, with the parts of an order as references and with faults by key."""
+    """(key, content): narinfo bodies in text, with the parts of its orders as a part's references and with faults by key.
+
+    Orders are dealt to the parts in turn. Every fourth part lists its references once each, by name.
+    """
     from stowage.functions.hashes import nixbase32
 
     parts = narinfo(spark, sf_dir)
-    lines = table(spark, sf_dir, "lineitem").where("l_orderkey % 7 = 0").select("l_orderkey", "l_linenumber", "l_partkey")
-    refs = lines.select("l_orderkey", "l_linenumber", F.unhex(F.sha1(_id("l_partkey"))).alias("h"))
-    refs = refs.select("l_orderkey", F.struct("l_linenumber", F.concat(nixbase32("h", 20), F.lit("-p")).alias("r")).alias("s"))
-    refs = refs.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"]), " ").alias("refs"))
-    rows = parts.join(refs, parts["p_partkey"] * 7 == refs["l_orderkey"], "left")
+    many = table(spark, sf_dir, "part").agg(F.max("p_partkey").alias("many"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").crossJoin(F.broadcast(many))  # one row
+    refs = lines.select((F.col("l_orderkey") % F.col("many") + 1).alias("of"), "l_orderkey", "l_linenumber", F.unhex(F.sha1(_id("l_partkey"))).alias("h"))
+    refs = refs.select("of", F.struct("l_orderkey", "l_linenumber", F.concat(nixbase32("h", 20), F.lit("-p")).alias("r")).alias("s"))
+    refs = refs.groupBy("of").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"]).alias("names"))
+    names = F.when(F.col("of") % 4 == 0, F.array_sort(F.array_distinct("names"))).otherwise(F.col("names"))
+    rows = parts.join(refs.select("of", F.array_join(names, " ").alias("refs")), parts["p_partkey"] == F.col("of"), "left")
     k = F.col("p_partkey")
     end = F.when(k % 3 == 0, "\r\n").otherwise("\n")
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, end)
@@ -139,17 +144,16 @@ def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_b32(hexa: str, size: int) -> str:
     """SQL for the base-32 text of a hexadecimal string of `size` bytes."""
-    byte = lambda i: f"(CASE WHEN {i} < {size} THEN (instr('0123456789abcdef', substr({hexa}, 2 * ({i}) + 1, 1)) - 1) * 16 + instr('0123456789abcdef', substr({hexa}, 2 * ({i}) + 2, 1)) - 1 ELSE 0 END)"
-    n = (8 * size + 4) // 5
-    bit = f"(({n} - 1 - k) * 5)"
-    digit = f"((({byte(f'{bit} // 8')} >> ({bit} % 8)) | (CASE WHEN {bit} % 8 > 3 THEN {byte(f'{bit} // 8 + 1')} << (8 - {bit} % 8) ELSE 0 END)) & 31)"
-    return f"array_to_string(list_transform(range(0, {n}), lambda k: substr('0123456789abcdfghijklmnpqrsvwxyz', CAST({digit} + 1 AS INTEGER), 1)), '')"
+    # The number that the bytes spell, last byte first, as a string of bits, cut in fives from its end.
+    bits = f"array_to_string(list_transform(range({size - 1}, -1, -1), lambda i: lpad(bin(CAST('0x' || substr({hexa}, 2 * i + 1, 2) AS INTEGER)), 8, '0')), '')"
+    fives = f"regexp_extract_all(lpad({bits}, {5 * ((8 * size + 4) // 5)}, '0'), '[01]{{5}}')"
+    return f"array_to_string(list_transform({fives}, lambda b: substr('0123456789abcdfghijklmnpqrsvwxyz', 1 + CAST('0b' || b AS INTEGER), 1)), '')"
 
 
 SQL_NARINFO = """narinfo AS (
     SELECT p_partkey, sha1(CAST(p_partkey AS VARCHAR)) AS hash, replace(p_name, ' ', '-') AS pname,
         CASE p_size % 4 WHEN 0 THEN 'xz' WHEN 1 THEN 'zstd' WHEN 2 THEN 'none' ELSE 'bzip2' END AS compression,
-        sha256(CAST(p_partkey % 700 AS VARCHAR)) AS file_hash, sha256('nar' || CAST(p_partkey AS VARCHAR)) AS nar_hash,
+        sha256(CAST(p_partkey // 3 AS VARCHAR)) AS file_hash, sha256('nar' || CAST(p_partkey AS VARCHAR)) AS nar_hash,
         CAST(p_size AS BIGINT) * 1000 + p_partkey % 1000 AS file_size, (CAST(p_size AS BIGINT) * 1000 + p_partkey % 1000) * 3 AS nar_size
     FROM part
 )"""
@@ -169,7 +173,7 @@ SQL_GC = f"""{SQL_LOCATED}, keys AS (
     ) GROUP BY key, class
 ), listing AS (
     SELECT narinfo_key AS key FROM located WHERE p_partkey % 5 <> 0
-    UNION SELECT nar_key FROM located WHERE (p_partkey % 700) % 10 <> 0
+    UNION SELECT nar_key FROM located WHERE (p_partkey // 3) % 10 <> 0
 ), dry AS (
     SELECT k.*, CASE WHEN l.key IS NULL THEN 'not_found' ELSE 'present' END AS status FROM keys k LEFT JOIN listing l ON k.key = l.key
 )"""
