@@ -97,3 +97,26 @@ def test_failures_and_shared_nars(spark, tmp_path):
 def test_no_targets(spark, targets, tmp_path):
     r = gc.collect_garbage(targets.limit(0), str(tmp_path / "none"), listing=spark.createDataFrame([], "key string")).first()
     assert r.targets == r.attempted_nars == r.store_paths == 0
+
+
+def test_unknown_outcomes_messages_and_repeats(spark, tmp_path):
+    rows = spark.createDataFrame([("a",), ("b",)], "name string").select(
+        F.unhex(F.sha1("name")).alias("hash"), F.col("name").alias("pname"), F.lit("none").alias("compression"), F.unhex(F.sha2("name", 256)).alias("file_hash")
+    )
+    keys = gc.dedup_keys(gc.expand_targets(rows))
+    first = keys.orderBy("key").first().key
+    said = gc.collect_garbage(rows, str(tmp_path / "m"), deleter=lambda ks: {k: ("SlowDown", "try later") for k in ks if k == first})
+    assert said.first().errors_nars + said.first().errors_narinfos == 1
+    assert [r.error for r in spark.read.parquet(str(tmp_path / "m")).where("error != ''").collect()] == ["s3 error: code = SlowDown, message = try later"]
+    with pytest.raises(gc.UnknownOutcomes, match="stray"):
+        gc.collect_garbage(rows, str(tmp_path / "u"), deleter=lambda ks: {"stray": "X"})
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 4
+    twice = spark.createDataFrame([(first, "NoSuchKey", "z"), (first, "AccessDenied", "no"), (first, None, None)], "key string, code string, message string")
+    merged = gc.merge_outcomes(keys, twice)
+    assert merged.count() == 4 and [r.error for r in merged.where("error != ''").collect()] == ["s3 error: code = AccessDenied, message = no"]
+
+
+def test_unlisted_prefixes_are_unknown(spark):
+    keys = spark.createDataFrame([("nar/a", "nar", "p", 1), ("nar/b", "nar", "p", 1), ("c.narinfo", "narinfo", "p", 1)], "key string, class string, store_path string, n_targets int")
+    got = gc.dry_run(keys, spark.createDataFrame([("nar/a",), (None,)], "key string"), unlisted=("nar/",))
+    assert sorted((r.key, r.status) for r in got.collect()) == [("c.narinfo", "not_found"), ("nar/a", "present"), ("nar/b", "unknown")]

@@ -121,3 +121,23 @@ def test_other_keys_are_an_error(spark):
     assert [r["class"] for r in classify_keys(df).collect()] == ["nar", "narinfo"]
     with pytest.raises(Exception, match="neither a nar nor a narinfo"):
         classify_keys(spark.createDataFrame([("z.txt",)], "key string")).collect()
+
+
+def test_bytes_that_are_no_utf8_cost_no_other_record(spark):
+    bad = b"\xff\xfe"
+    path = b"StorePath: /nix/store/" + HASH.encode() + b"-"
+    rows, rejects, _ = parse(
+        spark, path + bad, b"Compression: " + bad, b"System: " + bad, b"Deriver: " + HASH.encode() + b"-" + bad + b".drv", b"Sig: " + bad + b":" + SIG.encode(),
+        b"Other: " + bad, b"System: fine", b"FileSize: 1" + bad, b"CA: " + bad, bad + b": " + bad,
+    )
+    assert rejects == [("7", "file_size"), ("8", "ca")]
+    assert {k: r.dq_invalid_utf8 for k, r in rows.items()} == {k: k in "01234" for k in "0123456" + "9"}
+    assert rows["6"].system == "fine"
+
+
+def test_names_keep_their_bytes(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("a", bytearray(b"System: x\xff\xc3\xa9"))], "key string, content binary")
+    r = parse_narinfos(df).records.select(F.hex(F.col("system").cast("binary")).alias("h")).first()
+    assert r.h == "78FFC3A9"

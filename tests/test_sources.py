@@ -103,3 +103,52 @@ def test_checksum_gate_and_drop(spark):
     status = audit.verify_objects(inv, df.where("key != 'c.narinfo'"))
     assert sorted((r.key[0], r.status) for r in status.collect()) == [("a", "verified"), ("b", "bad_checksum"), ("c", "missing"), ("d", "unverifiable")]
     assert sorted(r.key[0] for r in audit.drop_invalid(df, status).collect()) == ["a", "c", "d"]
+
+
+def test_documents_and_millis(spark):
+    stats = spark.createDataFrame([("f", 0, 1234, 82854982, 0, 0, 0, 0, 0, 0), (None, 1, 1234, 82854982, 7, 1500, 1000000, 0, 0, 3)], "file_id string, is_total int, objects_count long, objects_size long, narinfo_count long, narinfo_size long, verified long, missing long, invalid long, bad_checksum long")
+    doc = json.loads(audit.stats_document(stats).first().document)
+    assert doc == {"objects": {"size": "83 MB", "count": "1,234"}, "narinfo": {"size": "1.5 kB", "count": "7", "verified": "1,000,000", "bad_checksum": "3"}}
+    rows = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, 1, 250000),)], "last_modified_date timestamp")
+    assert readers.with_millis(rows).first().last_modified_ms == 1704067201250
+
+
+def test_objects_under_a_folder_with_an_apostrophe(spark, tmp_path):
+    (tmp_path / "it's").mkdir()
+    (tmp_path / "it's/a.narinfo").write_text("x")
+    assert [r.key for r in readers.list_objects(spark, f"{tmp_path}/it's").collect()] == ["a.narinfo"]
+    readers.write_raw_narinfos(spark, f"{tmp_path}/it's", f"{tmp_path}/table")
+    assert [(r.key, bytes(r.content)) for r in readers.read_raw_table(spark, f"{tmp_path}/table").collect()] == [("a.narinfo", b"x")]
+
+
+def test_one_ingest_of_a_report(spark, tmp_path):
+    md5 = "9dd4e461268c8034f5c8564e155c67a6"  # of x
+    inv = spark.createDataFrame([("a.narinfo", md5, "f"), ("b.narinfo", md5, "g"), ("c.narinfo", md5, "h"), ("nar/d.nar", md5, "f")], "key string, e_tag string, file_id string")
+    objects = spark.createDataFrame([("a.narinfo", bytearray(b"x")), ("b.narinfo", bytearray(b"y")), ("z.narinfo", bytearray(b"x"))], "key string, content binary")
+    raw, bad = str(tmp_path / "raw"), str(tmp_path / "bad")
+    objects.limit(0).write.parquet(raw)
+    none = spark.createDataFrame([], "file_id string")
+    got = ingest.ingest_report(inv, objects, raw, bad, none)
+    assert got[:2] == (1, 1) and [r.file_id for r in got.done.collect()] == ["f"]
+    assert [r.key for r in spark.read.parquet(raw).collect()] == ["a.narinfo"] and spark.read.parquet(bad).first().reason == "bad_checksum"
+    with pytest.raises(ingest.BadBodies):
+        ingest.ingest_report(inv, objects, raw, bad, none, strict=True)
+    status = audit.verify_objects(inv.withColumn("size", F.lit(1)).withColumn("e_tag", F.lit("0" * 32)), spark.read.parquet(raw))
+    assert audit.rewrite_valid(raw, status) == 1 and spark.read.parquet(raw).count() == 0 and spark.read.parquet(f"{raw}-replaced").count() == 1
+
+
+def test_retention_is_applied(spark, tmp_path):
+    from stowage.operators import retention
+
+    plan = spark.createDataFrame([("r1", "a", True), ("r1", "b", False), ("r2", "a", True), ("r3", None, False)], "report_id string, file_id string, delete_file boolean")
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def delete(keys):
+        for k in keys:
+            (asked / k.replace("/", "_")).touch()
+        return {k: "NoSuchKey" for k in keys if "r2" in k}
+
+    got = {r["class"]: tuple(r)[1:] for r in retention.apply_retention(plan, "reports/", "data/", delete, str(tmp_path / "out")).collect()}
+    assert got == {"file": (1, 0, 0), "manifest": (2, 1, 0)}
+    assert sorted(p.name for p in asked.iterdir()) == ["data_a", "reports_r1_manifest.json", "reports_r2_manifest.json", "reports_r3_manifest.json"]
