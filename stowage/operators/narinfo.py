@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stowage.functions.hashes import VALID, decode_sql
+from stowage.functions.hashes import VALID, decode_sql, decode_valid_sql
 
 MAX_UINT64 = "18446744073709551615"
 
@@ -151,7 +151,7 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
         "file_size": "coalesce(cast(v_file_size as decimal(20,0)), cast(0 as decimal(20,0)))",
         "nar_hash": _sha256("v_nar_hash"),
         "nar_size": "coalesce(cast(v_nar_size as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "references": f"transform(h_refs, h -> {decode_sql('h', 32)})",
+        "references": f"transform(h_refs, h -> {decode_valid_sql('h', 32)})",
         "deriver": f"coalesce({decode_sql('h_deriver', 32)}, {_ZERO20})",
         "deriver_pname": f"nullif({_bytes('v_name')}, '')",
         "system": f"nullif({_bytes('v_system')}, '')",

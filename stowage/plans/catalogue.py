@@ -245,7 +245,7 @@ SELECT b32 || '.narinfo' AS key, CASE WHEN p_partkey % 29 = 0 THEN repeat('0', 4
     p_partkey % 29 = 0 AS no_store_path
 FROM located LEFT JOIN refs ON of = p_partkey WHERE {_GOOD}""")
 def narinfo_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records
+    r = nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).records
     text = lambda c: F.lower(F.hex(c)).alias(c)
     return r.select(
         "key", text("hash"), "pname", "compression", text("file_hash"), text("nar_hash"), F.col("file_size").cast("bigint").alias("file_size"),
@@ -257,25 +257,25 @@ def narinfo_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {derived.SQL_LOCATED} " + " UNION ALL ".join(f"SELECT narinfo_key AS key, '{rule}' AS rule FROM located WHERE {c}" for rule, c in _BROKEN.items()))
 def narinfo_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).rejects
+    return nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).rejects
 
 
 @_query(f"SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count(*) FILTER ({_GOOD}) AS BIGINT) AS exported, CAST(count(*) FILTER (NOT ({_GOOD})) AS BIGINT) AS failed FROM part")
 def parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).stats()
+    return nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).stats()
 
 
 @_query(f"""WITH {derived.SQL_LOCATED}, {_REFS}
 SELECT b32 || '.narinfo' AS key, len(list_filter(range(1, len(names)), lambda i: names[i] >= names[i + 1])) > 0 AS out_of_order, CAST(len(names) AS INTEGER) AS n_refs
 FROM located JOIN refs ON of = p_partkey WHERE {_GOOD}""")
 def references_quirk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records.where("size(`references`) > 0")
+    r = nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).records.where("size(`references`) > 0")
     return r.select("key", F.col("quirk_references_out_of_order").alias("out_of_order"), F.size("references").alias("n_refs"))
 
 
 @_query(f"WITH {derived.SQL_LOCATED} SELECT narinfo_key AS key, 0 AS place, 'cache-1' AS domain, nar_hash AS value FROM located WHERE {_GOOD}")
 def narinfo_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = nar.signatures(nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records)
+    s = nar.signatures(nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).records)
     return s.select("key", "place", "domain", F.decode("value", "UTF-8").alias("value"))
 
 
@@ -283,16 +283,15 @@ def narinfo_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT unnest(parts) AS part FROM located JOIN refs ON of = p_partkey WHERE {_GOOD}
 ) SELECT sha1(CAST(part AS VARCHAR)) AS reference, CAST(count(*) AS BIGINT) AS n FROM edges GROUP BY part""")
 def reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = nar.reference_edges(nar.parse_narinfos(derived.narinfo_text(spark, sf_dir)).records)
+    edges = nar.reference_edges(nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).records)
     return edges.groupBy(F.lower(F.hex("reference")).alias("reference")).agg(F.count("*").alias("n"))
 
 
 @_query(f"WITH {derived.SQL_LOCATED} SELECT CASE WHEN p_partkey % 29 = 0 THEN repeat('0', 40) ELSE hash END AS hash, nar_hash, file_size FROM located WHERE {_GOOD}")
 def narinfo_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bodies stored as a table, parsed, exported, and read back under the schema of collection targets."""
+    """Stored bodies parsed, exported, and read back under the schema of collection targets."""
     path = scratch(spark)
-    derived.narinfo_text(spark, sf_dir).write.parquet(f"{path}/raw")
-    merge.export_raw(readers.read_raw_table(spark, f"{path}/raw"), f"{path}/table")
+    merge.export_raw(derived.narinfo_bodies(spark, sf_dir), f"{path}/table")
     text = lambda c: F.lower(F.hex(c)).alias(c)
     return readers.read_gc_targets(spark, f"{path}/table").select(text("hash"), text("nar_hash"), F.col("file_size").cast("bigint").alias("file_size"))
 

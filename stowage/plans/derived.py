@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowage.functions.hashes import narinfo_key, render_locations
+from stowage.session import scratch
+from stowage.sources.readers import read_raw_table
 
 REPORTS = ("2024-01-01T00-00Z", "2024-01-02T00-00Z", "2024-01-03T00-00Z", "2024-01-04T00-00Z")
 
@@ -98,6 +100,19 @@ def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2016-11-30").alias("version"), F.lit("1704067200000").alias("creationTimestamp"), fmt.alias("fileFormat"))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def narinfo_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """narinfo_text() as a stored table, as bodies are: written once a session and folder into the shared scratch folder."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _STORED:
+        path = scratch(spark)
+        narinfo_text(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    return read_raw_table(spark, _STORED[key])
+
+
 def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key, content): narinfo bodies in text, with the parts of its orders as a part's references and with faults by key.
 
