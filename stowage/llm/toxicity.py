@@ -122,7 +122,7 @@ def curve(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
 class Reader:
     """Features of texts under a model, with a bounded cache of word ratios."""
 
-    def __init__(self, model: Model, limit: int = 250_000):
+    def __init__(self, model: Model, limit: int = 150_000):
         self.model, self.limit = model, limit
         self.known: dict[str, float] = {}
 
