@@ -28,8 +28,8 @@ K = 5
 RADIUS = 17
 BLOCKS = 6
 SIMILARITY = 0.8
-#: Rows (item shingles, or texts with their windows) that are broadcast at most: about 100 MB.
-BROADCAST_ROWS = 3_000_000
+#: Item shingles, or texts and windows together, that are broadcast at most: some 50 MB.
+BROADCAST_ROWS = 1_000_000
 
 
 def normal(text: str) -> Column:
@@ -80,8 +80,9 @@ def similarity(a: str, b: str) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, weight: str = "1") -> DataFrame:
+    """df, broadcast if the sum of its rows' weights is small."""
+    return F.broadcast(df) if (df.agg(F.expr(f"sum({weight})").alias("n")).first().n or 0) <= BROADCAST_ROWS else df
 
 
 def starts(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -102,7 +103,7 @@ def starts(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, start, n, window): the windows of docs(doc_id, text) that can reach the threshold with one of items(item, n, shingles)."""
-    places = _small(materialise(starts(docs, items)))
+    places = _small(materialise(starts(docs, items)), "1 + size(starts)")
     words = docs.select("doc_id", normal("text").alias("words")).withColumn("t", F.xxhash64("words"))
     cut = "transform(array(split(words, ' ')), w -> transform(starts, s -> struct(s as start, array_join(slice(w, s + 1, n), ' ') as window)))[0]"
     return words.join(places, "t").selectExpr("doc_id", "n", f"inline({cut})").distinct()
