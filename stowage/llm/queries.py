@@ -131,7 +131,7 @@ FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
     "op10_url_filter": f"""
 WITH u AS (
     SELECT page_id,
-        lower(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1)) AS host,
+        translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 2) AS path
     FROM pages
 ), rules(what, h, p) AS (
