@@ -57,7 +57,7 @@ class WordCache:
     #: Fixed value: the word pattern of the tokenizer, for plain chunks.
     WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
-    def __init__(self, path: str, chunks: int = 150_000, words: int = 200_000):
+    def __init__(self, path: str, chunks: int = 200_000, words: int = 280_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
