@@ -7,9 +7,10 @@ continuation counts, so an expression that either class has hardly seen tells li
 rows that took no part in the counts, turns the comparison over the whole text and over its most toxic words into a score.
 
 Scale: word counts are made for all labelled training rows, in tasks first and then by one shuffle of (word, counts).
-What is broadcast are the counts of all distinct character sequences of the training rows, by 64-bit hash: 16 bytes a sequence and 24 a
-context, which grow with the vocabulary and not with the text. The curve is fitted on at most `calibration_rows` rows. Scoring is one pass over the documents without a shuffle; each task keeps the ratios of
-words it has met in a bounded cache.
+The counts of all distinct character sequences of the training rows, by 64-bit hash, are broadcast if they take `MODEL_BYTES` at most: 16
+bytes a sequence and 24 a context. Scoring is then one pass over the documents without a shuffle; each task keeps the ratios of
+words it has met in a bounded cache. Larger counts stay tables, with which the documents' distinct words are joined (`joined.py`); scores are the
+same but for rounding. The curve is fitted on at most `calibration_rows` rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batch, discard, materialise
+from .joined import Stored
 
 ORDER = 5
 #: Characters that a text could have, for smoothing.
@@ -35,8 +37,10 @@ DISCOUNT = 0.75
 #: The most toxic words whose mean ratio is a feature.
 TOP = 3
 CALIBRATION_ROWS = 20_000
-#: Labelled rows up to which the labels are broadcast to the documents; beyond, both are shuffled.
-BROADCAST_ROWS = 4_000_000
+#: Bytes up to which the counts are collected and broadcast; beyond, words are joined with them.
+MODEL_BYTES = 128 << 20
+#: Bytes of labelled ids up to which the labels are broadcast to the documents; beyond, both are shuffled.
+LABEL_BYTES = 64 << 20
 
 WORD = re.compile(r"[^\W_]+")
 BASE = np.uint64(1_000_003)
@@ -189,28 +193,55 @@ def _table(df: DataFrame, key: str, *names: str) -> Table:
     return Table(keys[order], np.stack([got[c].to_numpy(dtype=np.float32)[order] for c in names]))
 
 
-def count_model(rows: DataFrame) -> Model:
-    """The tables from rows(text, toxic 0 or 1)."""
+def count_tables(rows: DataFrame) -> list[DataFrame]:
+    """By order from 1: (gram, ordinary, toxic) of rows(text, toxic 0 or 1), counts of the highest order and continuation counts of the others.
+
+    Each is a part of a stored table.
+    """
     p = "concat('^', word, '$')"
     grams = f"explode(transform(sequence(2, length(word) + 2), i -> substring({p}, greatest(1, i - {ORDER - 1}), least(i, {ORDER})))) as gram"
     top = materialise(_sum(_word_counts(rows).selectExpr(grams, "ordinary", "toxic"), "gram"))
-    counts, contexts, done = [], [], [top]
+    orders = [top.where(F.length("gram") == ORDER)]
     for n in range(ORDER, 1, -1):
-        table = materialise(_placed(top.where(F.length("gram") == n), n))
-        done.append(table)
-        counts.append(_table(_sum(table, "here"), "here", "ordinary", "toxic"))
-        some = lambda c: F.sum((F.col(c) > 0).cast("long"))
-        by = table.groupBy("context").agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t"), some("ordinary").alias("ko"), some("toxic").alias("kt"))
-        contexts.append(_table(by, "context", "o", "t", "ko", "kt"))
         # Of the lower order: how many characters come before it; at a word's start, where none does, the counts stay.
-        shorter = top.where(F.length("gram") == n).selectExpr("substring(gram, 2) as gram", "cast(ordinary > 0 as bigint) as ordinary", "cast(toxic > 0 as bigint) as toxic")
+        shorter = orders[-1].selectExpr("substring(gram, 2) as gram", "cast(ordinary > 0 as bigint) as ordinary", "cast(toxic > 0 as bigint) as toxic")
         top = materialise(_sum(top.where(F.length("gram") < n).union(shorter), "gram"))
-        done.append(top)
-    single = _placed(top.where(F.length("gram") == 1), 1)
-    shared = _table(_sum(single, "here"), "here", "ordinary", "toxic")
-    for table in done:  # all of them have been read into the model
+        orders.append(top.where(F.length("gram") == n - 1))
+    return orders[::-1]
+
+
+def _contexts(grams: DataFrame, context: str) -> DataFrame:
+    """(context, o, t, ko, kt): tokens and kinds of each class after each context."""
+    some = lambda c: F.sum((F.col(c) > 0).cast("long"))
+    return grams.groupBy(context).agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t"), some("ordinary").alias("ko"), some("toxic").alias("kt"))
+
+
+def count_model(rows: DataFrame) -> Model | Stored:
+    """The counts of rows(text, toxic 0 or 1), collected or, beyond `MODEL_BYTES`, as tables."""
+    orders = count_tables(rows)
+    # There are at most as many contexts as sequences.
+    if 40 * sum(g.count() for g in orders[1:]) > MODEL_BYTES:
+        return _stored(orders)
+    counts, contexts = [], []
+    for n, grams in enumerate(orders[1:], 2):
+        table = materialise(_placed(grams, n))
+        counts.append(_table(_sum(table, "here"), "here", "ordinary", "toxic"))
+        contexts.append(_table(_contexts(table, "context"), "context", "o", "t", "ko", "kt"))
         discard(table)
-    return Model(counts[::-1], contexts[::-1], Table(shared.keys, shared.values.sum(axis=0, keepdims=True)))
+    shared = _table(_sum(_placed(orders[0], 1), "here"), "here", "ordinary", "toxic")
+    for grams in orders:  # all of them have been read into the model
+        discard(grams)
+    return Model(counts, contexts, Table(shared.keys, shared.values.sum(axis=0, keepdims=True)))
+
+
+def _stored(orders: list[DataFrame]) -> Stored:
+    grams, contexts = orders[0], None
+    for n, some in enumerate(orders[1:], 2):
+        grams = grams.union(some)
+        of = _contexts(some.withColumn("context", F.substring("gram", 1, n - 1)), "context")
+        contexts = of if contexts is None else contexts.union(of)
+    total = orders[0].agg(F.sum(F.col("ordinary") + F.col("toxic"))).first()[0]
+    return Stored(materialise(grams), materialise(contexts), float(total or 0), CHARACTERS, DISCOUNT, ORDER, TOP, words_of)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
@@ -234,17 +265,29 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic, part): the rows of docs that may be learned from. A doc_id with several labels has the largest."""
     known = labels.where(F.col("toxic").isin(0, 1) & (fold("doc_id") != 2)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    if labels.count() <= BROADCAST_ROWS:
+    size = known.agg(F.sum(F.coalesce(F.octet_length(F.col("doc_id").cast("string")), F.lit(0)) + 32)).first()[0]
+    if (size or 0) <= LABEL_BYTES:
         known = F.broadcast(known)
     return docs.select("doc_id", "text").where(fold("doc_id") != 2).join(known, "doc_id").withColumn("part", fold("doc_id"))
 
 
-def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model | Stored:
     """Counts of the labelled rows of folds 0 and 1; the curve from at most `calibration_rows` rows of fold 3, by hash."""
     rows = labelled(docs, labels)
     model = count_model(rows.where("part < 2"))
     some = rows.where("part = 3").select(F.xxhash64("doc_id").alias("key"), "toxic", "text")
-    shared = model.on_executors(docs.sparkSession)
+    if isinstance(model, Stored):
+        described = model.described(some).select("row.key", "row.toxic", *FEATURES)
+    else:
+        described = _described(some, model)
+    x = described.orderBy("key", *FEATURES, "toxic").limit(calibration_rows).toPandas()
+    model.weights = fit_curve(x[list(FEATURES)].to_numpy(dtype=float), x["toxic"].to_numpy(dtype=float))
+    return model
+
+
+def _described(rows: DataFrame, model: Model) -> DataFrame:
+    """rows(key, toxic, text) with the features in place of the texts."""
+    shared = model.on_executors(rows.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value)
@@ -252,17 +295,19 @@ def train(docs: DataFrame, labels: DataFrame, calibration_rows: int = CALIBRATIO
             yield pd.DataFrame(reader(b["text"].tolist()), columns=list(FEATURES)).assign(toxic=b["toxic"], key=b["key"])
 
     schema = ", ".join(f"{f} double" for f in FEATURES) + ", toxic int, key bigint"
-    x = some.mapInPandas(run, schema).orderBy("key", *FEATURES, "toxic").limit(calibration_rows).toPandas()
-    model.weights = fit_curve(x[list(FEATURES)].to_numpy(dtype=float), x["toxic"].to_numpy(dtype=float))
-    return model
+    return rows.mapInPandas(run, schema)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, model: Model | Stored, threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of docs(doc_id, text; other columns are ignored).
 
     Null and empty texts get the score of a text that tells nothing. Repeated rows each get a row; a null doc_id has
     held_out false. The score depends on the text alone.
     """
+    held = F.coalesce(fold("doc_id") == 2, F.lit(False))
+    told = lambda rows: rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    if isinstance(model, Stored):
+        return told(model.described(docs.select("doc_id", "text"), keep=("doc_id",)).select("row.doc_id", model.score().alias("score")))
     shared, weights = model.on_executors(docs.sparkSession), model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,13 +316,13 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
             yield batch(doc_id=b.column("doc_id"), score=pa.array(curve(weights, reader(b.column("text").to_pylist()))))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
-    held = F.coalesce(fold("doc_id") == 2, F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return told(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double"))
 
 
-def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows of `docs` whose score is under `threshold`, with all their columns, in one pass and without a join."""
+def drop_toxic(docs: DataFrame, model: Model | Stored, threshold: float = 0.3) -> DataFrame:
+    """The rows of `docs` whose score is under `threshold`, with all their columns; without a join if the counts are broadcast."""
+    if isinstance(model, Stored):
+        return model.described(docs).where(model.score() < threshold).select("row.*")
     shared, weights = model.on_executors(docs.sparkSession), model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stowage.llm import html, media, packing, quality, queries, simhash, toxicity, urls
+from stowage.llm.joined import Stored
 
 from .fixtures import docs, labels
 
@@ -251,7 +252,9 @@ def test_toxicity_held_out(spark, small):
     assert right >= 0.9 * len(rows), (right, len(rows))  # about 200 labels to learn from; on 15,000 it is over 0.999
 
 
-def test_toxicity_edges(spark):
+@pytest.mark.parametrize("limit", [toxicity.MODEL_BYTES, 0])
+def test_toxicity_edges(spark, monkeypatch, limit):
+    monkeypatch.setattr(toxicity, "MODEL_BYTES", limit)
     good, bad = "the cat sat on the mat and slept", "you utter scumbag and moron you"
     texts = [good if k % 3 else bad for k in range(200)]
     rows = docs(spark, *texts, extra=[(500, None), (501, ""), (502, "!!!"), (503, "scumbags " * 20_000), (None, bad), (0, bad)])
@@ -325,6 +328,35 @@ def test_counts_are_exact_with_many_sequences(spark):
     assert np.allclose(model.ratios(words), brute_ratio(texts, words), rtol=1e-4, atol=1e-4)
 
 
+def test_joined_counts_give_the_same_ratios(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MODEL_BYTES", 0)
+    rng = random.Random(4)
+    texts = [(" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(30)), int(k % 3 == 0)) for k in range(60)]
+    model = toxicity.count_model(spark.createDataFrame(texts, "text string, toxic int"))
+    words = [*sorted({t.split()[3] for t, _ in texts}), "zzz", "a", "日本語", "𐐨𐐩a", "unseen"]
+    rows = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "key bigint, word string")
+    got = {r.key: r.ratio for r in model.ratios(rows).collect()}
+    assert np.allclose([got[k] for k in range(len(words))], brute_ratio(texts, words), rtol=1e-9, atol=1e-9)
+
+
+def test_joined_counts_score_the_same(spark, small, monkeypatch):
+    rows = spark.read.parquet(f"{small}/documents.parquet").select("text", "doc_id", "lang")
+    rows = rows.union(docs(spark, None, "", "!!!", "scumbag " * 5_000, "one two", "one two").selectExpr("text", "-doc_id", "'en'"))
+    rows = rows.union(spark.createDataFrame([("no id", None, "en")], rows.schema))
+    known = spark.read.parquet(f"{small}/labels.parquet")
+    out = []
+    for limit in (toxicity.MODEL_BYTES, 0):
+        monkeypatch.setattr(toxicity, "MODEL_BYTES", limit)
+        model = toxicity.train(rows, known)
+        kept = toxicity.drop_toxic(rows, model)
+        assert kept.columns == rows.columns
+        scored = sorted(toxicity.score(rows, model).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.score))
+        out.append((scored, sorted(map(str, kept.collect()))))
+    assert isinstance(model, Stored) and len(out[0][0]) == rows.count()
+    assert [(r.doc_id, r.held_out, r.predicted) for r in out[0][0]] == [(r.doc_id, r.held_out, r.predicted) for r in out[1][0]]
+    assert np.allclose([r.score for r in out[0][0]], [r.score for r in out[1][0]], atol=1e-3) and out[0][1] == out[1][1]
+
+
 # Quality
 
 
