@@ -26,8 +26,8 @@ from .common import batch, materialise
 
 BUCKETS = 1 << 14
 SEED = 42
-#: Labelled rows up to which the labels are broadcast to the documents; beyond, both are shuffled.
-BROADCAST_ROWS = 4_000_000
+#: Bytes of good ids up to which they are broadcast to the documents; beyond, both are shuffled.
+LABEL_BYTES = 64 << 20
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -101,8 +101,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, int]:
     """
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     good = known.where("quality = 1").select("doc_id", F.lit(True).alias("good"))
-    share = known.agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 1).alias("good")).first()
-    if share.n <= BROADCAST_ROWS:
+    size = F.when(F.col("quality") == 1, F.coalesce(F.octet_length(F.col("doc_id").cast("string")), F.lit(0)) + 32)
+    share = known.agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 1).alias("good"), F.sum(size).alias("bytes")).first()
+    if (share.bytes or 0) <= LABEL_BYTES:
         good = F.broadcast(good)
     rows = docs.select("doc_id", "text").join(good, "doc_id", "left").withColumn("target", F.coalesce("good", F.lit(False)))
     got = _counts(rows).toPandas()
