@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +40,15 @@ NEEDS = {"email": "@", "phone": "+"}
 #: Gazetteers of field words.
 FIELDS = "token|tokens|key|apikey|secret|password|passwd|pwd|auth|bearer|credential|credentials|access|private|ssn|social|iban|account|acct|passport|tax"
 OTHER_FIELDS = "commit|sha1|sha256|md5|checksum|digest|version|revision|isbn|doi|order|page|figure|build|model"
-#: Forms of well-known keys, and plain hexadecimal digests.
-KNOWN_FORMS = r"^(?:gh[pousr]_[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{12,}|sk[-_][A-Za-z0-9_-]{16,}|xox[a-z]-[A-Za-z0-9-]{10,}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})$"
+#: Forms of well-known keys; plain hexadecimal digests, which may be keys or checksums; names and paths in words.
+KNOWN_FORMS = r"^(?:gh[pousr]_[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{12,}|sk[-_][A-Za-z0-9_-]{16,}|xox[a-z]-[A-Za-z0-9-]{10,})$"
+DIGESTS = r"^(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})$"
+IN_WORDS = r"[/+_-].*[/+_-].*[/+_-]"
+#: Social security numbers that are never given out.
+NO_NUMBER = r"^(?:000|666|9)|-00-|-0000$"
 BEFORE = 32
+#: How often each labeler is thought to have been right before any candidate is seen.
+TRUST = 3
 
 _SPAN = "struct<start:int,end:int,kind:int,m:string,before:string>"
 
@@ -78,6 +85,13 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(every, value), F.lit(0), lambda a, b: a + b) % 10 == 0
 
 
+def sound(m: Column) -> Column:
+    """Whether an account number is right: its first four characters moved to the end and letters counted from ten, it is 1 more than a multiple of 97."""
+    chars = F.split(F.concat(F.substr(m, F.lit(5)), F.left(m, F.lit(4))), "")
+    value = lambda x: F.conv(x, 36, 10).cast("int")
+    return F.aggregate(chars, F.lit(0), lambda acc, x: (acc * F.when(value(x) > 9, 100).otherwise(10) + value(x)) % 97) == 1
+
+
 def valid(span: Column) -> Column:
     """The checks of the base kinds."""
     m, n = span["m"], F.length(_digits(span["m"]))
@@ -91,41 +105,58 @@ def valid(span: Column) -> Column:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, candidates): arrays of spans of docs(doc_id, text). Candidates inside a base span are left out."""
+    """(doc_id, base, candidates): arrays of spans of docs(doc_id, text). Candidates inside a base span, and keys that are sound account numbers, are left out."""
     text = F.coalesce("text", F.lit(""))
     base = F.concat(*[F.filter(located(text, k, name), valid) for k, name in enumerate(KINDS)])
     more = F.concat(*[located(text, len(KINDS) + k, name) for k, name in enumerate(ADDED)])
     rows = docs.select("doc_id", F.array_sort(base).alias("base"), more.alias("more"))
-    clear = F.filter("more", lambda c: ~F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
+    inside = lambda c: F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
+    numbers = lambda c: F.exists("more", lambda o: (o["kind"] > c["kind"]) & (o["start"] == c["start"]) & (o["end"] == c["end"]) & sound(o["m"]))
+    clear = F.filter("more", lambda c: ~inside(c) & ~numbers(c))
     return rows.select("doc_id", "base", F.array_sort(clear).alias("candidates"))
 
 
 def votes(c: Column) -> list[Column]:
-    """Of a candidate: what the regex, the gazetteer and the context labeler say, each 1, -1 or 0."""
+    """Of a candidate: what the regex, the gazetteer and the context labeler say, each 1, -1 or 0.
+
+    The gazetteer labeler goes by the last field word, with two short words after it at most; the context labeler by the sign before the candidate.
+    """
     m, before = c["m"], c["before"]
-    shape = F.when(m.rlike(KNOWN_FORMS), 1).when(m.rlike(r"[/+_-].*[/+_-].*[/+_-]"), -1).otherwise(0)
-    field = F.when(before.rlike(rf"(?i)(?:^|[^a-z])(?:{FIELDS})[^a-z]*$"), 1).when(before.rlike(rf"(?i)(?:^|[^a-z])(?:{OTHER_FIELDS})[^a-z]*$"), -1).otherwise(0)
+    number = F.when(~m.rlike("^[0-9]"), F.when(sound(m), 1).otherwise(-1)).when(m.rlike(NO_NUMBER), -1).otherwise(0)
+    shape = F.when(c["kind"] == len(KINDS) + 1, number).when(m.rlike(KNOWN_FORMS), 1).when(m.rlike(IN_WORDS), -1).otherwise(0)
+    field = F.lower(F.regexp_extract(before, rf"(?i)(?:^|.*[^a-z])({FIELDS}|{OTHER_FIELDS})(?:[^a-z]+[a-z]{{1,4}}){{0,2}}[^a-z]*$", 1))
+    field = F.when(field == "", 0).when(field.rlike(rf"^(?:{FIELDS})$"), 1).otherwise(-1)
     around = F.when(before.rlike("[=:] ?[\"']?$"), 1).when(before.rlike(r"[\p{L}0-9.,;] ?$"), -1).otherwise(0)
     return [shape.alias("v0"), field.alias("v1"), around.alias("v2")]
 
 
 def features(c: Column) -> list[Column]:
-    """Small numbers that describe a candidate for the classifier."""
+    """Small numbers that describe a candidate for the classifier.
+
+    Most are of the match alone: length, digits, case, variety of its characters, changes between letters and digits, its longest run
+    of letters, a tag at its head. The line before it gives whether it holds a word of either gazetteer anywhere, and the last sign.
+    """
     m, before = c["m"], c["before"]
     n = F.length(m)
-    length = F.when(n < 16, 0).when(n < 32, 1).when(n < 40, 2).when(n == 40, 3).when(n <= 64, 4).otherwise(5)
+    length = F.when(n < 16, 0).when(n < 32, 1).when(n == 32, 2).when(n < 40, 3).when(n == 40, 4).otherwise(5)
     share = F.least(F.lit(3), F.floor(4 * F.length(_digits(m)) / n)).cast("int")
     case = F.when(m.rlike("^[^A-Z]*$"), 0).when(m.rlike("^[^a-z]*$"), 1).otherwise(2)
-    quoted = before.rlike("[\"']$").cast("int")
-    assigned = before.rlike("[=:] ?[\"']?$").cast("int")
-    named = before.rlike(rf"(?i)(?:^|[^a-z])(?:{FIELDS})[^a-z]*$").cast("int")
     plain = m.rlike("^[0-9A-Fa-f]+$").cast("int")
-    return [x.alias(f"f{k}") for k, x in enumerate((c["kind"], length, share, case, quoted, assigned, named, plain))]
+    kinds = F.size(F.array_distinct(F.split(m, "")))
+    variety = F.when(kinds <= 11, 0).when(kinds <= 16, 1).otherwise(2)
+    turns = F.least(F.lit(3), F.floor(8 * F.size(F.regexp_extract_all(m, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"), F.lit(0))) / n)).cast("int")
+    run = F.array_max(F.transform(F.split(m, "[^A-Za-z]++"), F.length))
+    letters = F.when(run <= 2, 0).when(run <= 5, 1).otherwise(2)
+    tagged = m.rlike("^[A-Za-z]{2,4}[0-9_-]").cast("int")
+    line = F.regexp_extract(before, "[^\n]*$", 0)
+    word = F.when(line.rlike(rf"(?i)(?<![a-z])(?:{OTHER_FIELDS})(?![a-z])"), 1).when(line.rlike(rf"(?i)(?<![a-z])(?:{FIELDS})(?![a-z])"), 2).otherwise(0)
+    sign = F.when(line.rlike("[\"']$"), 1).when(line.rlike("[=:>] *$"), 2).when(line.rlike(r"^\s*$"), 3).otherwise(0)
+    return [x.alias(f"f{k}") for k, x in enumerate((c["kind"], length, share, case, plain, variety, turns, letters, tagged, word, sign))]
 
 
 @dataclass
 class Labelers:
-    """prior of yes, and P(vote | no), P(vote | yes) by labeler and vote."""
+    """prior of yes, and by labeler P(vote | no, it votes) and P(vote | yes, it votes); a labeler that says nothing tells nothing."""
 
     prior: float
     says: list[tuple[dict[int, float], dict[int, float]]]
@@ -133,12 +164,16 @@ class Labelers:
     def posterior(self, vote: tuple[int, ...]) -> float:
         yes, no = self.prior, 1 - self.prior
         for (if_no, if_yes), v in zip(self.says, vote):
-            yes, no = yes * if_yes[v], no * if_no[v]
+            if v:
+                yes, no = yes * if_yes[v], no * if_no[v]
         return yes / (yes + no)
 
 
 def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> Labelers:
-    """Expectation-maximisation over counts of vote patterns, begun from the votes' majority."""
+    """Expectation-maximisation over counts of vote patterns, begun from the votes' majority.
+
+    Each labeler is thought to have been right `TRUST` times before, so that few candidates can't turn its votes round.
+    """
     soft = {p: 1 / (1 + math.exp(-sum(p))) for p in patterns}
     total = sum(patterns.values())
     model = Labelers(0.5, [])
@@ -146,30 +181,30 @@ def estimate(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> Labelers
         yes = sum(n * soft[p] for p, n in patterns.items())
         says = []
         for k in range(3):
-            by = [{v: 0.5 for v in (-1, 0, 1)} for _ in range(2)]
+            by = [{v: 1 + TRUST * (v == right) for v in (-1, 1)} for right in (-1, 1)]
             for p, n in patterns.items():
-                by[1][p[k]] += n * soft[p]
-                by[0][p[k]] += n * (1 - soft[p])
+                if p[k]:
+                    by[1][p[k]] += n * soft[p]
+                    by[0][p[k]] += n * (1 - soft[p])
             says.append(tuple({v: x / sum(b.values()) for v, x in b.items()} for b in by))
         model = Labelers((yes + 1) / (total + 2), says)
         soft = {p: model.posterior(p) for p in patterns}
     return model
 
 
-def train_classifier(rows: list[tuple[tuple[int, ...], float, int]], rounds: int = 300) -> dict[tuple[int, int], float]:
+def train_classifier(rows: list[tuple[tuple[int, ...], float, int]], rounds: int = 2000) -> dict[tuple[int, int], float]:
     """Logistic weights by (feature, value), and (-1, 0) for the constant, from (features, label in 0 to 1, count)."""
-    weights = {(-1, 0): 0.0} | {(k, v): 0.0 for f, _, _ in rows for k, v in enumerate(f)}
-    total = sum(n for *_, n in rows)
+    names = [(-1, 0), *sorted({(k, v) for f, _, _ in rows for k, v in enumerate(f)})]
+    place = {name: i for i, name in enumerate(names)}
+    active = np.array([[0, *[place[w] for w in enumerate(f)]] for f, _, _ in rows])
+    label, share = np.array([y for _, y, _ in rows]), np.array([n for *_, n in rows], dtype=float)
+    share /= share.sum()
+    weights = np.zeros(len(names))
     for _ in range(rounds):
-        slope = {w: 1e-3 * x for w, x in weights.items()}
-        for f, y, n in rows:
-            keys = [(-1, 0), *enumerate(f)]
-            z = sum(weights[w] for w in keys)
-            g = (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - y) * n / total
-            for w in keys:
-                slope[w] += g
-        weights = {w: x - 1.0 * slope[w] for w, x in weights.items()}
-    return weights
+        off = (1 / (1 + np.exp(-np.clip(weights[active].sum(axis=1), -30, 30))) - label) * share
+        slope = np.bincount(active.ravel(), np.repeat(off, active.shape[1]), len(names))
+        weights -= 2 / active.shape[1] * (slope + 1e-4 * weights)
+    return dict(zip(names, weights.tolist()))
 
 
 def learn(found: DataFrame) -> tuple[Labelers | None, dict[tuple[int, int], float]]:
@@ -179,7 +214,7 @@ def learn(found: DataFrame) -> tuple[Labelers | None, dict[tuple[int, int], floa
     counts = described.groupBy(*described.columns).count().collect()  # one row for each combination of a few values
     if not counts:
         return None, {(-1, 0): -1.0}
-    rows = [((r.v0, r.v1, r.v2), tuple(r[f"f{k}"] for k in range(8)), r["count"]) for r in sorted(counts)]
+    rows = [(tuple(r[:3]), tuple(r[3:-1]), r[-1]) for r in sorted(counts)]
     patterns: dict[tuple[int, ...], int] = {}
     for v, _, n in rows:
         patterns[v] = patterns.get(v, 0) + n

@@ -70,6 +70,39 @@ def test_added_spans(spark):
     assert re.fullmatch("[0-9a-f]{40}", yes[0][int(s) : int(e)])
 
 
+def account(rng):
+    land, rest = rng.choice(["NL", "ES", "IT"]), "".join(rng.choice("0123456789") for _ in range(18))
+    return f"{land}{98 - int(''.join(str(int(x, 36)) for x in rest + land + '00')) % 97:02d}{rest}"
+
+
+def test_sound_account_numbers(spark):
+    rng = random.Random(5)
+    right = [account(rng) for _ in range(50)]
+    wrong = [x[:-1] + str((int(x[-1]) + 1) % 10) for x in right]
+    got = spark.createDataFrame([(x,) for x in right + wrong], "m string").select("m", pii.sound(F.col("m")).alias("ok")).collect()
+    assert {r.m for r in got if r.ok} == set(right)
+
+
+def test_planted_keys_and_numbers_are_found(spark):
+    """Recall and precision over kinds of candidates of which one labeler or two, but not all, can tell."""
+    rng = random.Random(77)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    hexa, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    word = lambda: rng.choice("stone water under seven lamps while green paper".split())
+    keys = [lambda: some(hexa, 40), lambda: "q7" + some(mixed, 34), lambda: "xoxb-4" + some(mixed, 24), lambda: "gho_1k" + some(mixed, 30)]
+    number = lambda: f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}"
+    slug = lambda: "-".join(word() for _ in range(5)) + f"-{rng.randint(1, 99)}"
+    yes, no = [], []
+    for _ in range(40):
+        yes += [f"{word()} {rng.choice(['auth', 'password', 'secret'])} = '{rng.choice(keys)()}' {word()}" for _ in range(2)]
+        yes += [f"{word()} the {rng.choice(['credential', 'token'])} is {rng.choice(keys)()} {word()}", f"{word()} {rng.choice(keys[2:])()} {word()}"]
+        yes += [f"{word()} social: {number()}", f"{word()} tax no {number()} {word()}", f"{word()} {account(rng)} {word()}"]
+        no += [f"{word()} revision {some(hexa, 40)} {word()}", f"sha256: {some(hexa, 64)} {word()}", f"{word()} {slug()} {word()}", f"see = {slug()}", f"order {number()} {word()}"]
+    got = {r.doc_id: r.n_secret + r.n_id for r in pii.find(docs(spark, *yes, *no)).collect()}
+    assert sum(got[k] == 1 for k in range(len(yes))) >= 0.95 * len(yes)
+    assert sum(got[len(yes) + k] > 0 for k in range(len(no))) <= 0.02 * len(no)
+
+
 def test_expectation_maximisation_finds_the_bad_labeler():
     rng = random.Random(3)
     counts = Counter()
