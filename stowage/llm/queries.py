@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html, lines, media, packing, pii, quality, simhash, toxicity, urls
+from . import decontamination, html, lines, media, ngram_join, packing, periodic, pii, quality, simhash, spelling, toxicity, urls
 from .common import table
 
 #: Where the tokenizer's file is on every node; a parameter of packing.pack().
@@ -63,6 +63,44 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), listed)
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def misspelt(words: DataFrame) -> DataFrame:
+    """words(doc_id, word) with one code point less in about one of 31, by a checksum of both."""
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "word"))
+    rows = words.withColumn("h", h).withColumn("at", F.expr("cast(h % length(word) as int)"))
+    return rows.select("doc_id", F.expr("if(h % 31 = 0, concat(substring(word, 1, at), substring(word, at + 2)), word)").alias("word"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.words_of(table(spark, sf_dir, "documents")).where(F.length("word") >= spelling.LETTERS)
+    return spelling.variants(spelling.vocabulary(misspelt(words)))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of docs(doc_id, text), about one in ten with a passage that repeats up to the text's end, by a checksum of doc_id."""
+    words = F.filter(F.split("text", "[ \\x09-\\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10"))
+    rows = rows.withColumn("a", F.expr("cast(if(n > 0, g % n, 0) as int)"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr("concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a))")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic.find(looped(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("less"), (-r["period"]).alias("least"))))
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    rows = rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.less")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.least")).alias("period"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return rows.withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_quality_resampling,
         op10_url_filter,
+        op11_ngram_join,
+        op12_spelling_variants,
+        op13_periodic_runs,
     )
 }
 
