@@ -89,11 +89,13 @@ def test_repeated_and_no_words(spark):
 
 def test_trie_reaches_all_pairs_within_the_budget():
     rng = np.random.default_rng(3)
-    for leaf in (1, 4, 1000):
-        q, w = rng.integers(0, 3, (60, 6)).astype(np.int32), rng.integers(0, 3, (80, 6)).astype(np.int32)
-        got = {(int(i), int(j)) for a, b in spelling.reached(q, w, leaf) for i, j in zip(a, b)}
-        d = w[None] - q[:, None]
-        assert got == set(zip(*map(np.ndarray.tolist, np.nonzero((np.maximum(d, 0).sum(2) <= 1) & (np.maximum(-d, 0).sum(2) <= 1)))))
+    for leaf, block in ((1, 7), (4, 1000), (1000, 1 << 18)):
+        q, w = (rng.integers(0, 3, (size, 6)).astype(np.int32) for size in (60, 80))
+        q[:, 0], w[:, 0] = q[:, 1:].sum(1), w[:, 1:].sum(1)
+        got = [(int(i), int(j)) for a, b in spelling.Trie(w).reached(q, leaf, block) for i, j in zip(a, b)]
+        d = (w[None] - q[:, None])[:, :, 1:]
+        want = set(zip(*map(np.ndarray.tolist, np.nonzero((np.maximum(d, 0).sum(2) <= 1) & (np.maximum(-d, 0).sum(2) <= 1)))))
+        assert set(got) == want and len(got) == len(want)
 
 
 def test_words_of_texts(spark):
