@@ -229,6 +229,7 @@ def near_words(words: DataFrame, tile: int = TILE) -> DataFrame:
     keyed = words.select("word", "n", F.array(F.length("word"), *[count(g) for g in GROUPS[:levels]]).alias("key"))
     size = keyed.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("chunks"))
     dealt = keyed.join(size, "key").withColumn("chunk", F.expr("cast(pmod(xxhash64(word), chunks) as int)"))
+    dealt = dealt.repartition("key", "chunk")  # else all tiles of a large subtrie stay in one task
     tiles = materialise(dealt.groupBy("key", "chunk").agg(F.collect_list(F.struct("word", "n")).alias("a"), F.first("chunks").alias("chunks")))
     alone = tiles.select("a", F.lit(None).cast(tiles.schema["a"].dataType).alias("b"))
     step = F.explode(F.array(*[F.array(*map(F.lit, d)) for d in steps(levels)])).alias("step")
