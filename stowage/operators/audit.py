@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowage.functions.hashes import comma_count, human_bytes
 
 from .narinfo import narinfo_only
+from .running import running_sums
 
 MD5 = "^[0-9a-fA-F]{32}$"
 
@@ -35,9 +36,11 @@ def fetch_worklist(inventory: DataFrame, raw: DataFrame, done: DataFrame, force:
 def verify_objects(inventory: DataFrame, raw: DataFrame) -> DataFrame:
     """(file_id, key, size, e_tag, status) of narinfo rows: missing, unverifiable (the e-tag is no MD5), verified or bad_checksum.
 
-    Only checksums are shuffled, not bodies.
+    Only checksums are shuffled, not bodies. A key that is stored more than once is verified if all its bodies are, so each listed row gives one.
     """
-    sums = raw.select("key", F.md5("content").alias("md5"))
+    sums = raw.select("key", F.md5("content").alias("md5")).groupBy("key")
+    sums = sums.agg(F.min("md5").alias("least"), F.max("md5").alias("most"))
+    sums = sums.select("key", F.when(F.col("least") == F.col("most"), F.col("least")).otherwise("several").alias("md5"))
     rows = narinfo_only(inventory).select("file_id", "key", "size", "e_tag").join(sums, "key", "left")
     status = (
         F.when(F.col("md5").isNull(), "missing")
@@ -100,30 +103,78 @@ def stats_document(stats: DataFrame) -> DataFrame:
     return text.select(F.to_json(F.struct(objects.alias("objects"), narinfo.alias("narinfo")), {"pretty": "true"}).alias("document"))
 
 
+def with_deleted(stats: DataFrame, dropped: DataFrame) -> DataFrame:
+    """verify_stats() with `deleted`: how many keys of dropped(file_id, key) each file has, and all have in the total."""
+    gone = dropped.select("file_id", "key").distinct().rollup("file_id").agg(F.grouping("file_id").cast("int").alias("is_total"), F.count("*").alias("deleted"))
+    of = gone.select(F.col("file_id").alias("of_file"), F.col("is_total").alias("of_total"), "deleted")
+    rows = stats.join(of, stats["file_id"].eqNullSafe(of["of_file"]) & (stats["is_total"] == of["of_total"]), "left")
+    return rows.select(*stats.columns, F.coalesce("deleted", F.lit(0)).alias("deleted"))
+
+
+#: Keys of bodies that are broadcast at most when files are written again.
+BROADCAST_ROWS = 500_000
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def finish_swap(spark: SparkSession, raw_path: str) -> None:
+    """Carry out the moves that a swap of files has noted, as far as they are not done; nothing if none is noted."""
+    base = raw_path.rstrip("/")
+    note, files = _hadoop(spark, f"{base}-swap")
+    if not files.exists(_hadoop(spark, f"{base}-swap/_SUCCESS")[0]):
+        return
+    files.mkdirs(_hadoop(spark, f"{base}-replaced")[0])
+    for kind, into in (("old", f"{base}-replaced"), ("new", base)):
+        for r in spark.read.schema("kind string, file string").json(f"{base}-swap").where(F.col("kind") == kind).collect():
+            source, target = _hadoop(spark, r.file)[0], _hadoop(spark, f"{into}/{r.file.rsplit('/', 1)[1]}")[0]
+            if files.exists(source) and not files.rename(source, target):
+                raise OSError(f"could not move {source} to {target}")
+    files.delete(_hadoop(spark, f"{base}-new")[0], True)
+    files.delete(note, True)
+
+
 def rewrite_valid(raw_path: str, verified: DataFrame) -> int:
-    """Write the stored bodies at `raw_path` again without those whose checksum differs, then put the new table in the old one's place.
+    """Take the bodies whose checksum differs out of the table of bodies at `raw_path`; returns how many.
 
-    The old table stays beside it as <path>-replaced. Returns the number of bodies dropped.
+    Only files that hold such bodies are written again, found by key and file name; the others stay as they are. The old files go to
+    <path>-replaced. The moves are noted in <path>-swap before the first is made, so that a run that ended among them is finished by the next
+    one, or by finish_swap(). Bodies are not shuffled: each group of files is read with a broadcast list of at most `BROADCAST_ROWS`
+    keys, or with those of one file.
     """
-    spark = verified.sparkSession
-    raw = spark.read.parquet(raw_path)
-    new = f"{raw_path.rstrip('/')}-new"
-    before = raw.count()
-    drop_invalid(raw, verified).write.mode("overwrite").parquet(new)
-    after = spark.read.parquet(new).count()
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
-    for source, target in ((raw_path.rstrip("/"), f"{raw_path.rstrip('/')}-replaced"), (new, raw_path.rstrip("/"))):
-        if not files.rename(path(source), path(target)):
-            raise OSError(f"could not move {source} to {target}")
-    return before - after
+    spark, base = verified.sparkSession, raw_path.rstrip("/")
+    finish_swap(spark, base)
+    bad = verified.where("status = 'bad_checksum'").select("key").distinct()
+    where = spark.read.parquet(base).select("key", F.col("_metadata.file_path").alias("file"))
+    found = f"{base}-found"
+    where.join(bad, "key", "left_semi").write.mode("overwrite").parquet(found)
+    hits = spark.read.schema("key string, file string").parquet(found)
+    names = hits.groupBy("file").agg(F.count("*").alias("n")).orderBy("file").collect()  # a row for each file to be written again
+    groups: list[tuple[list[str], int]] = []
+    for r in names:
+        if not groups or groups[-1][1] + r.n > BROADCAST_ROWS:
+            groups.append(([], 0))
+        groups[-1] = ([*groups[-1][0], r.file], groups[-1][1] + r.n)
+    _, files = _hadoop(spark, base)
+    files.delete(_hadoop(spark, f"{base}-new")[0], True)
+    for some, _ in groups:
+        gone = hits.where(F.col("file").isin(some)).select("key").distinct()
+        spark.read.parquet(*some).join(F.broadcast(gone), "key", "left_anti").write.mode("append").parquet(f"{base}-new")
+    if names:
+        new = [str(f.getPath().toString()) for f in files.listStatus(_hadoop(spark, f"{base}-new")[0]) if f.getPath().getName().startswith("part-")]
+        noted = [("old", r.file) for r in names] + [("new", f) for f in new]
+        spark.createDataFrame(noted, "kind string, file string").coalesce(1).write.mode("overwrite").json(f"{base}-swap")
+        finish_swap(spark, base)
+    files.delete(_hadoop(spark, found)[0], True)
+    return sum(r.n for r in names)
 
 
 def running_totals(per_file: DataFrame) -> DataFrame:
-    """Per-file counts with running sums in file order. Files are few: one row each."""
-    order = Window.orderBy("file_id").rowsBetween(Window.unboundedPreceding, 0)
+    """Per-file counts with running sums in file order."""
     names = ["objects_count", "objects_size", "narinfo_count", "verified", "missing", "bad_checksum"]
-    return per_file.where("is_total = 0").select("file_id", *[F.sum(c).over(order).cast("bigint").alias(f"{c}_so_far") for c in names])
+    return running_sums(per_file.where("is_total = 0").select("file_id", *names), "file_id", names).drop(*names)
 
 
 def shard_counts(df: DataFrame, width: int = 3) -> DataFrame:

@@ -114,9 +114,14 @@ def compatible_stats(stats: DataFrame) -> DataFrame:
     )
 
 
-def stats_document(stats: DataFrame) -> DataFrame:
-    """(document): compatible statistics as indented JSON."""
+def stats_document(stats: DataFrame, compatible: bool = False) -> DataFrame:
+    """(document): statistics as indented JSON: what was removed and what failed, or, if `compatible`, the older tool's numbers."""
     s = compatible_stats(stats)
+    if not compatible:
+        s = stats.select(
+            "dry_run", F.col("targets").alias("targets_narinfos"), F.col("removed_nars"), F.col("removed_narinfos"), (F.col("errors_nars") + F.col("errors_narinfos")).alias("removed_errors"),
+            F.col("not_found_nars").alias("missing_nars"), F.col("not_found_narinfos").alias("missing_narinfos"),
+        )
     tree = F.struct(
         "dry_run",
         F.struct(F.col("targets_narinfos").alias("nar_infos")).alias("targets"),
@@ -147,9 +152,15 @@ def assert_clean(stats: DataFrame) -> None:
         raise MissingTargets("missing store paths during GC")
 
 
-def collect_garbage(targets: DataFrame, path: str, listing: DataFrame | None = None, deleter: Deleter | None = None, legacy_suffix: bool = False) -> DataFrame:
+#: The error of a key of which a dry run knows nothing.
+NOT_LISTED = "its prefix could not be listed"
+
+
+def collect_garbage(targets: DataFrame, path: str, listing: DataFrame | None = None, deleter: Deleter | None = None, legacy_suffix: bool = False, unlisted: tuple[str, ...] = ()) -> DataFrame:
     """Run a collection and return its statistics: a dry run against `listing`, or a deletion by `deleter`.
 
+    In a dry run, keys under the prefixes `unlisted` that are not in the listing are neither present nor absent: their row has an error.
+
     The outcome rows are written to `path` (zstd Parquet, one row for each key) before anything reads them, so that keys are
     deleted once; statistics come from the written rows. Reports of the store on keys that were not asked for raise UnknownOutcomes
     after the rows are written.
@@ -158,8 +169,9 @@ def collect_garbage(targets: DataFrame, path: str, listing: DataFrame | None = N
         raise ValueError("give either a listing, for a dry run, or a deleter")
     keys = dedup_keys(expand_targets(targets, legacy_suffix))
     if deleter is None:
-        outcomes = dry_run(keys, listing)
-        records = outcomes.select("key", "class", "store_path", (F.col("status") == "not_found").alias("not_found"), F.lit("").alias("error"))
+        outcomes = dry_run(keys, listing, unlisted)
+        error = F.when(F.col("status") == "unknown", NOT_LISTED).otherwise("")
+        records = outcomes.select("key", "class", "store_path", (F.col("status") == "not_found").alias("not_found"), error.alias("error"))
     else:
         spark = targets.sparkSession
         names = f"{path.rstrip('/')}-keys"

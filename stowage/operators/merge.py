@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .narinfo import parse_narinfos
@@ -41,7 +41,16 @@ def export_narinfos(records: DataFrame, path: str, block_size: int = 512 << 20)
 
 
 def export_raw(raw: DataFrame, path: str) -> DataFrame:
-    """Parse raw(key, content), export the records and return one row of statistics: processed, exported, failed."""
-    parsed = parse_narinfos(raw)
-    export_narinfos(parsed.records, path)
-    return parsed.stats()
+    """Parse raw(key, content), export the records and return one row of statistics: processed, exported, failed.
+
+    Bodies are read and parsed once: the counts are observed while the parsed records are stored, which are sorted from there.
+    """
+    spark, seen = raw.sparkSession, Observation()
+    parsed = parse_narinfos(raw, seen)
+    staged = f"{path.rstrip('/')}-staged"
+    parsed.records.write.mode("overwrite").parquet(staged)
+    exported = export_narinfos(spark.read.schema(parsed.records.schema).parquet(staged), path)
+    processed, sound = seen.get["processed"], seen.get["exported"]
+    if sound != exported:  # a stage that ran again may be observed twice
+        return parse_narinfos(raw).stats()
+    return spark.createDataFrame([(processed, exported, processed - exported)], "processed long, exported long, failed long")

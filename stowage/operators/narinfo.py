@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stowage.functions.hashes import VALID, decode_sql, decode_valid_sql
@@ -106,8 +106,8 @@ class Parsed:
         )
 
 
-def parse_narinfos(raw: DataFrame) -> Parsed:
-    """Records, rejects and counts of raw(key, content); other columns are ignored.
+def parse_narinfos(raw: DataFrame, seen: Observation | None = None) -> Parsed:
+    """Records, rejects and counts of raw(key, content); other columns are ignored. `seen` observes processed and exported as records are used.
 
     records: key, the record's columns, dq_missing_store_path and dq_invalid_utf8. A missing StorePath is no error: the hash is zero and
     pname empty. Names keep their bytes where these are no UTF-8, and the flag says so. Of repeated scalar fields the last counts, but each must be sound. References and signatures add up in order.
@@ -117,7 +117,9 @@ def parse_narinfos(raw: DataFrame) -> Parsed:
     rules = F.array(*[F.when(F.expr(sql), name) for name, sql in RULES.items()])
     flagged = flagged.withColumn("rules", F.filter(rules, lambda r: r.isNotNull()))
     rejects = flagged.select("key", F.explode("rules").alias("rule"))
-    good = flagged.where(~F.expr(" or ".join(f"({sql})" for sql in RULES.values()))).select("key", "t")
+    sound = F.size("rules") == 0
+    some = flagged if seen is None else flagged.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(sound).alias("exported"))
+    good = some.where(sound if seen is not None else ~F.expr(" or ".join(f"({sql})" for sql in RULES.values()))).select("key", "t")
 
     # Values first, then what is decoded from them, so that no value is worked out for each of its uses. An
     # "unknown-deriver" line changes nothing, so an earlier deriver stays.

@@ -50,17 +50,27 @@ def retention_keys(plan: DataFrame, reports: str, data: str) -> DataFrame:
 def apply_retention(plan: DataFrame, reports: str, data: str, deleter: Deleter, path: str) -> DataFrame:
     """Delete what a plan says and write (key, class, name, not_found, error) to `path`; returns counts by class of what was removed, absent and failed.
 
-    Files go before manifests, so that a run which ends early can be repeated from the manifests that are left.
+    Files go before manifests, and a manifest of which a file could not be deleted is left alone, with an error that says so: what is left can be
+    found, and deleted by a later run, by the manifests that are left.
     """
-    spark = plan.sparkSession
-    keys = retention_keys(plan, reports, data)
-    keys.write.mode("overwrite").parquet(f"{path.rstrip('/')}-keys")
-    keys = spark.read.parquet(f"{path.rstrip('/')}-keys")
-    for kind in ("file", "manifest"):
-        some = keys.where(F.col("class") == kind)
-        codes = f"{path.rstrip('/')}-codes-{kind}"
+    spark, base = plan.sparkSession, path.rstrip("/")
+    plan.write.mode("overwrite").parquet(f"{base}-plan")
+    plan = spark.read.schema(plan.schema).parquet(f"{base}-plan")
+    retention_keys(plan, reports, data).write.mode("overwrite").parquet(f"{base}-keys")
+    keys = spark.read.parquet(f"{base}-keys")
+
+    def carried_out(some: DataFrame, kind: str) -> DataFrame:
+        codes = f"{base}-codes-{kind}"
         delete_keys(some, deleter).write.mode("overwrite").parquet(codes)
-        rows = merge_outcomes(some, spark.read.parquet(codes)).withColumnRenamed("store_path", "name")
-        rows.write.mode("overwrite" if kind == "file" else "append").parquet(path)
+        return merge_outcomes(some, spark.read.parquet(codes)).withColumnRenamed("store_path", "name")
+
+    carried_out(keys.where("class = 'file'"), "file").write.mode("overwrite").parquet(path)
+    failed = spark.read.parquet(path).where("error != ''").select(F.col("name").alias("file_id"))
+    held = plan.where("delete_file").join(failed, "file_id", "left_semi").select(F.col("report_id").alias("store_path")).distinct()
+    held.write.mode("overwrite").parquet(f"{base}-held")
+    held, manifests = spark.read.parquet(f"{base}-held"), keys.where("class = 'manifest'")
+    carried_out(manifests.join(held, "store_path", "left_anti"), "manifest").write.mode("append").parquet(path)
+    left = manifests.join(held, "store_path", "left_semi").select("key", "class", F.col("store_path").alias("name"), F.lit(False).alias("not_found"), F.lit("a file of it could not be deleted").alias("error"))
+    left.write.mode("append").parquet(path)
     failed, gone = F.col("error") != "", F.col("not_found")
     return spark.read.parquet(path).groupBy("class").agg(F.count_if(~failed & ~gone).alias("removed"), F.count_if(gone).alias("not_found"), F.count_if(failed).alias("errors"))

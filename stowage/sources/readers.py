@@ -59,6 +59,15 @@ def read_gc_targets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.NARINFO).parquet(path)
 
 
+def target_violations(targets: DataFrame) -> DataFrame:
+    """(hash, rule): targets whose hashes are no 20 and 32 bytes, which a table's schema cannot say."""
+    rules = F.array(
+        F.when(F.coalesce(F.octet_length("hash"), F.lit(0)) != 20, "hash_length"),
+        F.when(F.coalesce(F.octet_length("file_hash"), F.lit(0)) != 32, "file_hash_length"),
+    )
+    return targets.select("hash", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
+
+
 def list_objects(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """(key, size, last_modified) of the objects below a folder, or directly in it; contents are not read."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

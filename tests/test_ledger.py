@@ -1,0 +1,105 @@
+"""Deletion runs that end at any time and are taken up again."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from stowage.operators import gc, ledger
+
+
+@pytest.fixture
+def targets(spark):
+    k = F.col("id").cast("string")
+    return spark.range(60).select(F.unhex(F.sha1(k)).alias("hash"), F.concat(F.lit("p-"), k).alias("pname"), F.lit("none").alias("compression"), F.unhex(F.sha2(k, 256)).alias("file_hash"))
+
+
+def folder_deleter(folder, fail_after=None, denied=()):
+    """Deletes files; each call leaves a mark; after so many deletions the process of the run dies."""
+
+    def delete(keys):
+        out = {}
+        for key in keys:
+            if fail_after is not None and len(os.listdir(f"{folder}/deleted")) >= fail_after:
+                raise RuntimeError("killed")
+            path = f"{folder}/store/{key.replace('/', '_')}"
+            with open(f"{folder}/asked/{key.replace('/', '_')}", "a") as f:
+                f.write("x")
+            if key in denied:
+                out[key] = ("AccessDenied", "no")
+            elif os.path.exists(path):
+                os.rename(path, f"{folder}/deleted/{key.replace('/', '_')}")
+            else:
+                out[key] = "NoSuchKey"
+        return out
+
+    return delete
+
+
+def filled(spark, folder, keys):
+    for name in ("store", "asked", "deleted"):
+        (folder / name).mkdir()
+    for k in keys:
+        (folder / "store" / k.replace("/", "_")).touch()
+
+
+def counts(spark, path):
+    return {r.status: r.n for r in ledger.records(spark, path).groupBy("status").agg(F.count("*").alias("n")).collect()}
+
+
+def test_killed_run_is_resumed(spark, targets, tmp_path):
+    path, folder = str(tmp_path / "run"), tmp_path
+    keys = sorted(r.key for r in ledger.plan(targets, path, keys_a_batch=25).collect())
+    assert len(keys) == 120
+    absent, present = keys[:10], keys[10:]
+    filled(spark, folder, present)
+    assert ledger.plan(targets.limit(1), path).count() == 120  # a written plan stays
+    with pytest.raises(Exception, match="killed"):
+        ledger.attempt(spark, path, folder_deleter(str(folder), fail_after=40), "a1")
+    gone = len(os.listdir(folder / "deleted"))
+    before = counts(spark, path)
+    assert 40 <= gone < 110 and before["pending"] > 0 and before["unknown"] > 0 and sum(before.values()) == 120
+    asked_before = {p: (folder / "asked" / p).stat().st_size for p in os.listdir(folder / "asked")}
+    settled = {r.key for r in ledger.records(spark, path).where("status in ('removed', 'not_found')").collect()}
+    assert ledger.attempt(spark, path, folder_deleter(str(folder)), "a2") == 0
+    after = {r.key: r.status for r in ledger.records(spark, path).collect()}
+    assert len(os.listdir(folder / "deleted")) == 110 and not os.listdir(folder / "store")
+    for k in settled:  # what had an outcome is not asked for again
+        assert (folder / "asked" / k.replace("/", "_")).stat().st_size == asked_before[k.replace("/", "_")]
+    assert {k for k, s in after.items() if s == "not_found"} <= set(absent)
+    assert {k for k, s in after.items() if s == "gone"} & set(present), "keys deleted before the kill are gone by us"
+    assert all(s in ("removed", "gone") for k, s in after.items() if k in present)
+    with pytest.raises(ValueError, match="there has been"):
+        ledger.attempt(spark, path, folder_deleter(str(folder)), "a2")
+
+
+def test_failures_are_asked_for_again_and_batches_can_wait(spark, targets, tmp_path):
+    path = str(tmp_path / "run")
+    keys = sorted(r.key for r in ledger.plan(targets, path, keys_a_batch=40).collect())
+    filled(spark, tmp_path, keys)
+    assert ledger.attempt(spark, path, folder_deleter(str(tmp_path), denied=tuple(keys)), "a1", max_batches=1) == 2
+    first = counts(spark, path)
+    assert set(first) == {"failed", "pending"} and sum(first.values()) == 120
+    assert {r.error for r in ledger.records(spark, path).where("status = 'failed'").collect()} == {"s3 error: code = AccessDenied, message = no"}
+    assert ledger.attempt(spark, path, folder_deleter(str(tmp_path)), "a2", tasks=3) == 0
+    assert counts(spark, path) == {"removed": 120}
+    told = {r["class"]: r for r in ledger.stats(ledger.records(spark, path)).collect()}
+    assert (told["nar"].attempted, told["nar"].removed, told["narinfo"].removed, told["nar"].pending) == (60, 60, 60, 0)
+    assert ledger.attempt(spark, path, folder_deleter(str(tmp_path)), "a3") == 0
+
+
+def test_strange_reports(spark, targets, tmp_path):
+    path = str(tmp_path / "run")
+    ledger.plan(targets.limit(2), path)
+    with pytest.raises(gc.UnknownOutcomes, match="stray"):
+        ledger.attempt(spark, path, lambda keys: {"stray": "X"}, "a1")
+    assert counts(spark, path) == {"removed": 4}
+
+
+def test_no_targets(spark, targets, tmp_path):
+    path = str(tmp_path / "run")
+    ledger.plan(targets.limit(0), path)
+    assert ledger.attempt(spark, path, lambda keys: {}, "a1") == 0
+    assert ledger.records(spark, path).count() == 0
