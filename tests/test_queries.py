@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from stowage.plans import catalogue
+from stowage.plans import catalogue, written  # noqa: F401  the second adds to the first
 
 
 @pytest.fixture(scope="module")
