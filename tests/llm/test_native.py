@@ -45,6 +45,22 @@ PII_TEXTS = [
 ]
 
 
+def test_many_matches_in_one_text_take_linear_time(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"{4111111111111111 if k % 3 else k} 10.0.{k % 300}.1 u{k}@b.cd" for k in range(n))
+        t = time.perf_counter()
+        (r,) = pii.spans(docs(spark, text)).select("base").collect()
+        took = time.perf_counter() - t
+        want = [(s, e, list(BASE).index(kind)) for s, _, e, kind in base_spans(text)]
+        assert [(x.start, x.end, x.kind) for x in r.base] == want
+        return took
+
+    seconds(100)
+    assert seconds(16_000) < 3 * max(1.0, seconds(8_000))
+
+
 def test_base_spans(spark):
     rng = random.Random(1)
     noise = ["".join(rng.choice("ab@.+-019 ()é%😀\n") for _ in range(300)) for _ in range(60)]
