@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowage.functions import hashes
 from stowage.operators import audit, gc, ledger, merge, retention
+from stowage.operators import narinfo as nar
 from stowage.operators.running import running_sums
 from stowage.plans import derived
 from stowage.plans.catalogue import _GOOD, _KEEP, _PLAN, _ROLLUP, _query
@@ -118,6 +121,46 @@ def report_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.with_millis(rows).drop("last_modified_date")
 
 
+@_query(
+    f"WITH {derived.SQL_MANIFESTS} SELECT DISTINCT 'data/' || file_id AS key, 'data' AS kind FROM inventory"
+    " UNION ALL SELECT DISTINCT report_id || '/manifest.json', 'manifest' FROM listed"
+)
+def report_store_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a store of reports holds, listed by tasks."""
+    root = _stored_report(spark, sf_dir)
+    rows = readers.list_by_shards(spark, root).where("size > 0 and key not like 'parts/%' and not key rlike '(^|/)[._][^/]*$'")
+    return rows.select("key", F.when(F.startswith("key", F.lit("data/")), "data").otherwise("manifest").alias("kind"))
+
+
+@_query(f"""WITH {derived.SQL_INVENTORY} SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS breaks, true AS follows, min(key) AS first, max(key) AS last FROM inventory""")
+def merged_files_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a sorted merge, proven to be in order by one scan."""
+    path = f"{scratch(spark)}/merged"
+    merge.merge_inventory(derived.inventory(spark, sf_dir), path, rows_a_file=400)
+    files = merge.order_breaks(spark, path)
+    return files.agg(F.sum("rows").alias("rows"), F.sum("breaks").alias("breaks"), F.every("follows").alias("follows"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+@_query(f"WITH {derived.SQL_LOCATED} SELECT hash, pname, file_size FROM located WHERE {_GOOD} AND p_partkey % 29 <> 0 AND hash IN (SELECT sha1(CAST(k AS VARCHAR)) FROM (SELECT unnest([1, 2, 50, 77, 190]) AS k))")
+def narinfo_look_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few hashes looked up in an export with Bloom filters."""
+    path = f"{scratch(spark)}/table"
+    merge.export_narinfos(nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).records, path, look_up=100_000)
+    hashed = [hashlib.sha1(str(k).encode()).digest() for k in (1, 2, 50, 77, 190)]
+    return merge.look_up(spark, path, hashed).select(F.lower(F.hex("hash")).alias("hash"), "pname", F.col("file_size").cast("bigint").alias("file_size"))
+
+
+@_query(f"WITH {derived.SQL_GC} SELECT CAST(count(DISTINCT substr(store_path, 12, 32)) AS BIGINT) AS store_paths, true AS close FROM keys")
+def gc_store_paths_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct store paths of three runs that share keys, exact and by their merged sketches, which must be within 6 %."""
+    keys = gc.dedup_keys(gc.expand_targets(derived.gc_targets(spark, sf_dir)))
+    runs = [keys.where("class = 'nar'"), keys.where("class = 'narinfo' and key < 'm'"), keys.where("key >= 'k'")]
+    sketches = gc.store_path_sketch(runs[0]).union(gc.store_path_sketch(runs[1])).union(gc.store_path_sketch(runs[2]))
+    exact = keys.agg(F.count_distinct(F.substring("store_path", 12, 32)).alias("store_paths"))
+    close = F.abs(F.col("store_paths") - F.col("estimate")) <= 0.06 * F.col("store_paths")
+    return exact.join(gc.store_paths_of_all(sketches).withColumnRenamed("store_paths", "estimate")).select("store_paths", close.alias("close"))  # a row each
+
+
 @_query(f"WITH {derived.SQL_INVENTORY} SELECT key, size, CAST(sum(size) OVER (ORDER BY key ROWS UNBOUNDED PRECEDING) AS BIGINT) AS size_so_far FROM inventory")
 def inventory_running_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes up to and with each object, in key order."""

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stowage.session import scratch
+
 from . import schemas
 
 
@@ -77,6 +83,58 @@ def list_objects(spark: SparkSession, path: str, recursive: bool = True) -> Data
     return rows if recursive else rows.where(~F.contains("key", F.lit("/")))
 
 
+#: Lists what is directly in a folder, or all below it: (path, size, last modified in microseconds, whether it is a folder).
+Lister = Callable[[str, bool], Iterable[tuple[str, int, int, bool]]]
+
+
+def list_folder(path: str, recursive: bool) -> Iterator[tuple[str, int, int, bool]]:
+    """The lister for all stores that Arrow's file systems know by URI, and for local paths."""
+    from pyarrow import fs
+
+    files, base = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    head = path[: len(path.rstrip("/")) - len(base.rstrip("/"))]
+    for info in files.get_file_info(fs.FileSelector(base, recursive=recursive, allow_not_found=True)):
+        yield head + info.path, info.size or 0, (info.mtime_ns or 0) // 1000, info.type == fs.FileType.Directory
+
+
+LISTED = "path string, size bigint, modified bigint, folder boolean"
+LISTED_ROWS = 10_000
+
+
+def list_by_shards(spark: SparkSession, path: str, lister: Lister = list_folder, levels: int = 2, tasks: int | None = None) -> DataFrame:
+    """(key, size, last_modified) of all objects below a folder, listed by tasks: the first levels folder by folder, then each folder there as a whole.
+
+    The driver lists nothing and holds no names: each level's folders are stored and dealt to tasks. Keys are relative to the folder. A folder
+    that is not there has no objects.
+    """
+    root, many = path.rstrip("/"), tasks or spark.sparkContext.defaultParallelism
+
+    def listed(folders: DataFrame, recursive: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for folder in b.column("path").to_pylist():
+                    rows = iter(lister(folder, recursive))
+                    while some := list(islice(rows, LISTED_ROWS)):
+                        columns = zip(*some)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.bool_()))], names=["path", "size", "modified", "folder"])
+
+        return folders.select("path").mapInArrow(run, LISTED)
+
+    folders, found = spark.createDataFrame([(root,)], "path string"), []
+    for _ in range(levels):
+        where = scratch(spark)
+        listed(folders, False).write.parquet(where)
+        level = spark.read.schema(LISTED).parquet(where)
+        found.append(level)
+        folders = level.where("folder").repartition(many, "path")
+    rows = listed(folders, True)
+    for level in found:
+        rows = rows.union(level)
+    rows = rows.where("not folder")
+    key = F.substring(F.col("path"), F.lit(len(root) + 2), F.length("path"))
+    return rows.select(key.alias("key"), "size", F.timestamp_micros("modified").alias("last_modified"))
+
+
 def discover_reports(listing: DataFrame, prefix: str) -> DataFrame:
     """(report_id): the names with a T one level under the prefix of listing(key), sorted."""
     folder = _folder(prefix)

@@ -191,3 +191,58 @@ def test_export_reads_its_bodies_once(spark, tmp_path):
     assert (stats.processed, stats.exported, stats.failed) == (3, 2, 1)
     assert calls.value == 3
     assert [int(r.file_size) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [0, 5]
+
+
+def test_order_is_proven_without_a_sort(spark, tmp_path):
+    rows = spark.range(1000).select(F.format_string("%05d", "id").alias("key"), "id").repartition(7)
+    merge.merge_inventory(rows.withColumn("bucket", F.lit("b")), str(tmp_path / "m"), rows_a_file=90)
+    told = merge.order_breaks(spark, str(tmp_path / "m"))
+    assert "Sort [key" not in plans_of(told)
+    assert sum(r.rows for r in told.collect()) == 1000 and all(r.follows and not r.breaks for r in told.collect())
+    rows.orderBy(F.desc("key")).coalesce(1).write.parquet(str(tmp_path / "down"))
+    (r,) = merge.order_breaks(spark, str(tmp_path / "down")).collect()
+    assert (r.rows, r.breaks, r.first, r.last) == (1000, 999, "00999", "00000")
+    for k, ids in enumerate(((5, 6, 7), (1, 2, 3))):
+        spark.createDataFrame([(f"{i}",) for i in ids], "key string").coalesce(1).write.mode("append").parquet(str(tmp_path / "two"))
+    assert sorted(r.follows for r in merge.order_breaks(spark, str(tmp_path / "two")).collect()) in ([False, True], [True, True])
+
+
+def test_look_ups_skip_row_groups(spark, tmp_path):
+    k = F.col("id").cast("string")
+    rows = spark.range(20_000).select(k.alias("key"), F.unhex(F.sha1(k)).alias("hash"), "id", F.lit(False).alias("dq_missing_store_path"), F.lit(False).alias("dq_invalid_utf8"))
+
+    def scanned(path, n):
+        found = merge.look_up(spark, path, [hashlib.sha1(b"77").digest()])
+        assert [r.id for r in found.collect()] == [77]
+        plan = found._jdf.queryExecution().executedPlan()
+        scan = plan.collectLeaves().head()
+        return scan.metrics().apply("numOutputRows").value()
+
+    for look_up in (0, 5_000):
+        merge.export_narinfos(rows, str(tmp_path / f"t{look_up}"), look_up=look_up, rows_a_file=1000)
+    assert scanned(str(tmp_path / "t0"), 0) > 5 * scanned(str(tmp_path / "t5000"), 1)
+    with pytest.raises(ValueError):
+        merge.look_up(spark, str(tmp_path / "t0"), [])
+
+
+def test_sketches_of_runs_are_merged(spark):
+    from stowage.operators import gc
+
+    run = lambda a, b: spark.range(a, b).select(F.concat(F.lit("/nix/store/"), F.lpad(F.col("id").cast("string"), 32, "0"), F.lit("-x")).alias("store_path"))
+    sketches = gc.store_path_sketch(run(0, 40_000)).union(gc.store_path_sketch(run(20_000, 60_000))).union(gc.store_path_sketch(run(0, 0)))
+    assert abs(gc.store_paths_of_all(sketches).first().store_paths - 60_000) < 0.05 * 60_000
+
+
+def test_listing_by_shards(spark, tmp_path):
+    from stowage.sources import readers
+
+    for name in ("top", "a/one", "a/b/two", "a/b/c/d/three", "a/b/c/e/four", "x/y/z/five"):
+        p = tmp_path / "s" / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(name)
+    want = sorted((r.key, r.size) for r in readers.list_objects(spark, f"{tmp_path}/s").collect())
+    for levels in (0, 1, 2, 5):
+        for root in (f"{tmp_path}/s", f"file://{tmp_path}/s/"):
+            assert sorted((r.key, r.size) for r in readers.list_by_shards(spark, root, levels=levels, tasks=3).collect()) == want
+    assert readers.list_by_shards(spark, f"{tmp_path}/none").collect() == []
+    assert all(r.last_modified.year > 2000 for r in readers.list_by_shards(spark, f"{tmp_path}/s").collect())
