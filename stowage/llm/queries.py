@@ -188,5 +188,62 @@ WITH u AS (
 SELECT u.page_id, u.host, u.path, f.rule,
     coalesce(f.what, CASE WHEN h.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM u LEFT JOIN fit f ON u.page_id = f.page_id LEFT JOIN hit h ON u.page_id = h.page_id
+""",
+    "op11_ngram_join": f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM documents
+), placed AS (
+    SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM split
+), each AS (
+    SELECT DISTINCT doc_id, gram FROM (SELECT doc_id, w || ' ' || lead(w) OVER next || ' ' || lead(w, 2) OVER next AS gram FROM placed WINDOW next AS (PARTITION BY doc_id ORDER BY i)) WHERE gram IS NOT NULL
+    UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM split WHERE len(ws) BETWEEN 1 AND {ngram_join.WORDS - 1}
+), sets AS (
+    SELECT s.doc_id, count(e.gram) AS n FROM split s LEFT JOIN each e ON s.doc_id = e.doc_id GROUP BY s.doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM each a JOIN each b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common c JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * c.n >= {ngram_join.PERCENT} * (x.n + y.n - c.n)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON r.other = e.a
+)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON s.doc_id = r.doc_id
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE divided AS (
+    SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS rest
+), runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), bytes AS (
+    SELECT run, n, list_transform(range(octet_length(encode(told))), lambda i: CAST('0x' || substr(hex(told), 2 * i + 1, 2) AS BIGINT)) AS bs
+    FROM (SELECT run, n, CAST(doc_id AS VARCHAR) || ':' || run AS told FROM runs WHERE length(run) >= {spelling.LETTERS})
+), summed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, bs), lambda c, b: xor(c >> 8, rest[1 + (xor(c, b) & 255)])), 4294967295) AS h FROM bytes, divided
+), changed AS (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM summed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= {spelling.LETTERS} GROUP BY word HAVING sum(n) >= {spelling.OCCURRENCES}
+), less AS (
+    SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+    UNION SELECT l.word, w.word FROM less l JOIN words w ON l.rest = w.word
+    UNION SELECT w.word, l.word FROM less l JOIN words w ON l.rest = w.word
+), best AS (
+    SELECT near.word, near.other, w.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+    FROM near JOIN words w ON near.other = w.word QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, near.other) = 1
+), told AS (
+    SELECT w.word, w.n, CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near, CASE WHEN b.other_n >= {spelling.RATIO} * w.n THEN b.other END AS form, CASE WHEN b.other_n >= {spelling.RATIO} * w.n THEN b.other_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+), led AS (
+    SELECT word, word AS root FROM told
+    UNION ALL SELECT led.word, t.form FROM led JOIN told t ON led.root = t.word WHERE t.form IS NOT NULL
+)
+SELECT t.word, t.form, l.root, t.n, t.n_near, t.form_n
+FROM told t JOIN (SELECT led.word, led.root FROM led JOIN told ON led.root = told.word WHERE told.form IS NULL) l ON t.word = l.word
 """,
 }

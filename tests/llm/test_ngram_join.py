@@ -125,3 +125,13 @@ def test_query(spark, small):
     given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op11_ngram_join(spark, small).collect()}
     assert got == {d: x for (d, _), x in zip(given, brute(given))}
+
+
+def test_query_equals_sql(spark, small):
+    import duckdb
+
+    got = queries.op11_ngram_join(spark, small)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+        want = db.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES['op11_ngram_join']})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())

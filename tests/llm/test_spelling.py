@@ -114,3 +114,13 @@ def test_misspelt_words(spark):
     rows = [(k, "Wörter und andere Buchstaben in Texten a b c") for k in range(40)] + [(None, "Wörter")]
     got = Counter(r.word for r in queries.misspelt(spelling.words_of(docs(spark, extra=rows))).collect())
     assert got == Counter(brute_words(rows))
+
+
+def test_query_equals_sql(spark, small):
+    import duckdb
+
+    got = queries.op12_spelling_variants(spark, small)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+        want = db.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES['op12_spelling_variants']})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
