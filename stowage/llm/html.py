@@ -3,8 +3,8 @@
 Markup is stripped and the page becomes lines, one for each block element. A line's weight is the length of its text
 without links; lines of menus, forms, adverts, notices, reader comments and the like weigh nothing. The sums of weights over sliding
 windows of three lines show the text as a plateau: it begins at the line where the sum surges and ends where it dives
-into dropped lines or links; light lines between do not end it. This is so on every page: a mark as the article raises the weights of
-an element's lines, and if the sums surge in it, it is text to its ends. Forms, and elements that are named like a menu, sidebar, advert
+into dropped lines or links; light lines between do not end it. This is so on every page, marked or not: a mark as the article raises the weights of
+an element's lines and keeps its plateaus apart from what stands around it, but surge and dive points set both ends of the text. Forms, and elements that are named like a menu, sidebar, advert
 or comment, are dropped unless they hold most of the page's text and its title or article: such an element wraps the page.
 
 Scale: one pass over the pages, no shuffle, one page at a time; the scanner is linear in the page's length.
@@ -82,13 +82,13 @@ class Container:
     dropped: bool = False
 
 
-def lines(html: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, weight, in an element marked as the article, in a dropped element) of each block with text, in page order."""
-    out: list[tuple[str, int, bool, bool, Container | None]] = []
+def lines(html: str) -> list[tuple[str, int, int, bool]]:
+    """(text, weight, number of the outermost element around it that is marked as the article or 0, in a dropped element) of each block with text, in page order."""
+    out: list[tuple[str, int, int, bool, Container | None]] = []
     stack: list[Container] = []
     known: list[Container] = []  # all soft containers, outer ones first
     open_: Counter[str] = Counter()
-    held: Counter[str] = Counter()  # open containers that are hard, or marked as the article
+    held: Counter[str] = Counter()  # open containers that are hard, or marked as the article; number of the last marked one
     parts: list[str] = []
     links = in_link = total = 0
     soft: Container | None = None
@@ -97,7 +97,7 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
         nonlocal links, total
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            out.append((text, max(0, len(text) - links), held["article"] > 0, held["hard"] > 0, soft))
+            out.append((text, max(0, len(text) - links), held["number"] if held["article"] > 0 else 0, held["hard"] > 0, soft))
             total += len(text)
         parts.clear()
         links = 0
@@ -147,6 +147,7 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
                 stack.append(c)
                 open_[name] += 1
                 held["hard"] += c.hard
+                held["number"] += c.article and not held["article"]
                 held["article"] += c.article
                 if c.soft:
                     known.append(c)
@@ -213,19 +214,22 @@ def plateaus(weights: list[int], breaks: list[bool], window: int = WINDOW, surge
     return out
 
 
-def text_spans(rows: list[tuple[str, int, bool, bool]]) -> list[tuple[int, int]]:
+def text_spans(rows: list[tuple[str, int, int, bool]]) -> list[tuple[int, int]]:
     """First and last line (exclusive) of each part of lines() that is text, by window sums.
 
-    Lines in a marked element weigh `RAISE` more. Marked elements in which the sums surge are the text, from end to end. If
-    there is none, marked or not, the page's heaviest plateau is. A page without a plateau is short: its marked lines, else all that has weight.
+    Lines in a marked element weigh `RAISE` more. If the sums surge in marked elements, the plateaus there are the text, but for elements whose plateaus weigh less than
+    half of the heaviest one's: teasers of other articles and comments are marked as articles too. If they surge in none, the page's heaviest
+    plateau is the text. A page without a plateau is short: its marked lines, else all that has weight.
     """
     weights = [r[1] + RAISE if r[1] and r[2] else r[1] for r in rows]
     breaks = [2 * r[1] < len(r[0]) for r in rows]
-    inside = [False, *[r[2] for r in rows], False]
+    inside = [0, *[r[2] for r in rows], 0]
     ends = [k for k in range(len(rows) + 1) if inside[k] != inside[k + 1]]
-    articles = list(zip(ends[::2], ends[1::2]))
-    if found := [(a, b) for a, b in articles if plateaus(weights[a:b], breaks[a:b])]:
-        return found
+    articles = [(a, b) for a, b in zip(ends, ends[1:]) if rows[a][2]]
+    weight = lambda spans: sum(sum(weights[a:b]) for a, b in spans)
+    marked = [[(a + s, a + e) for s, e in plateaus(weights[a:b], breaks[a:b])] for a, b in articles]
+    if (most := max(map(weight, marked), default=0)) > 0:
+        return [span for spans in marked if 2 * weight(spans) >= most for span in spans]
     if found := plateaus(weights, breaks):
         return [max(found, key=lambda f: sum(weights[f[0] : f[1]]))]
     filled = [k for k, w in enumerate(weights) if w]

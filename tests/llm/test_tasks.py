@@ -490,6 +490,24 @@ def test_window_sums_decide_where_articles_are_marked():
     assert html.main_text(f"<body>{two}{two}<div>Imprint</div></body>").split("\n") == text * 2
 
 
+def test_other_articles_and_comments_are_left_out():
+    text = [LONG.strip()] * 4
+    article = "<article><h1>Title</h1>" + "".join(f"<p>{x}</p>" for x in text) + "</article>"
+    teasers = "".join(f"<article><h3>Story {k}</h3><p>{LONG[:100]}</p></article>" for k in range(3))
+    said = "".join(f"<article><p>{LONG[:110]}</p></article>" for _ in range(4))
+    want = ["Title", *text]
+    assert html.main_text(f"<body>{article}<section><h2>More stories</h2>{teasers}</section></body>").split("\n") == want
+    assert html.main_text(f"<body><div><h2>Today</h2>{teasers}</div>{article}<div><h2>Readers say</h2>{said}</div></body>").split("\n") == want
+
+
+def test_surge_and_dive_points_set_the_ends_in_marked_elements():
+    text = [LONG.strip()] * 3
+    inner = "".join(f"<p>{x}</p>" for x in text)
+    links = "".join(f"<p><a href=x>Other story {k} of this week</a></p>" for k in range(9))
+    assert html.main_text(f"<body><article>{links}{inner}{links}</article></body>").split("\n") == text
+    assert html.main_text(f"<body><article>{inner}{'<div class=ad>x</div>' * 9}{inner}</article></body>").split("\n") == text * 2
+
+
 def test_light_lines_stay_without_marks():
     para = LONG.strip()
     items = [f"Item {k} of the list" for k in range(12)]
