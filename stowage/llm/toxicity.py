@@ -10,12 +10,11 @@ Scale: word counts are made for all labelled training rows, in tasks first and t
 The counts of all distinct character sequences of the training rows, by 64-bit hash, are broadcast if they take `MODEL_BYTES` at most: 16
 bytes a sequence and 24 a context. Scoring is then one pass over the documents without a shuffle; each task keeps the ratios of
 words it has met in a bounded cache. Larger counts stay tables, with which the documents' distinct words are joined (`joined.py`); scores are the
-same but for rounding. The curve is fitted on at most `calibration_rows` rows.
+same bit for bit (`kneser.py`). The curve is fitted on at most `calibration_rows` rows.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -29,37 +28,20 @@ from pyspark.sql import functions as F
 
 from .common import batch, discard, materialise
 from .joined import Stored
+from .kneser import BASE, CHARACTERS, DISCOUNT, FEATURES, ORDER, codes_of, curve, features, sequences, spelled, units, words_of
 
-ORDER = 5
-#: Characters that a text could have, for smoothing.
-CHARACTERS = 1 << 19
-DISCOUNT = 0.75
-#: The most toxic words whose mean ratio is a feature.
-TOP = 3
 CALIBRATION_ROWS = 20_000
 #: Bytes up to which the counts are collected and broadcast; beyond, words are joined with them.
 MODEL_BYTES = 128 << 20
 #: Bytes of labelled ids up to which the labels are broadcast to the documents; beyond, both are shuffled.
 LABEL_BYTES = 64 << 20
 
-WORD = re.compile(r"[^\W_]+")
-BASE = np.uint64(1_000_003)
-FEATURES = ("mean", "scaled", "top", "worst")
-
-
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
-
 
 def fold(doc_id: str) -> Column:
     """crc32 of doc_id as text, mod 4. Rows of fold 2 are held out: their labels are never read. Null ids: null."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
-def codes_of(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-
-
 @dataclass
 class Table:
     """Counts of character sequences by the sequences' polynomial hashes, which are sorted: values[column, key]."""
@@ -70,9 +52,9 @@ class Table:
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """[column, key] for any keys; zeros for those that are absent."""
         if not len(self.keys):
-            return np.zeros((len(self.values), len(keys)), dtype=np.float32)
+            return np.zeros((len(self.values), len(keys)))
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.values[:, at] * (self.keys[at] == keys)
+        return (self.values[:, at] * (self.keys[at] == keys)).astype(float)
 
 
 @dataclass
@@ -95,32 +77,20 @@ class Model:
         return self.handle
 
     def ratios(self, words: list[str]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) for each word, its end included."""
-        codes = codes_of("".join(f"^{w}$" for w in words))
-        lengths = np.array([len(w) + 2 for w in words])
-        starts = np.cumsum(lengths) - lengths
-        depth = np.arange(len(codes)) - np.repeat(starts, lengths)  # characters before it in its word
+        """log P(word | toxic) - log P(word | ordinary) for each word in units, its end included."""
+        codes, starts, depth = spelled(words)
         total = self.shared.values.sum(dtype=float)
-        base = (self.shared(codes)[0].astype(float) + 0.5) / (total + 0.5 * CHARACTERS)
+        base = (self.shared(codes)[0] + 0.5) / (total + 0.5 * CHARACTERS)
         p = np.stack([base, base])
-        rolled = codes  # of the sequences of n - 1 characters that end at each place
-        for n in range(2, ORDER + 1):
-            at = np.flatnonzero(depth >= n - 1)
-            context = self.contexts[n - 2](rolled[at - 1])
-            rolled = rolled.copy()
-            rolled[n - 1 :] += codes[: len(codes) - n + 1] * BASE ** np.uint64(n - 1)
-            here = self.grams[n - 2](rolled[at])
+        for n, at, here, before in sequences(codes, depth):
+            context = self.contexts[n - 2](before)
             tokens, kinds = context[:2], context[2:]
             some = np.maximum(tokens, 1)
             back = np.where(tokens > 0, np.minimum(1, DISCOUNT * kinds / some), 1)
-            p[:, at] = np.maximum(here - DISCOUNT, 0) / some + back * p[:, at]
-        logs = np.log(p[1]) - np.log(p[0])
-        logs[depth == 0] = 0
-        return np.add.reduceat(logs, starts)
-
-
-def curve(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
+            p[:, at] = np.maximum(self.grams[n - 2](here) - DISCOUNT, 0) / some + back * p[:, at]
+        found = units(*p)
+        found[depth == 0] = 0
+        return np.add.reduceat(found, starts)
 
 
 class Reader:
@@ -128,7 +98,7 @@ class Reader:
 
     def __init__(self, model: Model, limit: int = 150_000):
         self.model, self.limit = model, limit
-        self.known: dict[str, float] = {}
+        self.known: dict[str, int] = {}
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros((len(texts), len(FEATURES)))
@@ -143,9 +113,7 @@ class Reader:
             get = self.known.__getitem__
             for k, words in enumerate(split, s):
                 if words:
-                    r = np.fromiter(map(get, words), dtype=float, count=len(words))
-                    top = np.partition(r, -TOP)[-TOP:] if len(r) > TOP else r
-                    out[k] = r.mean(), r.sum() / np.sqrt(len(r)), top.sum() / TOP, r.max()
+                    out[k] = features(np.fromiter(map(get, words), dtype=np.int64, count=len(words)))
         return out
 
 
@@ -186,11 +154,11 @@ def _placed(grams: DataFrame, n: int) -> DataFrame:
 
 
 def _table(df: DataFrame, key: str, *names: str) -> Table:
-    """From df, which has one row for each key."""
+    """From df, which has one row for each key and counts under 2^32."""
     got = df.select(key, *names).toPandas()
     keys = got[key].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Table(keys[order], np.stack([got[c].to_numpy(dtype=np.float32)[order] for c in names]))
+    return Table(keys[order], np.stack([got[c].to_numpy(dtype=np.uint32)[order] for c in names]))
 
 
 def count_tables(rows: DataFrame) -> list[DataFrame]:
@@ -217,11 +185,12 @@ def _contexts(grams: DataFrame, context: str) -> DataFrame:
 
 
 def count_model(rows: DataFrame) -> Model | Stored:
-    """The counts of rows(text, toxic 0 or 1), collected or, beyond `MODEL_BYTES`, as tables."""
+    """The counts of rows(text, toxic 0 or 1), collected or, beyond `MODEL_BYTES` or 32 bits a count, as tables."""
     orders = count_tables(rows)
+    sizes = [g.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("ordinary") + F.col("toxic")), F.lit(0)).alias("tokens")).first() for g in orders]
     # There are at most as many contexts as sequences.
-    if 40 * sum(g.count() for g in orders[1:]) > MODEL_BYTES:
-        return _stored(orders)
+    if 40 * sum(x.n for x in sizes[1:]) > MODEL_BYTES or max(x.tokens for x in sizes) >= 1 << 32:
+        return _stored(orders, sizes[0].tokens)
     counts, contexts = [], []
     for n, grams in enumerate(orders[1:], 2):
         table = materialise(_placed(grams, n))
@@ -234,14 +203,17 @@ def count_model(rows: DataFrame) -> Model | Stored:
     return Model(counts, contexts, Table(shared.keys, shared.values.sum(axis=0, keepdims=True)))
 
 
-def _stored(orders: list[DataFrame]) -> Stored:
-    grams, contexts = orders[0], None
-    for n, some in enumerate(orders[1:], 2):
-        grams = grams.union(some)
-        of = _contexts(some.withColumn("context", F.substring("gram", 1, n - 1)), "context")
-        contexts = of if contexts is None else contexts.union(of)
-    total = orders[0].agg(F.sum(F.col("ordinary") + F.col("toxic"))).first()[0]
-    return Stored(materialise(grams), materialise(contexts), float(total or 0), CHARACTERS, DISCOUNT, ORDER, TOP, words_of)
+def _stored(orders: list[DataFrame], total: int) -> Stored:
+    """By the same hashes as the collected counts."""
+    grams, contexts = None, None
+    for n, some in enumerate(orders, 1):
+        table = materialise(_placed(some, n))
+        here = _sum(table, "here").select(F.lit(n).alias("n"), "here", "ordinary", "toxic")
+        grams = here if grams is None else grams.union(here)
+        if n > 1:
+            of = _contexts(table, "context").withColumn("n", F.lit(n))
+            contexts = of if contexts is None else contexts.union(of)
+    return Stored(materialise(grams), materialise(contexts), float(total))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
@@ -307,7 +279,7 @@ def score(docs: DataFrame, model: Model | Stored, threshold: float = 0.3) -> Dat
     held = F.coalesce(fold("doc_id") == 2, F.lit(False))
     told = lambda rows: rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
     if isinstance(model, Stored):
-        return told(model.described(docs.select("doc_id", "text"), keep=("doc_id",)).select("row.doc_id", model.score().alias("score")))
+        return told(model.scored(docs.select("doc_id", "text")).select("row.doc_id", "score"))
     shared, weights = model.on_executors(docs.sparkSession), model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +294,7 @@ def score(docs: DataFrame, model: Model | Stored, threshold: float = 0.3) -> Dat
 def drop_toxic(docs: DataFrame, model: Model | Stored, threshold: float = 0.3) -> DataFrame:
     """The rows of `docs` whose score is under `threshold`, with all their columns; without a join if the counts are broadcast."""
     if isinstance(model, Stored):
-        return model.described(docs).where(model.score() < threshold).select("row.*")
+        return model.scored(docs).where(F.col("score") < threshold).select("row.*")
     shared, weights = model.on_executors(docs.sparkSession), model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

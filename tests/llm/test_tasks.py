@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stowage.llm import html, media, packing, quality, queries, simhash, toxicity, urls
 from stowage.llm.joined import Stored
+from stowage.llm.kneser import UNIT
 
 from .fixtures import docs, labels
 
@@ -252,6 +253,14 @@ def test_toxicity_held_out(spark, small):
     assert right >= 0.9 * len(rows), (right, len(rows))  # about 200 labels to learn from; on 15,000 it is over 0.999
 
 
+def test_toxicity_recall_and_precision(spark, small):
+    where = small.replace("0.001", "0.1")
+    rows = queries.op7_toxicity(spark, where).where("held_out").join(spark.read.parquet(f"{where}/labels.parquet"), "doc_id").collect()
+    toxic, flagged = sum(r.toxic for r in rows), sum(r.predicted for r in rows)
+    both = sum(r.toxic and r.predicted for r in rows)
+    assert toxic > 80 and both >= 0.95 * toxic and both >= 0.95 * flagged, (toxic, flagged, both, len(rows))
+
+
 @pytest.mark.parametrize("limit", [toxicity.MODEL_BYTES, 0])
 def test_toxicity_edges(spark, monkeypatch, limit):
     monkeypatch.setattr(toxicity, "MODEL_BYTES", limit)
@@ -325,18 +334,21 @@ def test_counts_are_exact_with_many_sequences(spark):
     texts = [(" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzàéîõü") for _ in range(7)) for _ in range(200)), int(k % 4 == 0)) for k in range(300)]
     model = toxicity.count_model(spark.createDataFrame(texts, "text string, toxic int"))
     words = [t.split()[3] for t, _ in texts[:60]] + ["zzz", "a", "日本語", "unseen"]
-    assert np.allclose(model.ratios(words), brute_ratio(texts, words), rtol=1e-4, atol=1e-4)
+    assert np.allclose(model.ratios(words) / UNIT, brute_ratio(texts, words), rtol=1e-9, atol=1e-5)
 
 
 def test_joined_counts_give_the_same_ratios(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "MODEL_BYTES", 0)
     rng = random.Random(4)
     texts = [(" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(30)), int(k % 3 == 0)) for k in range(60)]
-    model = toxicity.count_model(spark.createDataFrame(texts, "text string, toxic int"))
+    rows = spark.createDataFrame(texts, "text string, toxic int")
+    collected = toxicity.count_model(rows)
+    monkeypatch.setattr(toxicity, "MODEL_BYTES", 0)
+    model = toxicity.count_model(rows)
     words = [*sorted({t.split()[3] for t, _ in texts}), "zzz", "a", "日本語", "𐐨𐐩a", "unseen"]
     rows = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "key bigint, word string")
     got = {r.key: r.ratio for r in model.ratios(rows).collect()}
-    assert np.allclose([got[k] for k in range(len(words))], brute_ratio(texts, words), rtol=1e-9, atol=1e-9)
+    assert [got[k] for k in range(len(words))] == collected.ratios(words).tolist()
+    assert np.allclose([got[k] / UNIT for k in range(len(words))], brute_ratio(texts, words), rtol=1e-9, atol=1e-6)
 
 
 def test_joined_counts_score_the_same(spark, small, monkeypatch):
@@ -353,8 +365,7 @@ def test_joined_counts_score_the_same(spark, small, monkeypatch):
         scored = sorted(toxicity.score(rows, model).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.score))
         out.append((scored, sorted(map(str, kept.collect()))))
     assert isinstance(model, Stored) and len(out[0][0]) == rows.count()
-    assert [(r.doc_id, r.held_out, r.predicted) for r in out[0][0]] == [(r.doc_id, r.held_out, r.predicted) for r in out[1][0]]
-    assert np.allclose([r.score for r in out[0][0]], [r.score for r in out[1][0]], atol=1e-3) and out[0][1] == out[1][1]
+    assert out[0] == out[1]  # scores bit for bit
 
 
 # Quality
