@@ -4,8 +4,8 @@ Two generative models over hashed n-grams, one of target texts (labelled good) a
 the log ratio of its likelihoods. With Gumbel noise added, the k largest are a sample without replacement in proportion
 to the ratio. The n-grams are words and word pairs, and runs of up to three token shapes (case, length, signs, repeats).
 
-Scale: counts of all documents are added up in tasks and then over `BUCKETS` numbers, so what meets in the driver and is broadcast
-has a fixed size. The k-th key is found by counting keys by their leading bits, 16 more in each of four rounds, so no sort and
+Scale: counts of all documents are added up in tasks and then over `BUCKETS` numbers, so what meets in the driver has a fixed size;
+besides the ratios, the good labels' ids are broadcast if they take `LABEL_BYTES` at most. The k-th key is found by counting keys by their leading bits, 16 more in each of four rounds, so no sort and
 no list of keys is needed.
 """
 
@@ -117,18 +117,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, int]:
 
 
 def keyed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
-    """(doc_id, log_ratio, key): key is the log ratio with Gumbel noise from a hash of doc_id and seed."""
+    """(doc_id, log_ratio, key): key is the log ratio with Gumbel noise from a hash of doc_id and seed, where that is null of the text and seed."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = worker_reader()
         for b in batches:
-            yield batch(doc_id=b.column("doc_id"), log_ratio=pa.array([float(shared.value[reader(t.as_py())].sum()) for t in b.column("text")], pa.float64()))
+            yield batch(doc_id=b.column("doc_id"), noise=b.column("noise"), log_ratio=pa.array([float(shared.value[reader(t.as_py())].sum()) for t in b.column("text")], pa.float64()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, log_ratio double")
-    uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    return out.withColumn("key", F.col("log_ratio") - F.log(-F.log(uniform)))
+    noise = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit(seed))).otherwise(F.xxhash64("doc_id", F.lit(seed)))
+    out = docs.select("doc_id", "text", noise.alias("noise")).mapInArrow(run, f"doc_id {kind}, noise bigint, log_ratio double")
+    uniform = (F.shiftrightunsigned("noise", 11) + 0.5) / float(1 << 53)
+    return out.select("doc_id", "log_ratio", (F.col("log_ratio") - F.log(-F.log(uniform))).alias("key"))
 
 
 def top_keys(rows: DataFrame, k: int) -> DataFrame:
@@ -159,7 +160,8 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     """(doc_id, log_ratio, key): a sample of `k` rows of docs(doc_id, text; other columns are ignored).
 
     k defaults to the good share of labels(doc_id, quality) times the number of documents. Null and empty texts have a
-    log ratio of 0. Rows with equal doc_id and text have equal keys, and ties with the k-th key all stay.
+    log ratio of 0. Rows with equal doc_id and text have equal keys, as those without an id have if their texts are equal; ties
+    with the k-th key all stay.
     """
     ratios, share, total = fit(docs, labels)
     return top_keys(materialise(keyed(docs, ratios, seed)), round(share * total) if k is None else k)

@@ -379,6 +379,44 @@ def test_quality_prefers_the_target(spark, small):
     assert sum(r.doc_id in kept for r in rows if not r.quality) <= 0.2 * sum(1 - r.quality for r in rows)
 
 
+def brute_buckets(text):
+    """Counts by bucket of words, word pairs and runs of one to three shapes, one by one."""
+    tokens, out, mask = quality.TOKEN.findall(text or ""), Counter(), (1 << 64) - 1
+    words = [(xxhash.xxh64_intdigest(t.lower().encode(), 42) >> 8) % (1 << 40) for t in tokens]
+    # Words shorten to whole multiples of 64 with a shape's number beside them; a shape tells whether the word is that before it.
+    shapes = [quality._shape(t) + 64 * (k > 0 and words[k] == words[k - 1]) for k, t in enumerate(tokens)]
+    grams = [8 * w for w in words] + [8 * s + 2 for s in shapes]
+    grams += [8 * (31 * b + 17 * a) + 1 for a, b in zip(words, words[1:])]
+    grams += [8 * (b + 128 * a) + 3 for a, b in zip(shapes, shapes[1:])]
+    grams += [8 * (c + 128 * b + 16384 * a) + 4 for a, b, c in zip(shapes, shapes[1:], shapes[2:])]
+    for g in grams:
+        out[((g & mask) * 0x9E3779B97F4A7C15 & mask) >> 50] += 1
+    return out
+
+
+def test_quality_ratios_equal_brute_force(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["The", "cat", "sat", "SAT", "42", "--", "naïve", "日本", "x_1", "!"]) for _ in range(rng.randint(0, 30))) for _ in range(80)]
+    texts += ["", None, "one " * 3_000]
+    rows = docs(spark, *texts)
+    ratios, share, total = quality.fit(rows, labels(spark, [(k, int(k % 3 == 0), 0) for k in range(40)] + [(1, None, 0)]))
+    raw, target = Counter(), Counter()
+    for k, t in enumerate(texts):
+        raw += brute_buckets(t)
+        target += brute_buckets(t) if k < 40 and k % 3 == 0 else Counter()
+    n = quality.BUCKETS
+    p, q = ([(c[b] + 1) / (sum(c.values()) + n) for b in range(n)] for c in (target, raw))
+    expected = np.log(np.array(p) / np.array(q))
+    assert np.allclose(ratios, expected, rtol=0, atol=1e-12) and total == len(texts) and share == 14 / 40
+    got = {r.doc_id: r.log_ratio for r in quality.keyed(rows, ratios).collect()}
+    assert all(abs(got[k] - sum(expected[b] * c for b, c in brute_buckets(t).items())) < 1e-8 for k, t in enumerate(texts))
+
+
+def test_quality_noise_without_ids(spark):
+    rows = docs(spark, extra=[(None, f"text {k // 2}") for k in range(40)])
+    assert len({r.key - r.log_ratio for r in quality.keyed(rows, np.zeros(quality.BUCKETS)).collect()}) == 20
+
+
 def test_top_keys_is_exact(spark):
     rng = random.Random(6)
     keys = [rng.gauss(0, 1) * 10 ** rng.randint(-3, 6) for _ in range(2000)]
