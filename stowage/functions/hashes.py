@@ -42,13 +42,13 @@ def decode_sql(text: str, digits: int | None = None) -> str:
 
     `digits`: the only length that is not null.
     """
-    upper = f"translate({text}, '{ALPHABET}', '{_CONV}')"
-    if digits:
+    if digits:  # bad texts are null from the start, so that no use of the padded digits is in a branch: they are worked out once
+        sound = f"case when length({text}) = {digits} and {text} rlike '{VALID}' then {text} end"
         groups = -(-digits // 8)
-        padded = f"lpad({upper}, {8 * groups}, '0')"
+        padded = f"lpad(translate({sound}, '{ALPHABET}', '{_CONV}'), {8 * groups}, '0')"
         parts = ", ".join(f"lpad(conv(substring({padded}, {8 * k + 1}, 8), 32, 16), 10, '0')" for k in range(groups))
-        whole = f"unhex(right(concat({parts}), {2 * (5 * digits // 8)}))"
-        return f"case when length({text}) = {digits} and {text} rlike '{VALID}' then {_reversed(whole)} end"
+        return _reversed(f"unhex(right(concat({parts}), {2 * (5 * digits // 8)}))")
+    upper = f"translate({text}, '{ALPHABET}', '{_CONV}')"
     n = f"length({text})"
     groups = f"cast(ceil({n} / 8) as int)"
     parts = f"transform(sequence(1, {groups}), k -> lpad(conv(substring(lpad(s, 8 * {groups}, '0'), 8 * k - 7, 8), 32, 16), 10, '0'))"

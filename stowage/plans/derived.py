@@ -28,7 +28,10 @@ def narinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A narinfo record for each part; three parts share a NAR."""
     size = F.col("p_size")
     file_size = size.cast("bigint") * 1000 + F.col("p_partkey") % 1000
-    return table(spark, sf_dir, "part").select(
+    parts, cores = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), spark.sparkContext.defaultParallelism
+    if len(parts.inputFiles()) < cores:  # a few files would leave most cores idle while hashes are worked out
+        parts = parts.repartition(cores)
+    return parts.select(
         "p_partkey",
         F.unhex(F.sha1(_id("p_partkey"))).alias("hash"),
         F.replace("p_name", F.lit(" "), F.lit("-")).alias("pname"),
