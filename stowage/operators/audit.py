@@ -136,6 +136,15 @@ def finish_swap(spark: SparkSession, raw_path: str) -> None:
     files.delete(note, True)
 
 
+def swap_files(spark: SparkSession, base: str, old: list[str]) -> None:
+    """Put the files of <base>-new in the place of `old` ones, which go to <base>-replaced: the moves are noted, then made."""
+    staged, files = _hadoop(spark, f"{base}-new")
+    new = [str(f.getPath().toString()) for f in files.listStatus(staged) if f.getPath().getName().startswith("part-")]
+    noted = [("old", f) for f in old] + [("new", f) for f in new]
+    spark.createDataFrame(noted, "kind string, file string").coalesce(1).write.mode("overwrite").json(f"{base}-swap")
+    finish_swap(spark, base)
+
+
 def rewrite_valid(raw_path: str, verified: DataFrame) -> int:
     """Take the bodies whose checksum differs out of the table of bodies at `raw_path`; returns how many.
 
@@ -163,10 +172,7 @@ def rewrite_valid(raw_path: str, verified: DataFrame) -> int:
         gone = hits.where(F.col("file").isin(some)).select("key").distinct()
         spark.read.parquet(*some).join(F.broadcast(gone), "key", "left_anti").write.mode("append").parquet(f"{base}-new")
     if names:
-        new = [str(f.getPath().toString()) for f in files.listStatus(_hadoop(spark, f"{base}-new")[0]) if f.getPath().getName().startswith("part-")]
-        noted = [("old", r.file) for r in names] + [("new", f) for f in new]
-        spark.createDataFrame(noted, "kind string, file string").coalesce(1).write.mode("overwrite").json(f"{base}-swap")
-        finish_swap(spark, base)
+        swap_files(spark, base, [r.file for r in names])
     files.delete(_hadoop(spark, found)[0], True)
     return sum(r.n for r in names)
 
