@@ -311,6 +311,48 @@ def narinfo_every_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nar.parse_narinfos(raw).rejects.select(F.col("key").alias("o_orderkey"), "rule")
 
 
+#: A field, SQL for its value with h and b, 64 hexadecimal and 52 base-32 digits, and the rule that it breaks, if any: each on one side of a limit.
+_LIMITS = (
+    ("FileSize", "'18446744073709551615'", None),
+    ("FileSize", "'18446744073709551616'", "file_size"),
+    ("FileSize", "concat(id, 'x')", "file_size"),
+    ("NarSize", "concat(repeat('0', 25), id)", None),
+    ("NarSize", "concat('-', id)", "nar_size"),
+    ("NarSize", "''", "nar_size"),
+    ("FileHash", "concat('sha256:', h)", None),
+    ("FileHash", "concat('sha256:', left(h, 63))", "file_hash"),
+    ("FileHash", "concat('sha256:', b, '0')", "file_hash"),
+    ("NarHash", "concat('sha256:', b)", None),
+    ("NarHash", "concat('sha256:e', substring(b, 2))", "nar_hash"),
+    ("NarHash", "concat('sha512:', b)", "nar_hash"),
+    ("StorePath", "concat('/nix/store/', right(b, 32), '-x')", None),
+    ("StorePath", "concat('/nix/store/', right(b, 32), '-')", "store_path"),
+    ("StorePath", "concat('/nix/store/', right(b, 31), '-x')", "store_path"),
+    ("Deriver", "concat(right(b, 32), '-x.drv')", None),
+    ("Deriver", "concat(right(b, 32), 'x.drv')", "deriver"),
+    ("CA", "concat('fixed:sha1:', left(h, 40))", None),
+    ("CA", "concat('fixed:sha1:', left(h, 39))", "ca"),
+    ("CA", "concat('other:sha256:', b)", "ca"),
+    ("Sig", "concat('k-1:', base64(encode(h, 'UTF-8')))", None),
+    ("Sig", "concat('k-1:', base64(encode(left(h, 63), 'UTF-8')))", "sig"),
+    ("Sig", "base64(encode(h, 'UTF-8'))", "sig"),
+)
+
+
+@_query("SELECT o_orderkey, rule FROM orders JOIN (VALUES " + ", ".join(f"({k}, '{rule or 'none'}')" for k, (_, _, rule) in enumerate(_LIMITS)) + f") AS f(k, rule) ON o_orderkey % {len(_LIMITS)} = k")
+def narinfo_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body for each order with a field just within or just past what its rule allows, in turn; `none` for those that are accepted."""
+    rows = derived.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("id"))
+    rows = rows.withColumn("h", F.sha2("id", 256)).withColumn("b", hashes.nixbase32_hex("h", 32))
+    k = F.col("o_orderkey") % len(_LIMITS)
+    line = F.lit(None).cast("string")
+    for at, (field, value, _) in enumerate(_LIMITS):
+        line = F.when(k == at, F.concat(F.lit(f"{field}: "), F.regexp_replace(F.expr(value), "[\r\n]", ""))).otherwise(line)
+    raw = rows.select(F.col("o_orderkey").alias("key"), F.encode(F.concat(line, F.lit("\nSystem: x86_64-linux\n")), "UTF-8").alias("content"))
+    parsed = nar.parse_narinfos(raw)
+    return parsed.rejects.union(parsed.records.select("key", F.lit("none"))).select(F.col("key").alias("o_orderkey"), "rule")
+
+
 _DIGEST = {"md5": ("md5({})", 16), "sha1": ("sha1({})", 20), "sha256": ("sha256({})", 32), "sha512": ("sha256({0}) || sha256('x' || {0})", 64)}
 
 
