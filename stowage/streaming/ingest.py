@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stowage.operators.audit import MD5, checksum_gate, fetch_worklist
@@ -73,10 +73,20 @@ class Ingested(NamedTuple):
     done: DataFrame
 
 
+def _append(rows: DataFrame, path: str) -> int:
+    """Append rows to a table; how many there were is observed while they are written, so bodies are read once.
+
+    rows must be a scan with filters: then the writing tasks themselves observe, and a task that runs again counts once.
+    """
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
+
+
 def ingest_report(inventory: DataFrame, objects: DataFrame | Fetcher, raw_path: str, quarantine_path: str, done: DataFrame, strict: bool = False, force: bool = False) -> Ingested:
     """One ingest of a report: what is still to fetch, fetched, checked, stored and marked as done.
 
-    `objects` is a Fetcher, which is called where the keys are, or a table (key, content), which is joined with them and so shuffled. A key
+    `objects` is a Fetcher, which is called where the keys are, or a table (key, content), which is joined with them: shuffled, if it is not in buckets by key. A key
     that is listed in several files is fetched once. Bodies with the right MD5 are appended to the table at `raw_path` (key, content), which must exist; others to `quarantine_path` with the reason.
     `strict` raises BadBodies, after writing, if there are any. done(file_id) comes back with the files of which nothing is left to fetch.
     """
@@ -88,9 +98,8 @@ def ingest_report(inventory: DataFrame, objects: DataFrame | Fetcher, raw_path:
     else:
         fetch_bodies(work, objects).where("content is not null").drop("error").write.mode("overwrite").parquet(fetched)
     good, bad = checksum_gate(spark.read.parquet(fetched))
-    added, quarantined = good.count(), bad.count()
-    good.select("key", "content").write.mode("append").parquet(raw_path)
-    bad.select("key", "content", "e_tag", "reason").write.mode("append").parquet(quarantine_path)
+    added = _append(good.select("key", "content"), raw_path)
+    quarantined = _append(bad.select("key", "content", "e_tag", "reason"), quarantine_path)
     if strict and quarantined:
         raise BadBodies(f"{quarantined} bodies have another checksum than the report says; see {quarantine_path}")
     left = fetch_worklist(inventory, spark.read.parquet(raw_path), done, force)
