@@ -40,8 +40,14 @@ def export_narinfos(records: DataFrame, path: str, block_size: int = 512 << 20,
     """Write parsed records in key order as zstd Parquet, in large row groups so that dictionaries of references pay; returns their number.
 
     `look_up`: if over zero, each row group gets a Bloom filter of its hashes, made for so many, about 1.2 bytes each. Key order is not the order of
-    hashes, so without one a look-up of a hash reads every row group.
+    hashes, so without one a look-up of a hash reads every row group. Records are stored first, as a sort reads its input twice: once for its ranges.
     """
+    staged = f"{path.rstrip('/')}-staged"
+    records.write.mode("overwrite").parquet(staged)
+    return _sorted_export(records.sparkSession.read.schema(records.schema).parquet(staged), path, block_size, look_up, rows_a_file)
+
+
+def _sorted_export(records: DataFrame, path: str, block_size: int, look_up: int, rows_a_file: int) -> int:
     rows = records.orderBy("key").drop("key", "dq_missing_store_path", "dq_invalid_utf8")
     writer = rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", block_size).option("parquet.dictionary.page.size", 8 << 20)
     if look_up:
@@ -99,9 +105,7 @@ def export_raw(raw: DataFrame, path: str) -> DataFrame:
     """
     spark, seen = raw.sparkSession, Observation()
     parsed = parse_narinfos(raw, seen)
-    staged = f"{path.rstrip('/')}-staged"
-    parsed.records.write.mode("overwrite").parquet(staged)
-    exported = export_narinfos(spark.read.schema(parsed.records.schema).parquet(staged), path)
+    exported = export_narinfos(parsed.records, path)
     processed, sound = seen.get["processed"], seen.get["exported"]
     if sound != exported:  # a stage that ran again may be observed twice
         return parse_narinfos(raw).stats()

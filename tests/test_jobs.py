@@ -246,3 +246,19 @@ def test_listing_by_shards(spark, tmp_path):
             assert sorted((r.key, r.size) for r in readers.list_by_shards(spark, root, levels=levels, tasks=3).collect()) == want
     assert readers.list_by_shards(spark, f"{tmp_path}/none").collect() == []
     assert all(r.last_modified.year > 2000 for r in readers.list_by_shards(spark, f"{tmp_path}/s").collect())
+
+
+def test_an_export_reads_its_records_once(spark, tmp_path):
+    """A range sort reads its input twice, so what is costly to work out is stored before."""
+    from stowage.operators import merge
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def costly(k):
+        seen.add(1)
+        return k
+
+    rows = spark.range(200).select(F.sha1(F.col("id").cast("string")).alias("key")).select(costly("key").alias("key"), F.lit(True).alias("dq_missing_store_path"), F.lit(False).alias("dq_invalid_utf8"), F.unhex("key").alias("hash"))
+    assert merge.export_narinfos(rows, str(tmp_path / "table"), look_up=100) == 200
+    assert seen.value == 200
