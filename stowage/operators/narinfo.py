@@ -1,7 +1,7 @@
 """Parsing of narinfo texts into typed records, as DataFrame expressions in one scan.
 
 Bytes are read as ISO-8859-1, so one character is one byte for lengths and comparisons; free text gets its bytes back at the
-end. A rule is one pattern over the whole text and a value one extraction from it, both in generated code. Each reject rule is a flag of
+end. A rule is one pattern over the whole text and a value one extraction from it, both in generated code; hashes of references are decoded through Arrow. Each reject rule is a flag of
 its own; a record with any flag set is a reject and keeps all its rules.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stowage.functions.hashes import VALID, decode_sql, decode_valid_sql
+from stowage.functions.hashes import VALID, decode_arrays, decode_sql, digits_sql, sound_digits_sql
 
 MAX_UINT64 = "18446744073709551615"
 
@@ -41,9 +41,9 @@ def _text(content: str) -> str:
     return f"concat('\\n', regexp_replace({t}, {_sql('\\r$(?![\\s\\S])')}, ''))"
 
 
-def _all(key: str, but: str = "") -> str:
+def _all(key: str, but: str = "", of: str = "t") -> str:
     """SQL for the values of a key in order: what follows the line's first ": "."""
-    return f"regexp_extract_all(t, {_sql(f'\\n{key}: {but}([^\\n]*+)')}, 1)"
+    return f"regexp_extract_all({of}, {_sql(f'\\n{key}: {but}([^\\n]*+)')}, 1)"
 
 
 def _last(values: str) -> str:
@@ -65,9 +65,9 @@ def _bad_uint(key: str) -> str:
     return f"{_bad(key, f'[0-9]++{_END}')} or case when t rlike {_sql(f'\\n{key}: 0*+[0-9]{{20,}}')} then {large} else false end"
 
 
-def _sha256(value: str) -> str:
+def _sha256(value: str, digits: str) -> str:
     h = f"substring({value}, 8)"
-    return f"case when {value} is null then {_ZERO32} when length({h}) = 64 then unhex({h}) else {decode_sql(h, 52)} end"
+    return f"case when {value} is null then {_ZERO32} when length({h}) = 64 then unhex({h}) else {sound_digits_sql(digits, 52)} end"
 
 
 def _ca_hash(value: str) -> str:
@@ -77,10 +77,19 @@ def _ca_hash(value: str) -> str:
     return f"case when {value} is null then null {' '.join(f for _, f in forms)} end"
 
 
-_REFS = "filter(split(v, ' '), r -> length(r) >= 34 and substring(r, 33, 1) = '-')"
+def _refs(form: str) -> str:
+    """SQL for the parts between single spaces of each References line v_refs that have this form and a dash and a name after it."""
+    return f"transform(v_refs, v -> regexp_extract_all(v, {_sql(f'(?<![^ ])({form}-[^ ]++)')}, 1))"
+
+
+def _hashes() -> str:
+    """SQL for the sound hashes of all references in order."""
+    return f"flatten(transform(v_refs, v -> regexp_extract_all(v, {_sql(f'(?<![^ ])({_B32}{{32}})-[^ ]++')}, 1)))"
+
+
 _CA = "|".join(f"{a}:(?:{_B32}{{{b32}}}|{_HEX}{{{hexa}}})" for a, (b32, hexa, _) in CA_LENGTHS.items())
 
-#: Rules by name: SQL that is true for a record that must be rejected. t holds the record's lines, each after a line feed.
+#: Rules by name: SQL that is true for a record that must be rejected. t holds the record's lines but references, each after a line feed.
 RULES = {
     "store_path": _bad("StorePath", f"/nix/store/{_B32}{{32}}-[^\\n]"),
     "file_size": _bad_uint("FileSize"),
@@ -113,13 +122,16 @@ def parse_narinfos(raw: DataFrame, seen: Observation | None = None) -> Parsed:
     pname empty. Names keep their bytes where these are no UTF-8, and the flag says so. Of repeated scalar fields the last counts, but each must be sound. References and signatures add up in order.
     rejects: (key, rule), one row for each rule broken. Null content is an empty text.
     """
-    flagged = _fixed(raw.select("key", F.coalesce("content", F.lit(b"")).alias("content")), {"t": _text("content")}).drop("content")
+    whole = _fixed(raw.select("key", F.coalesce("content", F.lit(b"")).alias("content")), {"whole": _text("content")}).drop("content")
+    # References have no rule and are most of a text, so every other pattern is looked for without them.
+    apart = {"t": f"regexp_replace(whole, {_sql('\nReferences: [^\n]*+')}, '')", "v_refs": _all("References", of="whole")}
+    flagged = _fixed(whole, apart).drop("whole")
     rules = F.array(*[F.when(F.expr(sql), name) for name, sql in RULES.items()])
     flagged = flagged.withColumn("rules", F.filter(rules, lambda r: r.isNotNull()))
     rejects = flagged.select("key", F.explode("rules").alias("rule"))
     sound = F.size("rules") == 0
     some = flagged if seen is None else flagged.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(sound).alias("exported"))
-    good = some.where(sound if seen is not None else ~F.expr(" or ".join(f"({sql})" for sql in RULES.values()))).select("key", "t")
+    good = some.where(sound if seen is not None else ~F.expr(" or ".join(f"({sql})" for sql in RULES.values()))).select("key", "t", "v_refs")
 
     # Values first, then what is decoded from them, so that no value is worked out for each of its uses. An
     # "unknown-deriver" line changes nothing, so an earlier deriver stays.
@@ -134,27 +146,27 @@ def parse_narinfos(raw: DataFrame, seen: Observation | None = None) -> Parsed:
         "v_system": _last(_all("System")),
         "v_ca": _last(_all("CA")),
         "v_sigs": _all("Sig"),
-        "v_refs": f"transform({_all('References')}, v -> {_REFS})",
     }
     parts = {
-        "h_path": "substring(v_path, 12, 32)",
-        "h_deriver": "substring(v_deriver, 1, 32)",
-        "h_refs": f"filter(transform(flatten(v_refs), r -> substring(r, 1, 32)), h -> h rlike '{VALID}')",
+        "d_path": digits_sql("substring(v_path, 12, 32)", 32),
+        "d_deriver": digits_sql("substring(v_deriver, 1, 32)", 32),
+        "d_file_hash": digits_sql("substring(v_file_hash, 8)", 52),
+        "d_nar_hash": digits_sql("substring(v_nar_hash, 8)", 52),
         "v_name": "if(endswith(v_deriver, '.drv') and length(v_deriver) >= 37, substring(v_deriver, 34, length(v_deriver) - 37), substring(v_deriver, 34))",
     }
     out = _fixed(_fixed(good, values), parts)
-    quirk = "exists(v_refs, a -> exists(zip_with(a, slice(a, 2, greatest(1, size(a))), (p, q) -> coalesce(p >= q, false)), z -> z))"
+    quirk = f"exists({_refs('[^ ]{32}')}, a -> a != sort_array(array_distinct(a)))"
     domain = _bytes("substring(v, 1, instr(v, ':') - 1)")
     columns = {
-        "hash": f"coalesce({decode_sql('h_path', 32)}, {_ZERO20})",
+        "hash": f"coalesce({sound_digits_sql('d_path', 32)}, {_ZERO20})",
         "pname": f"coalesce({_bytes('substring(v_path, 45)')}, '')",
         "compression": f"coalesce(nullif({_bytes('v_compression')}, ''), 'bzip2')",
-        "file_hash": _sha256("v_file_hash"),
+        "file_hash": _sha256("v_file_hash", "d_file_hash"),
         "file_size": "coalesce(cast(v_file_size as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "nar_hash": _sha256("v_nar_hash"),
+        "nar_hash": _sha256("v_nar_hash", "d_nar_hash"),
         "nar_size": "coalesce(cast(v_nar_size as decimal(20,0)), cast(0 as decimal(20,0)))",
-        "references": f"transform(h_refs, h -> {decode_valid_sql('h', 32)})",
-        "deriver": f"coalesce({decode_sql('h_deriver', 32)}, {_ZERO20})",
+        "references": decode_arrays(F.expr(_hashes())),
+        "deriver": f"coalesce({sound_digits_sql('d_deriver', 32)}, {_ZERO20})",
         "deriver_pname": f"nullif({_bytes('v_name')}, '')",
         "system": f"nullif({_bytes('v_system')}, '')",
         "signature_domains": f"transform(v_sigs, v -> {domain})",
@@ -164,7 +176,7 @@ def parse_narinfos(raw: DataFrame, seen: Observation | None = None) -> Parsed:
         "quirk_references_out_of_order": quirk,
         "dq_missing_store_path": "v_path is null",
     }
-    records = out.select("key", *[F.expr(sql).alias(c) for c, sql in columns.items()])
+    records = out.select("key", *[(F.expr(sql) if isinstance(sql, str) else sql).alias(c) for c, sql in columns.items()])
     sound = " and ".join(f"coalesce(is_valid_utf8({c}), true)" for c in ("pname", "compression", "deriver_pname", "system"))
     records = records.withColumn("dq_invalid_utf8", F.expr(f"not ({sound} and forall(signature_domains, d -> is_valid_utf8(d)))"))
     return Parsed(records, rejects, flagged)

@@ -249,7 +249,7 @@ def narinfo_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda c: F.lower(F.hex(c)).alias(c)
     return r.select(
         "key", text("hash"), "pname", "compression", text("file_hash"), text("nar_hash"), F.col("file_size").cast("bigint").alias("file_size"),
-        F.col("nar_size").cast("bigint").alias("nar_size"), F.array_join(F.transform("references", lambda x: F.lower(F.hex(x))), ",").alias("refs"),
+        F.col("nar_size").cast("bigint").alias("nar_size"), F.lower(F.array_join(F.transform("references", F.hex), ",")).alias("refs"),
         text("deriver"), "deriver_pname", "system", "ca_algo", text("ca_hash"), F.col("quirk_references_out_of_order").alias("out_of_order"),
         F.col("dq_missing_store_path").alias("no_store_path"),
     )
@@ -284,7 +284,7 @@ def narinfo_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 ) SELECT sha1(CAST(part AS VARCHAR)) AS reference, CAST(count(*) AS BIGINT) AS n FROM edges GROUP BY part""")
 def reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = nar.reference_edges(nar.parse_narinfos(derived.narinfo_bodies(spark, sf_dir)).records)
-    return edges.groupBy(F.lower(F.hex("reference")).alias("reference")).agg(F.count("*").alias("n"))
+    return edges.groupBy("reference").agg(F.count("*").alias("n")).select(F.lower(F.hex("reference")).alias("reference"), "n")
 
 
 @_query(f"WITH {derived.SQL_LOCATED} SELECT CASE WHEN p_partkey % 29 = 0 THEN repeat('0', 40) ELSE hash END AS hash, nar_hash, file_size FROM located WHERE {_GOOD}")

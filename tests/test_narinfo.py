@@ -141,3 +141,21 @@ def test_names_keep_their_bytes(spark):
     df = spark.createDataFrame([("a", bytearray(b"System: x\xff\xc3\xa9"))], "key string, content binary")
     r = parse_narinfos(df).records.select(F.hex(F.col("system").cast("binary")).alias("h")).first()
     assert r.h == "78FFC3A9"
+
+
+def test_references_are_decoded_once(spark):
+    """However often they are used, and in one Arrow step, not value by value in a lambda function."""
+    from stowage.operators.narinfo import reference_edges
+
+    df = spark.createDataFrame([("a", bytearray(f"References: {HASH}-x".encode()))], "key string, content binary")
+    records = parse_narinfos(df).records
+    for rows in (records.where("size(`references`) > 0").selectExpr("key", "size(`references`) as n"), reference_edges(records), records):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+    unused = records.select("key", "signature_values")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in unused
+
+
+def test_rules_hold_beside_references(spark):
+    rows, rejects, _ = parse(spark, f"FileSize: x\nReferences: {HASH}-x", f"References: {HASH}-x\r\nReferences: \nNarSize: -1\nReferences: {HASH}-y", f"xReferences: {HASH}-x\nReferences:{HASH}-x\nSystem: a")
+    assert rejects == [("0", "file_size"), ("1", "nar_size")] and rows["2"].references == [] and rows["2"].system == "a"
