@@ -121,16 +121,18 @@ def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Orders are dealt to the parts in turn. Every fourth part lists its references once each, by name.
     """
-    from stowage.functions.hashes import nixbase32
+    from stowage.functions.hashes import nixbase32, render_arrays
 
     parts = narinfo(spark, sf_dir)
     many = table(spark, sf_dir, "part").agg(F.max("p_partkey").alias("many"))
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").crossJoin(F.broadcast(many))  # one row
-    refs = lines.select((F.col("l_orderkey") % F.col("many") + 1).alias("of"), "l_orderkey", "l_linenumber", F.unhex(F.sha1(_id("l_partkey"))).alias("h"))
-    refs = refs.select("of", F.struct("l_orderkey", "l_linenumber", F.concat(nixbase32("h", 20), F.lit("-p")).alias("r")).alias("s"))
-    refs = refs.groupBy("of").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"]).alias("names"))
-    names = F.when(F.col("of") % 4 == 0, F.array_sort(F.array_distinct("names"))).otherwise(F.col("names"))
-    rows = parts.join(refs.select("of", F.array_join(names, " ").alias("refs")), parts["p_partkey"] == F.col("of"), "left")
+    refs = lines.select((F.col("l_orderkey") % F.col("many") + 1).alias("of"), F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("s"))
+    refs = refs.groupBy("of").agg(F.collect_list("s").alias("s"))
+    rows = parts.join(refs, parts["p_partkey"] == F.col("of"), "left")  # numbers are shuffled, names are made after
+    rows = rows.withColumn("r", render_arrays(F.transform("s.l_partkey", lambda k: F.unhex(F.sha1(k.cast("string"))))))
+    rows = rows.withColumn("names", F.sort_array(F.arrays_zip(F.col("s.l_orderkey").alias("o"), F.col("s.l_linenumber").alias("n"), "r"))["r"])
+    names = F.when(F.col("of") % 4 == 0, F.sort_array(F.array_distinct("names"))).otherwise(F.col("names"))
+    rows = rows.withColumn("refs", F.concat(F.array_join(names, "-p "), F.lit("-p")))
     k = F.col("p_partkey")
     end = F.when(k % 3 == 0, "\r\n").otherwise("\n")
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, end)
@@ -148,7 +150,7 @@ def narinfo_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         line("FileSize", size),
         line("NarHash", F.concat(F.when(k % 31 == 0, "md5:").otherwise("sha256:"), "nar_b32")),
         line("NarSize", F.col("nar_size").cast("string")),
-        F.when(F.col("refs").isNull(), F.lit("References:\n")).otherwise(line("References", F.col("refs"))),
+        F.when(F.col("of").isNull(), F.lit("References:\n")).otherwise(line("References", F.col("refs"))),
         line("Deriver", F.when(k % 2 == 0, "unknown-deriver").otherwise(F.concat("b32", F.lit("-"), "pname", F.lit(".drv")))),
         line("Sig", sig),
         F.when(k % 11 == 0, line("CA", F.concat(F.lit("fixed:r:sha256:"), "nar_b32"))).otherwise(""),
