@@ -6,7 +6,8 @@ attempt that ends between a batch's claims and its outcomes leaves keys of which
 a key that the store does not have any more is then `gone`, by our own deletion as far as can be told, and not `not_found`. So it is
 with keys of a task that Spark ran again. Nothing that has an outcome is asked for again but failures.
 
-Scale: keys are matched by joins of (key) tables; each attempt makes one pass over what is left and then reads its own batches only. The
+Scale: keys are matched by joins of (key) tables; each attempt makes one pass over what is left and then reads its own batches only. Small batches are
+claimed and deleted several at once, so that the jobs of a run grow with its keys over a round of all tasks and not with its batches. The
 driver holds the numbers of the batches.
 """
 
@@ -73,6 +74,8 @@ def left(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _delete(keys: DataFrame, deleter: Deleter) -> DataFrame:
+    """(batch, key, code, message, claimed_before, repeated) of keys(batch, key, claimed_before), and of what else the store reports."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         repeated = TaskContext.get().attemptNumber() > 0  # the stage reads stored keys only, so Spark runs tasks again but never the stage
         for frame in frames:
@@ -81,33 +84,37 @@ def _delete(keys: DataFrame, deleter: Deleter) -> DataFrame:
                 names = some["key"].tolist()
                 said = {k: v if isinstance(v, tuple) else (v, None) for k, v in deleter(names).items()}
                 known = dict(zip(names, some["claimed_before"].tolist()))
+                batch = dict(zip(names, some["batch"].tolist()))
                 told = names + sorted(set(said).difference(names))
                 codes, messages = zip(*[said.get(k, (None, None)) for k in told])
-                yield pd.DataFrame({"key": told, "code": codes, "message": messages, "claimed_before": [known.get(k, False) for k in told], "repeated": repeated}, dtype=object)
+                yield pd.DataFrame({"batch": [batch.get(k, batch[names[0]]) for k in told], "key": told, "code": codes, "message": messages, "claimed_before": [known.get(k, False) for k in told], "repeated": repeated}, dtype=object)
 
-    return keys.select("key", "claimed_before").mapInPandas(run, "key string, code string, message string, claimed_before boolean, repeated boolean")
+    return keys.select("batch", "key", "claimed_before").mapInPandas(run, "batch int, key string, code string, message string, claimed_before boolean, repeated boolean")
 
 
 def attempt(spark: SparkSession, path: str, deleter: Deleter, name: str, max_batches: int | None = None, tasks: int | None = None) -> int:
     """Delete what is left of a plan, batch by batch, as attempt `name`, which must be new; returns how many batches are left.
 
-    A batch's claims are written before its keys are deleted, by about `tasks` tasks, its outcomes after. `max_batches` ends the attempt
+    A batch's claims are written before its keys are deleted, by about `tasks` tasks, its outcomes after. As many batches are under way at once as there
+    are tasks, of KEYS_A_BATCH keys together at most, or one that is larger; an attempt that is killed leaves these in doubt. `max_batches` ends the attempt
     after so many. Reports of the store on keys that were not asked for are logged, and raise UnknownOutcomes at the end.
     """
     path = path.rstrip("/")
     work = f"{path}/work/{name}"
     if _complete(spark, work):
         raise ValueError(f"there has been an attempt {name}")
-    salt = F.pmod(F.xxhash64("key"), F.lit(tasks or spark.sparkContext.defaultParallelism))
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    planned = spark.read.parquet(f"{path}/plan").agg(F.count("*").alias("keys"), F.max("batch").alias("last")).first()
+    at_once = max(1, min(tasks, KEYS_A_BATCH * ((planned.last or 0) + 1) // max(1, planned.keys)))
+    salt = F.pmod(F.xxhash64("key"), F.lit(-(-tasks // at_once)))
     left(spark, path).repartition("batch", salt).write.mode("overwrite").partitionBy("batch").parquet(work)
     rows = _read(spark, work, "key string, claimed_before boolean, batch int")
     batches = [r.batch for r in rows.select("batch").distinct().orderBy("batch").collect()]
     now = batches if max_batches is None else batches[:max_batches]
-    for b in now:
-        some = rows.where(F.col("batch") == b)
+    for s in range(0, len(now), at_once):
+        some = rows.where(F.col("batch").isin(now[s : s + at_once]))
         claim(some, path, name)
-        told = _delete(some, deleter)
-        told = told.select(F.lit(name).alias("attempt"), F.lit(b).cast("int").alias("batch"), "key", "code", "message", "claimed_before", "repeated")
+        told = _delete(some, deleter).select(F.lit(name).alias("attempt"), "batch", "key", "code", "message", "claimed_before", "repeated")
         told.write.mode("append").parquet(f"{path}/outcomes")
     stray = _read(spark, f"{path}/outcomes", OUTCOME).where(F.col("attempt") == name).join(rows.select("key"), "key", "left_anti")
     if strange := stray.select("key").limit(5).collect():

@@ -103,3 +103,24 @@ def test_no_targets(spark, targets, tmp_path):
     ledger.plan(targets.limit(0), path)
     assert ledger.attempt(spark, path, lambda keys: {}, "a1") == 0
     assert ledger.records(spark, path).count() == 0
+
+
+def test_small_batches_are_under_way_together(spark, targets, tmp_path):
+    """Jobs grow with rounds of all tasks, not with batches; claims and outcomes keep each key's batch, and a round ends within max_batches."""
+    path = str(tmp_path / "run")
+    batch = {r.key: r.batch for r in ledger.plan(targets, path, keys_a_batch=4).collect()}
+    n = len(set(batch.values()))
+    assert n > 20
+    assert ledger.attempt(spark, path, lambda keys: {}, "a1", max_batches=5, tasks=4) == n - 5
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ledger", "")
+    try:
+        assert ledger.attempt(spark, path, lambda keys: {}, "a2", tasks=20) == 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(tracker.getJobIdsForGroup("ledger")) < 2 * (n - 5)
+    for name in ("claims", "outcomes"):
+        rows = spark.read.parquet(f"{path}/{name}").collect()
+        assert {r.key: r.batch for r in rows} == batch and len(rows) == 120
+        assert len({r.batch for r in rows if r.attempt == "a1"}) == 5
+    assert counts(spark, path) == {"removed": 120}
