@@ -173,12 +173,19 @@ def inventory_running_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REASON = "CASE WHEN doc_id % 101 = 0 THEN 'no_md5' WHEN doc_id % 17 = 0 THEN 'bad_checksum' END"
 
 
+def _source(bodies: DataFrame, path: str, bytes_a_file: int = 64 << 20, bodies_a_batch: int = 500_000) -> int:
+    """Write bodies as files that arrive, four at least and of bounded size; returns how many files make a batch: two batches at least, of bounded numbers."""
+    size = bodies.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes")).first()
+    files, batches = max(4, -(-size.bytes // bytes_a_file)), max(2, -(-size.n // bodies_a_batch))
+    bodies.repartition(files).write.parquet(path)
+    return max(1, files // batches)
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All bodies as a stream of files, two to a batch, of which the second half repeats some of the first."""
+    """All bodies as a stream of files in two batches or more."""
     root = scratch(spark)
-    bodies = derived.raw_narinfo(spark, sf_dir)
-    bodies.repartition(4).write.parquet(f"{root}/source")
-    arrivals = spark.readStream.schema(schemas.RAW_NARINFO).option("maxFilesPerTrigger", 2).parquet(f"{root}/source")
+    a_batch = _source(derived.raw_narinfo(spark, sf_dir), f"{root}/source")
+    arrivals = spark.readStream.schema(schemas.RAW_NARINFO).option("maxFilesPerTrigger", a_batch).parquet(f"{root}/source")
     listing = scratch(spark)  # read by every batch
     derived.inventory(spark, sf_dir).select("key", "e_tag", "file_id").write.parquet(listing)
     ingest.stream_checked(arrivals, spark.read.parquet(listing), f"{root}/tables", f"{root}/checkpoint")

@@ -262,3 +262,15 @@ def test_an_export_reads_its_records_once(spark, tmp_path):
     rows = spark.range(200).select(F.sha1(F.col("id").cast("string")).alias("key")).select(costly("key").alias("key"), F.lit(True).alias("dq_missing_store_path"), F.lit(False).alias("dq_invalid_utf8"), F.unhex("key").alias("hash"))
     assert merge.export_narinfos(rows, str(tmp_path / "table"), look_up=100) == 200
     assert seen.value == 200
+
+
+def test_files_that_arrive_are_of_bounded_size(spark, small, tmp_path):
+    """More bodies make more files, so no task reads a fixed share of all, and more batches."""
+    from stowage.plans import derived, written
+
+    bodies = derived.raw_narinfo(spark, small)
+    total, n = sum(len(r.content) for r in bodies.collect()), bodies.count()
+    a_batch = written._source(bodies, str(tmp_path / "many"), total // 20, n // 5)
+    files = spark.read.parquet(str(tmp_path / "many")).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()
+    assert len(files) in (20, 21) and a_batch in (3, 4) and sum(r.n for r in files) == n and max(r.n for r in files) <= n // 20 + 8
+    assert written._source(bodies, str(tmp_path / "few")) == 2 and len(list((tmp_path / "few").glob("part-*"))) == 4
