@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -111,6 +112,44 @@ def test_words_encode_as_whole_texts(tokenizer, spark, small):
     assert [x.tolist() for x in cache.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_of_all_forms_encode_as_whole_texts(tokenizer):
+    """Every letter of the plain forms and pieces of all kinds at random, with caches that overflow."""
+    rng = random.Random(21)
+    letters = [c for c in map(chr, range(0x41, 0x180)) if re.fullmatch(f"[{packing.WordCache.LETTERS}]", c)]
+    some = [*letters, *map(chr, range(0x21, 0x7F)), *"İŉſ日я½\u0301\u200b\x1c\x85", "<|endoftext|>", "'s", "'LL", " ", "\n", "  "]
+    texts = [" ".join(f"{c} x{c}y! {c}{c}." for c in letters), "日本 語。 \u0301", "", *ODD, " 12 'tis", "-- !"]
+    texts += ["".join(rng.choice(some if i % 2 else letters[:40] + [" ", ". "]) for _ in range(rng.randrange(120))) for i in range(400)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for chunks, words, group in ((20, 40, 300), (10**6, 10**6, 1 << 20), (1, 1, 1)):
+        cache = packing.WordCache(queries.tokenizer_path(), chunks=chunks, words=words)
+        for _ in range(2):
+            assert [x.tolist() for x in cache.encode(texts, group)] == want
+
+
+def test_common_words_stay_known(tokenizer):
+    """New words in every group fill the cache; those that come again each time are still looked up once."""
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    common, texts = [word() for _ in range(300)], []
+    for _ in range(20):
+        texts.append(" ".join(common + [word() for _ in range(400)]))
+    cache, told = packing.WordCache(queries.tokenizer_path(), chunks=1000, words=1000), []
+
+    class Counted:
+        def encode(self, text, **options):
+            told.extend(text.split())
+            return tokenizer.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            told.extend(w for t in texts for w in t.split())
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    cache.tokenizer = Counted()
+    for t in texts:
+        assert next(iter(cache.encode([t]))).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert sum(w in set(common) for w in told) <= 2 * len(common)
+
+
 def check_pieces(rows, want, size):
     """want: by doc_id the ids of each of its rows."""
     sequences, pieces = defaultdict(list), defaultdict(list)
